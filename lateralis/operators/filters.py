@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,10 +36,15 @@ class Filtered:
     df: DataFrame
     source: DataFrame
     steps: list[Step] = field(default_factory=list)
+    persisted: DataFrame | None = None
 
     def log(self) -> DataFrame:
         return filter_log(self.source, self.steps)
 
+    def release(self) -> None:
+        if self.persisted is not None:
+            self.persisted.unpersist()
+
 
 def within(column: Column, lower: float | None, upper: float | None, strict: bool = False) -> Column:
     """``lower < column <= upper``. A bound of None is off, and so is 0 unless ``strict``."""
@@ -210,14 +216,25 @@ def statistical_mask(df: DataFrame, settings: StatisticalFilter, **options) -> t
     return mask_cells(df, conditions)
 
 
-def apply_filters(df: DataFrame, settings: FilterConfig, carry: Sequence[str] = (), **options) -> Filtered:
+def apply_filters(
+    df: DataFrame,
+    settings: FilterConfig,
+    carry: Sequence[str] = (),
+    *,
+    storage: StorageLevel | None = None,
+    **options,
+) -> Filtered:
     """Drop incomplete rows, project, mask outlier cells, apply the range chain and the ratio filters.
 
-    ``carry`` names columns kept beside the configured ones (the row key of the later split).
+    ``carry`` names columns kept beside the configured ones (the row key of the later split). With
+    ``storage`` the projected rows are persisted for the chain's aggregates; the caller releases
+    the result when done.
     """
     complete = df.dropna("any")
     if settings.keep:
         complete = keep_columns(complete, list(dict.fromkeys([*carry, *settings.keep])))
+    if storage is not None:
+        complete = complete.persist(storage)
     masked = complete
     if settings.statistical:
         masked, _ = statistical_mask(complete, settings.statistical, **options)
@@ -226,6 +243,7 @@ def apply_filters(df: DataFrame, settings: FilterConfig, carry: Sequence[str] =
         result.df = ratio_filter(result.df, numerator, denominator, value)
         condition = _ratio_is(numerator, denominator, value)
         result.steps.append(Step("ratio", f"{numerator} / {denominator}", value, value, condition))
+    result.persisted = complete if storage is not None else None
     whole = reduce(and_, [col(c).isNotNull() for c in result.df.columns])
     result.steps.append(Step("complete", "*", None, None, whole))
     result.df = result.df.dropna("any")

@@ -55,19 +55,18 @@ def permutation_importance(
         following = F.coalesce(F.lead("_x").over(bucket), F.first("_x").over(whole))
         shuffled = shuffled.withColumn(f"_x{repeat}", following)
 
-    def replaced(feature: int, repeat: int):
-        return F.concat(
-            F.slice("_x", 1, feature), F.array(F.col(f"_x{repeat}")[feature]), F.slice("_x", feature + 2, len(names))
-        )
-
-    variants = [F.struct(F.lit(-1).alias("feature"), F.lit(0).alias("repeat"), F.col("_x").alias("x"))]
-    variants += [
-        F.struct(F.lit(j).alias("feature"), F.lit(r).alias("repeat"), replaced(j, r).alias("x"))
-        for j in range(len(names))
-        for r in range(repeats)
-    ]
-    exploded = shuffled.select("_y", F.explode(F.array(*variants)).alias("v")).select(
-        "_y", "v.feature", "v.repeat", array_to_vector("v.x").alias(features)
+    # Variant -1 is the untouched row; variant k shuffles feature k div repeats in repeat k mod repeats.
+    variant = F.explode(F.sequence(F.lit(-1), F.lit(len(names) * repeats - 1)))
+    numbered = shuffled.select(
+        "_y", "_x", F.array(*[F.col(f"_x{r}") for r in range(repeats)]).alias("_xs"), variant.alias("_k")
+    ).withColumns({"feature": F.floor(F.col("_k") / repeats).cast("int"), "repeat": F.pmod("_k", F.lit(repeats))})
+    foreign = F.get(F.get(F.col("_xs"), F.col("repeat")), F.col("feature"))
+    replaced = F.concat(
+        F.slice("_x", F.lit(1), F.col("feature")), F.array(foreign), F.slice("_x", F.col("feature") + 2, F.lit(len(names)))
+    )
+    exploded = numbered.select(
+        "_y", "feature", "repeat",
+        array_to_vector(F.when(F.col("_k") < 0, F.col("_x")).otherwise(replaced)).alias(features),
     )
     scores = (
         model.transform(exploded)

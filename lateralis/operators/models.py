@@ -161,7 +161,7 @@ def cross_validated_rmse(
         numFolds=folds,
         foldCol="_fold",
     )
-    return validator.fit(_with_folds(df, key, folds, seed)).avgMetrics[0]
+    return float(validator.fit(_with_folds(df, key, folds, seed)).avgMetrics[0])
 
 
 @dataclass(frozen=True)
@@ -215,7 +215,7 @@ def search_parameters(
         foldCol="_fold",
         parallelism=parallelism,
     )
-    scores = validator.fit(_with_folds(df, key, folds, seed)).avgMetrics
+    scores = [float(s) for s in validator.fit(_with_folds(df, key, folds, seed)).avgMetrics]
     ranked = list(zip(candidates, scores))
     best_params, best_score = max(ranked, key=lambda pair: pair[1])
     return Search(best_params, best_score, method, ranked)
