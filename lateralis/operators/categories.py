@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Transformer
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel
+from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, StringIndexer, StringIndexerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,10 +97,11 @@ def onehot_column(column: str) -> str:
     return f"{column}__onehot"
 
 
-def encoder_stages(columns: Sequence[str]) -> list:
-    """Index and one-hot encode, leaving out the alphabetically first value; unseen values are errors.
+def fit_encoders(df: DataFrame, columns: Sequence[str]) -> list[Transformer]:
+    """Fitted stages that index and one-hot encode ``columns``; unseen values are errors.
 
-    The index runs in descending order because ``dropLast`` drops its last entry.
+    The alphabetically first value gets no slot: the index runs in descending order because
+    ``dropLast`` drops its last entry. A column with a single value gets no slot at all.
     """
     if not columns:
         return []
@@ -109,11 +110,19 @@ def encoder_stages(columns: Sequence[str]) -> list:
         outputCols=[index_column(c) for c in columns],
         stringOrderType="alphabetDesc",
         handleInvalid="error",
-    )
+    ).fit(df)
+    varied = [c for c, labels in zip(columns, indexer.labelsArray) if len(labels) > 1]
+    if not varied:
+        return [indexer]
     onehot = OneHotEncoder(
-        inputCols=[index_column(c) for c in columns], outputCols=[onehot_column(c) for c in columns], dropLast=True
+        inputCols=[index_column(c) for c in varied], outputCols=[onehot_column(c) for c in varied], dropLast=True
     )
-    return [indexer, onehot]
+    return [indexer, onehot.fit(indexer.transform(df))]
+
+
+def encoded_columns(stages: Sequence[Transformer]) -> list[str]:
+    """The vector columns that the stages of :func:`fit_encoders` produce."""
+    return [c for s in stages if isinstance(s, OneHotEncoderModel) for c in s.getOutputCols()]
 
 
 def trained_values(stages: Sequence[Transformer]) -> dict[str, list[str]]:

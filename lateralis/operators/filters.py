@@ -103,6 +103,8 @@ def threshold_chain(
     expensive to compute.
     """
     result = Filtered(df, df)
+    if percentile and thresholds and not accuracy and "rows_at_most" not in options:
+        options["rows_at_most"] = df.count()  # later steps have fewer rows: one count serves them all
     for column, (lower, upper) in thresholds.items():
         if percentile:
             lower, upper = percentile_bounds(result.df, column, lower, upper, accuracy, **options)
@@ -128,6 +130,7 @@ def grouped_threshold_chain(
     """
     spark = df.sparkSession
     key_type = df.schema[by].dataType
+    options.setdefault("rows_at_most", df.count())
     for column, (lower, upper) in thresholds.items():
         bounds = group_quantiles(df, {column: [lower, upper]}, [by], **options)
         rows = bounds.limit(group_limit + 1).collect()
@@ -164,6 +167,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def mad_conditions(df: DataFrame, columns: Sequence[str], threshold: float = 3.0, **options) -> dict[str, Column]:
     """Per column: ``|x - median| <= threshold * MAD``, with the unscaled median absolute deviation."""
+    options.setdefault("rows_at_most", df.count())
     centre = medians(df, columns, **options)
     usable = [c for c in columns if centre[c] is not None]
     deviations = df.select(*[F.abs(col(c) - F.lit(centre[c])).alias(c) for c in usable])

@@ -6,13 +6,14 @@ import itertools
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.evaluation import Evaluator, RegressionEvaluator
 from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 
 from lateralis.functions.columns import col
@@ -146,22 +147,49 @@ def fit_and_evaluate(
     return fitted
 
 
-def _with_folds(df: DataFrame, key: str, folds: int, seed: int) -> DataFrame:
-    return df.withColumn("_fold", fold_number(col(key), folds, seed))
+def _fold_scores(
+    estimators: Sequence[Estimator],
+    evaluator: Evaluator,
+    df: DataFrame,
+    key: str,
+    folds: int,
+    seed: int,
+    parallelism: int,
+) -> list[float]:
+    """Mean score over the folds per estimator, each fitted on the other folds.
+
+    Folds are predicates on one persisted frame; ``parallelism`` fits run at a time. No model is
+    refitted on all rows, as only the scores are wanted.
+    """
+    folded = df.withColumn("_fold", fold_number(col(key), folds, seed)).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def score(task: tuple[Estimator, int]) -> float:
+        estimator, fold = task
+        model = estimator.fit(folded.where(col("_fold") != fold))
+        return float(evaluator.evaluate(model.transform(folded.where(col("_fold") == fold))))
+
+    tasks = [(e, k) for e in estimators for k in range(folds)]
+    try:
+        with ThreadPool(min(parallelism, len(tasks))) as pool:
+            scores = pool.map(inheritable_thread_target(df.sparkSession)(score), tasks)
+    finally:
+        folded.unpersist()
+    return [sum(scores[i * folds : (i + 1) * folds]) / folds for i in range(len(estimators))]
 
 
 def cross_validated_rmse(
-    estimator: Estimator, df: DataFrame, key: str, folds: int = 5, *, label: str = LABEL, seed: int = SEED
+    estimator: Estimator,
+    df: DataFrame,
+    key: str,
+    folds: int = 5,
+    *,
+    label: str = LABEL,
+    seed: int = SEED,
+    parallelism: int = 2,
 ) -> float:
     """Mean over the folds of the RMSE of a model fitted on the other folds."""
-    validator = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=[{}],
-        evaluator=RegressionEvaluator(labelCol=label, predictionCol=PREDICTION, metricName="rmse"),
-        numFolds=folds,
-        foldCol="_fold",
-    )
-    return float(validator.fit(_with_folds(df, key, folds, seed)).avgMetrics[0])
+    evaluator = RegressionEvaluator(labelCol=label, predictionCol=PREDICTION, metricName="rmse")
+    return _fold_scores([estimator], evaluator, df, key, folds, seed, parallelism)[0]
 
 
 @dataclass(frozen=True)
@@ -200,22 +228,12 @@ def search_parameters(
 ) -> Search:
     """Cross-validated search for the parameters with the lowest MAPE.
 
-    The candidates of a fold are fitted concurrently (``parallelism``) on the same persisted fold.
+    Up to ``parallelism`` fits run at a time on the same persisted folds.
     """
     rows = df.count()
     candidates = parameter_candidates(grid, method, draws, seed)
     estimators = [build_regressor(name, {**(base or {}), **c}, rows=rows, label=label) for c in candidates]
-    template = estimators[0]
-    maps = [{template.getParam(p.name): v for p, v in e.extractParamMap().items()} for e in estimators]
-    validator = CrossValidator(
-        estimator=template,
-        estimatorParamMaps=maps,
-        evaluator=MapeEvaluator(label=label),
-        numFolds=folds,
-        foldCol="_fold",
-        parallelism=parallelism,
-    )
-    scores = [float(s) for s in validator.fit(_with_folds(df, key, folds, seed)).avgMetrics]
+    scores = _fold_scores(estimators, MapeEvaluator(label=label), df, key, folds, seed, parallelism)
     ranked = list(zip(candidates, scores))
     best_params, best_score = max(ranked, key=lambda pair: pair[1])
     return Search(best_params, best_score, method, ranked)

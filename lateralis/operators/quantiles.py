@@ -42,11 +42,13 @@ def group_quantiles(
     by: Sequence[str] = (),
     *,
     builtin_rows: int = BUILTIN_ROWS,
+    rows_at_most: int | None = None,
     buckets: int = BUCKETS,
 ) -> DataFrame:
     """One row per group: the ``by`` columns and, per wanted column, an array of its quantiles.
 
-    Linear interpolation between order statistics; NULLs are skipped.
+    Linear interpolation between order statistics; NULLs are skipped. A caller that has counted the
+    rows already passes ``rows_at_most`` and saves the count.
     """
     keys = [f"g{i}" for i in range(len(by))]
     values = [f"v{i}" for i in range(len(wanted))]
@@ -55,7 +57,8 @@ def group_quantiles(
         *[col(c).cast("double").alias(v) for c, v in zip(wanted, values)],
     )
     probabilities = list(wanted.values())
-    if not exceeds(narrow, keys, builtin_rows):
+    small = rows_at_most is not None and rows_at_most <= builtin_rows
+    if small or not exceeds(narrow, keys, builtin_rows):
         result = _builtin(narrow, keys, probabilities)
     else:
         sizes = narrow.groupBy(*keys).agg(

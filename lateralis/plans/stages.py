@@ -6,7 +6,7 @@ import json
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lateralis.config import RunConfig
 from lateralis.functions.columns import col
 from lateralis.functions.transforms import transform_column
-from lateralis.operators.categories import encoder_stages, onehot_column, onehot_names, trained_values
+from lateralis.operators.categories import encoded_columns, fit_encoders, onehot_column, onehot_names, trained_values
 from lateralis.operators.models import FEATURES, LABEL, PREDICTION
 from lateralis.operators.scaling import AffineScalerModel, RobustColumnScaler, StandardColumnScaler
 
@@ -95,10 +95,9 @@ def fit_preprocessing(train: DataFrame, everything: DataFrame, config: RunConfig
         scaler = RobustColumnScaler(inputCols=numeric, outputCols=[scaled_name(c) for c in numeric])
         stages.append(scaler.fit(PipelineModel(list(stages)).transform(train)))
         numeric = [scaled_name(c) for c in numeric]
-    if config.categories:
-        stages += Pipeline(stages=encoder_stages(config.categories)).fit(everything).stages
-    vectors = [onehot_column(c) for c in config.categories]
-    stages.append(VectorAssembler(inputCols=[*numeric, *vectors], outputCol=FEATURES, handleInvalid="keep"))
+    encoders = fit_encoders(everything, config.categories)
+    stages += encoders
+    stages.append(VectorAssembler(inputCols=[*numeric, *encoded_columns(encoders)], outputCol=FEATURES, handleInvalid="keep"))
     return PipelineModel(stages)
 
 
