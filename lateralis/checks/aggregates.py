@@ -7,6 +7,7 @@ from lateralis.checks.registry import LINES_WITH_PARTS, check, lines_with_parts,
 from lateralis.operators.categories import distinct_values, group_rare, group_rare_joined, retained_values
 from lateralis.operators.errorbins import absolute_percentage_error, bin_spec, edge_lists, error_table, expected_error, nested_bins, step_bins
 from lateralis.operators.metrics import RMSE, describe, leaderboard, regression_metrics, residual_frame, validation_metrics
+from lateralis.operators.quantiles import group_quantiles
 from lateralis.operators.spatial import drop_duplicate_rows
 
 _RARE = """
@@ -71,6 +72,22 @@ def summary_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return summary.withColumns({c: F.round(c, 4) for c in ("mean", "std", "p25", "p50", "p75")})
 
 
+@check("""
+SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.025), 4) AS p025, round(quantile_cont(l_extendedprice, 0.5), 4) AS p50,
+       round(quantile_cont(l_extendedprice, 0.975), 4) AS p975, round(quantile_cont(l_discount, 0.5), 4) AS discount
+FROM lineitem GROUP BY l_returnflag""")
+def quantiles_by_narrowing(spark: SparkSession, folder: str) -> DataFrame:
+    """The way for groups too large for one aggregation buffer, taken here by a low limit."""
+    wanted = {"l_extendedprice": [0.025, 0.5, 0.975], "l_discount": [0.5]}
+    found = group_quantiles(table(spark, folder, "lineitem"), wanted, ["l_returnflag"], builtin_rows=100)
+    price = F.col("l_extendedprice")
+    return found.select(
+        "l_returnflag",
+        *[F.round(price[i], 4).alias(n) for i, n in enumerate(("p025", "p50", "p975"))],
+        F.round(F.col("l_discount")[0], 4).alias("discount"),
+    )
+
+
 # A fixed formula stands in for a model's prediction of the unit cost.
 PREDICTION_SQL = "53000 + 40 * (l_quantity - 25) - 20000 * l_discount + 1000 * l_tax"
 

@@ -38,6 +38,16 @@ def fan_out_join(spark: SparkSession, folder: str) -> DataFrame:
     return skew_join(orders, lines, "o_orderkey")
 
 
+@check("""
+SELECT o_orderpriority, l_orderkey, l_linenumber, l_quantity
+FROM lineitem JOIN (SELECT o_orderkey, o_orderpriority FROM orders) ON l_orderkey = o_orderkey""")
+def fan_out_join_salted(spark: SparkSession, folder: str) -> DataFrame:
+    """The same kind of join with a limit low enough that keys of both sides are salted."""
+    orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority")
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return skew_join(lines, orders, "l_orderkey", hot_rows=5)
+
+
 # Well paths from customers: a start point and a short step away from it.
 PATHS_SQL = """
 SELECT c_custkey, c_acctbal / 1000 AS x1, c_nationkey + (c_custkey % 100) / 100.0 AS y1,
@@ -97,6 +107,15 @@ def wells_in_areas(spark: SparkSession, folder: str) -> DataFrame:
     return spatial_join(nation_areas(spark, folder), customer_paths(spark, folder), ["Area"], ["c_custkey"], cell=0.5)
 
 
+@check(f"{PAIRS_SQL} SELECT * FROM pairs")
+def wells_in_areas_salted(spark: SparkSession, folder: str) -> DataFrame:
+    """Areas shuffled instead of broadcast, and the wells of crowded cells spread over salts."""
+    return spatial_join(
+        nation_areas(spark, folder), customer_paths(spark, folder), ["Area"], ["c_custkey"],
+        cell=0.5, hot_rows=5, broadcast_points=0,
+    )
+
+
 @check(f"""
 {PAIRS_SQL} SELECT "Area", count(*) AS wells FROM pairs GROUP BY "Area" ORDER BY wells DESC, "Area" LIMIT 20""")
 def busiest_areas(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,7 +4,8 @@
 used for groups of a checked size. Larger groups are narrowed: each round counts the values of the
 current interval in equal-width buckets (a map-side combined count, however hot the group is) and
 keeps the bucket with the wanted rank, until the interval is a single value. Both ends of an
-interval fall into different buckets, so every round makes progress.
+interval fall into different buckets, so every round makes progress. As soon as the intervals hold
+a small part of the rows, those rows are set aside and later rounds read only them.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from lateralis.session import checkpointed
 BUILTIN_ROWS = 1_000_000
 BUCKETS = 2_048
 BROADCAST_ROWS = 200_000
+SET_ASIDE_SHARE = 0.05
 
 
 def percentile_array(column: Column, probabilities: Sequence[float]) -> Column:
@@ -99,6 +101,11 @@ def _hinted(groups: DataFrame) -> DataFrame:
     return F.broadcast(groups) if groups.count() <= BROADCAST_ROWS else groups
 
 
+def _open_columns(unresolved: DataFrame) -> list[int]:
+    """Numbers of the wanted columns with open intervals: at most one row per column."""
+    return sorted(r["c"] for r in unresolved.select("c").distinct().collect())
+
+
 def _narrowed(
     narrow: DataFrame, large: DataFrame, keys: list[str], probabilities: list[Sequence[float]], buckets: int
 ) -> DataFrame:
@@ -122,33 +129,41 @@ def _narrowed(
     intervals = checkpointed(
         large.select(*keys, F.explode(starts).alias("s")).select(*keys, "s.*").where(F.col("lo").isNotNull())
     )
-    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"v{i}").alias("v")) for i in range(len(probabilities))])
-    values = narrow.select(*keys, F.explode(cells).alias("x")).select(*keys, "x.c", "x.v")
-
+    def cells(columns: list[int]) -> DataFrame:
+        """(keys, column number, value) of the columns still needed: the others are not read."""
+        pairs = F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"v{i}").alias("v")) for i in columns])
+        return narrow.select(*keys, F.explode(pairs).alias("x")).select(*keys, "x.c", "x.v")
+
+    inside = _same("r", "b", [*keys, "c"]) & F.col("r.v").between(F.col("b.lo"), F.col("b.hi"))
+    half_range = F.col("b.hi") / 2 - F.col("b.lo") / 2  # halves: the range itself may overflow
+    slot = F.floor((F.col("r.v") / 2 - F.col("b.lo") / 2) / half_range * F.lit(buckets))
+    # The window below sees at most `buckets` rows per partition.
+    through = F.sum("n").over(Window.partitionBy(*keys, "c", "target").orderBy("slot"))
+
+    total = large.agg(F.sum("rows")).head()[0] or 0
+    set_aside: DataFrame | None = None
     resolved = intervals.where("lo = hi")
     unresolved = intervals.where("lo < hi")
-    while unresolved.head(1):
-        half_range = F.col("b.hi") / 2 - F.col("b.lo") / 2  # halves: the range itself may overflow
-        slot = F.floor((F.col("r.v") / 2 - F.col("b.lo") / 2) / half_range * F.lit(buckets))
+    columns = _open_columns(unresolved)
+    while columns:
+        values = cells(columns) if set_aside is None else set_aside
         histogram = (
             values.alias("r")
-            .join(
-                _hinted(unresolved).alias("b"),
-                _same("r", "b", [*keys, "c"]) & F.col("r.v").between(F.col("b.lo"), F.col("b.hi")),
-            )
+            .join(_hinted(unresolved).alias("b"), inside)
             .select(*[f"b.{k}" for k in fixed], "b.below", "r.v", F.least(slot, F.lit(buckets - 1)).alias("slot"))
             .groupBy(*fixed, "below", "slot")
             .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
         )
-        # The window sees at most `buckets` rows per partition.
-        through = F.sum("n").over(Window.partitionBy(*keys, "c", "target").orderBy("slot"))
         intervals = checkpointed(
             histogram.withColumn("below", F.col("below") + through - F.col("n"))
             .where((F.col("below") <= F.col("rank")) & (F.col("rank") < F.col("below") + F.col("n")))
-            .select(*fixed, "below", "lo", "hi")
+            .select(*fixed, "below", "n", "lo", "hi")
         )
-        resolved = resolved.unionByName(intervals.where("lo = hi"))
+        resolved = resolved.unionByName(intervals.where("lo = hi").drop("n"))
         unresolved = intervals.where("lo < hi")
+        columns = _open_columns(unresolved)
+        if columns and set_aside is None and unresolved.agg(F.sum("n")).head()[0] <= SET_ASIDE_SHARE * total:
+            set_aside = checkpointed(cells(columns).alias("r").join(_hinted(unresolved).alias("b"), inside, "left_semi"))
 
     number = {target: n for n, target in enumerate(targets)}
 
