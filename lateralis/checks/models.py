@@ -13,7 +13,7 @@ from lateralis.operators.models import FEATURES, LABEL, build_regressor, cross_v
 from lateralis.operators.split import split_rows
 from lateralis.plans.score import score_from_coefficients
 from lateralis.plans.train import Trained, modelling_frame, train_model
-from lateralis.session import scratch_path
+from lateralis.session import scratch_path, spread
 from lateralis.sources.artifacts import (
     count_rows,
     load_bundle,
@@ -41,7 +41,7 @@ def planted_rows(spark: SparkSession, folder: str, outliers: bool = True) -> Dat
     clean = 120 + sum((w * F.col(c) for c, w in PLANTED.items()), F.lit(0.0)) + (price - 53_000) / 6_000
     label = F.when(price > 100_000, 4 * clean).otherwise(clean) if outliers else clean
     key = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    return table(spark, folder, "lineitem").select(
+    return spread(table(spark, folder, "lineitem")).select(
         key.alias("row_key"), *INPUTS, "l_returnflag", "l_linestatus", label.alias(LABEL)
     )
 

@@ -77,15 +77,21 @@ def parse_filtering(raw: Mapping[str, Any]) -> FilterConfig:
     keep = raw.get("cols_to_keep")
     thresholds = {c: tuple(b) for c, b in technical.get("thresholds", {}).items()}
     percentile = bool(technical.get("percentile", False))
-    if thresholds and not percentile and all(b is None or 0 <= b <= 1 for pair in thresholds.values() for b in pair):
-        warnings.warn("absolute thresholds all lie in [0, 1]: were percentiles meant?", stacklevel=2)
-    return FilterConfig(
+    settings = FilterConfig(
         keep=tuple(keep) if keep else None,
         percentile=percentile,
         thresholds=thresholds,
         statistical=statistical,
         ratios={split_ratio_key(k): v for k, v in raw.get("ratio_filtering", {}).items()},
     )
+    warn_of_fractional_bounds(settings)
+    return settings
+
+
+def warn_of_fractional_bounds(settings: FilterConfig) -> None:
+    bounds = [b for pair in settings.thresholds.values() for b in pair if b is not None]
+    if bounds and not settings.percentile and all(0 <= b <= 1 for b in bounds):
+        warnings.warn("absolute thresholds all lie in [0, 1]: were percentiles meant?", stacklevel=3)
 
 
 def parse_config(raw: Mapping[str, Any]) -> RunConfig:
@@ -125,10 +131,11 @@ def check_reservoirs(config: RunConfig, reservoirs: Sequence[str]) -> None:
 
 
 def basin_config(basin: str) -> RunConfig:
-    try:
-        return BASINS[basin.upper()]
-    except KeyError:
-        raise KeyError(f"no configuration for basin {basin!r}; known: {sorted(BASINS)}") from None
+    if basin.upper() not in BASINS:
+        raise KeyError(f"no configuration for basin {basin!r}; known: {sorted(BASINS)}")
+    config = BASINS[basin.upper()]
+    warn_of_fractional_bounds(config.filtering)
+    return config
 
 
 # Basins, their reservoirs and the percentile bounds of the shipped configuration.

@@ -23,11 +23,12 @@ EXPORT_BINS = 100_000
 
 @dataclass(frozen=True)
 class BinSpec:
-    """The three binned properties with their steps and global edge lists."""
+    """The three binned properties with their steps and global edge lists, and the rows they were taken from."""
 
     columns: tuple[str, str, str]
     steps: tuple[float, float, float]
     edges: tuple[list[float], list[float], list[float]]
+    rows: int | None = None
 
 
 BIN_COLUMNS = ("bin_ll", "bin_prop", "bin_fluid")
@@ -56,6 +57,7 @@ def bin_spec(df: DataFrame, lateral: str, proppant: str, fluid: str) -> BinSpec
     row = df.agg(
         *[F.min(col(c)).alias(f"lo{i}") for i, c in enumerate(columns)],
         *[F.max(col(c)).alias(f"hi{i}") for i, c in enumerate(columns)],
+        F.count(F.lit(1)).alias("rows"),
     ).head()
     if any(v is None for v in row):
         return None
@@ -63,7 +65,7 @@ def bin_spec(df: DataFrame, lateral: str, proppant: str, fluid: str) -> BinSpec
     proppant_step = max(PROPPANT_UNIT * floor((highs[1] - lows[1]) / PROPPANT_RANGE), 1)
     fluid_step = max(floor((highs[2] - lows[2]) / FLUID_RANGE), 1)
     steps = (float(LATERAL_STEP), float(proppant_step), float(fluid_step))
-    return BinSpec(columns, steps, tuple(edges(lo, hi, s) for lo, hi, s in zip(lows, highs, steps)))
+    return BinSpec(columns, steps, tuple(edges(lo, hi, s) for lo, hi, s in zip(lows, highs, steps)), row["rows"])
 
 
 def nested_bins(df: DataFrame, spec: BinSpec) -> DataFrame:
@@ -92,9 +94,12 @@ def absolute_percentage_error(actual: Column, predicted: Column, signed: bool =
 
 
 def error_table(df: DataFrame, spec: BinSpec, error: str, **options) -> DataFrame:
-    """``bin_ll, bin_prop, bin_fluid, mape_median``: exact medians at 2 decimals, however full a bin is."""
+    """``bin_ll, bin_prop, bin_fluid, mape_median``: exact medians at 2 decimals, however full a bin is.
+
+    ``df`` holds the rows ``spec`` was taken from, so that its row count bounds every bin.
+    """
     binned = nested_bins(df.select(*[col(c) for c in dict.fromkeys((*spec.columns, error))]), spec)
-    table = group_quantiles(binned, {error: [0.5]}, BIN_COLUMNS, **options)
+    table = group_quantiles(binned, {error: [0.5]}, BIN_COLUMNS, **{"rows_at_most": spec.rows, **options})
     return table.select(*BIN_COLUMNS, F.round(col(error)[0], 2).alias("mape_median")).where(
         F.col("mape_median").isNotNull()
     )

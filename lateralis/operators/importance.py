@@ -35,14 +35,15 @@ def permutation_importance(
     One shuffle spreads the rows over hash buckets of about ``bucket_rows`` rows. Inside a bucket every
     repeat sorts by its own seeded hash and hands each row the feature vector of the next row, the last
     row that of the first: a random permutation without a join or a global sort. The copies per feature
-    and repeat are made after the shuffle, inside the tasks that score and sum them.
+    and repeat are made after the shuffle, inside the tasks that score and sum them. A linear model is
+    not evaluated again for a copy: its prediction moves by the weight times the change of the feature.
     """
     rows = df.count() if rows is None else rows
     buckets = max(1, -(-rows // bucket_rows))
-    vector = vector_to_array(col(features))
-    base = df.select(
+    base = model.transform(df).select(
         col(label).cast("double").alias("_y"),
-        vector.alias("_x"),
+        col(PREDICTION).alias("_p"),
+        vector_to_array(col(features)).alias("_x"),
         # The partition id keeps a large group of identical rows from filling a single bucket.
         F.pmod(F.xxhash64(F.lit(seed), col(key), F.spark_partition_id()), F.lit(buckets)).alias("_bucket"),
         F.xxhash64(col(key)).alias("_id"),
@@ -58,21 +59,23 @@ def permutation_importance(
     # Variant -1 is the untouched row; variant k shuffles feature k div repeats in repeat k mod repeats.
     variant = F.explode(F.sequence(F.lit(-1), F.lit(len(names) * repeats - 1)))
     numbered = shuffled.select(
-        "_y", "_x", F.array(*[F.col(f"_x{r}") for r in range(repeats)]).alias("_xs"), variant.alias("_k")
+        "_y", "_p", "_x", F.array(*[F.col(f"_x{r}") for r in range(repeats)]).alias("_xs"), variant.alias("_k")
     ).withColumns({"feature": F.floor(F.col("_k") / repeats).cast("int"), "repeat": F.pmod("_k", F.lit(repeats))})
     foreign = F.get(F.get(F.col("_xs"), F.col("repeat")), F.col("feature"))
-    replaced = F.concat(
-        F.slice("_x", F.lit(1), F.col("feature")), F.array(foreign), F.slice("_x", F.col("feature") + 2, F.lit(len(names)))
-    )
-    exploded = numbered.select(
-        "_y", "feature", "repeat",
-        array_to_vector(F.when(F.col("_k") < 0, F.col("_x")).otherwise(replaced)).alias(features),
-    )
-    scores = (
-        model.transform(exploded)
-        .groupBy("feature", "repeat")
-        .agg(r2_score(F.col("_y"), col(PREDICTION)).alias("r2"))
-    )
+    own = F.get(F.col("_x"), F.col("feature"))
+    untouched = F.col("_k") < 0
+    if hasattr(model, "coefficients"):
+        weights = F.array(*[F.lit(float(w)) for w in model.coefficients])
+        moved = F.col("_p") + F.get(weights, F.col("feature")) * (foreign - own)
+        predicted = numbered.withColumn(PREDICTION, F.when(untouched, F.col("_p")).otherwise(moved))
+    else:
+        replaced = F.concat(
+            F.slice("_x", F.lit(1), F.col("feature")), F.array(foreign),
+            F.slice("_x", F.col("feature") + 2, F.lit(len(names))),
+        )
+        vector = array_to_vector(F.when(untouched, F.col("_x")).otherwise(replaced))
+        predicted = model.transform(numbered.select("_y", "feature", "repeat", vector.alias(features)))
+    scores = predicted.groupBy("feature", "repeat").agg(r2_score(F.col("_y"), col(PREDICTION)).alias("r2"))
     # At most 1 + features * repeats rows from here on.
     scored = scores.collect()
     baseline = next((r["r2"] for r in scored if r["feature"] < 0), None)

@@ -64,3 +64,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared checkpoint folder, for tables handed from job to job."""
     _ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A plain file scan with at least as many partitions as the session has cores.
+
+    A single small file is one task however many cores there are; its rows are dealt out once, after
+    column pruning and pushed filters. A scan that already fills the cores is returned as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -89,3 +89,20 @@ def test_importance(rows):
         tree_importance(model, names, rows)
     forest = build_regressor("RandomForestRegressor", {"n_estimators": 5, "max_depth": 4}, rows=2000).fit(rows)
     assert tree_importance(forest, names, rows).head()["feature"] == "a"
+    by_forest = permutation_importance(forest, rows, names, key="key", repeats=2)
+    assert ranked_features(by_forest)[0] == "a"
+
+
+def test_linear_shortcut_equals_full_evaluation(rows):
+    """Moving a linear prediction by weight times change is the same as evaluating the changed vector."""
+    model = build_regressor("LinearRegression", rows=2000).fit(rows)
+
+    class Opaque:
+        def transform(self, df):
+            return model.transform(df)
+
+    short = permutation_importance(model, rows, ["a", "b", "noise"], key="key", repeats=2).collect()
+    full = permutation_importance(Opaque(), rows, ["a", "b", "noise"], key="key", repeats=2).collect()
+    for s, f in zip(short, full):
+        assert s["feature"] == f["feature"]
+        assert s["importance_mean"] == pytest.approx(f["importance_mean"], rel=1e-9, abs=1e-12)

@@ -97,3 +97,10 @@ def test_unknown_reservoir_is_refused(tables):
 
 def test_other_basin_config():
     assert basin_config("delaware").categories == ("ReservoirGoldConsolidated",)
+
+
+def test_fractional_absolute_bounds_are_pointed_out():
+    with pytest.warns(UserWarning, match="percentiles"):
+        basin_config("POWDER RIVER")
+    with pytest.raises(KeyError, match="no configuration"):
+        basin_config("ATLANTIS")
