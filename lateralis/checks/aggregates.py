@@ -9,6 +9,8 @@ from lateralis.operators.errorbins import absolute_percentage_error, bin_spec, e
 from lateralis.operators.metrics import RMSE, describe, leaderboard, regression_metrics, residual_frame, validation_metrics
 from lateralis.operators.quantiles import group_quantiles
 from lateralis.operators.spatial import drop_duplicate_rows
+from lateralis.session import scratch_path
+from lateralis.sources.artifacts import load_error_table, load_list, save_error_table, save_list
 
 _RARE = """
 WITH n AS (SELECT p_brand, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand),
@@ -176,19 +178,25 @@ def step_binning(spark: SparkSession, folder: str) -> DataFrame:
 
 _BIN_INPUT = f"(SELECT *, l_extendedprice / 10 AS lateral_length, {PREDICTION_SQL} AS pred FROM {LINES_WITH_PARTS})"
 
-NESTED_SQL = f"""
-s AS (SELECT greatest(10 * floor((max(p_retailprice) - min(p_retailprice)) / 200), 1) AS sp,
-             greatest(floor((max(l_quantity) - min(l_quantity)) / 10), 1) AS sf FROM {_BIN_INPUT}),
-x AS (SELECT i.*, sp, sf, 1000 * (ceil(lateral_length / 1000) - 1) AS a, sp * (ceil(p_retailprice / sp) - 1) AS b,
-             sf * (ceil(l_quantity / sf) - 1) AS c FROM {_BIN_INPUT} i, s),
-n1 AS (SELECT * FROM x WHERE a >= 1000 * floor((SELECT min(lateral_length) FROM x) / 1000)),
-n2 AS (SELECT * FROM n1 QUALIFY b >= sp * floor(min(p_retailprice) OVER (PARTITION BY a) / sp)),
-n3 AS (SELECT * FROM n2 QUALIFY c >= sf * floor(min(l_quantity) OVER (PARTITION BY a, b) / sf)),
+
+def nested_sql(source: str, lateral: str, proppant: str, fluid: str) -> str:
+    """Steps ``s``, rows ``x`` with their grid cells a, b, c, and rows ``labelled`` that have all three bins."""
+    return f"""
+s AS (SELECT greatest(10 * floor((max({proppant}) - min({proppant})) / 200), 1) AS sp,
+             greatest(floor((max({fluid}) - min({fluid})) / 10), 1) AS sf FROM {source}),
+x AS (SELECT i.*, sp, sf, 1000 * (ceil({lateral} / 1000) - 1) AS a, sp * (ceil({proppant} / sp) - 1) AS b,
+             sf * (ceil({fluid} / sf) - 1) AS c FROM {source} i, s),
+n1 AS (SELECT * FROM x WHERE a >= 1000 * floor((SELECT min({lateral}) FROM x) / 1000)),
+n2 AS (SELECT * FROM n1 QUALIFY b >= sp * floor(min({proppant}) OVER (PARTITION BY a) / sp)),
+n3 AS (SELECT * FROM n2 QUALIFY c >= sf * floor(min({fluid}) OVER (PARTITION BY a, b) / sf)),
 labelled AS (SELECT *, CAST(a AS BIGINT) || ' - ' || CAST(a + 1000 AS BIGINT) AS bin_ll,
                     CAST(b AS BIGINT) || ' - ' || CAST(b + sp AS BIGINT) AS bin_prop,
                     CAST(c AS BIGINT) || ' - ' || CAST(c + sf AS BIGINT) AS bin_fluid FROM n3)"""
 
 
+NESTED_SQL = nested_sql(_BIN_INPUT, "lateral_length", "p_retailprice", "l_quantity")
+
+
 def binned_input(spark: SparkSession, folder: str) -> DataFrame:
     return predicted_lines(spark, folder).withColumn("lateral_length", F.col("l_extendedprice") / 10)
 
@@ -218,6 +226,21 @@ def error_table_by_bins(spark: SparkSession, folder: str) -> DataFrame:
     return error_table(_errors(lines), bin_spec(lines, *BIN_COLUMNS), "error")
 
 
+@check(f"""
+WITH {ERRORS_SQL},
+n AS (SELECT p_brand, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand),
+kept AS (SELECT string_agg(p_brand, ', ' ORDER BY n DESC, p_brand) AS operators FROM n WHERE n >= (SELECT count(*) // 25 FROM lineitem))
+SELECT bin_ll, bin_prop, bin_fluid, round(m, 2) AS mape_median, operators FROM errors, kept""")
+def error_table_and_list_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Error table and retained operators, written as JSON and read back."""
+    table_path, list_path = scratch_path(spark, "errors"), scratch_path(spark, "operators")
+    save_error_table(error_table_by_bins(spark, folder), table_path)
+    lines = lines_with_parts(spark, folder).select("p_brand")
+    save_list(spark, group_rare(lines, "p_brand", _rare_threshold(lines)).retained, list_path)
+    operators = ", ".join(load_list(spark, list_path))
+    return load_error_table(spark, table_path).withColumn("operators", F.lit(operators))
+
+
 @check(f"""
 WITH {ERRORS_SQL}
 SELECT l_orderkey, l_linenumber, round(m, 2) AS expected_error

@@ -5,6 +5,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lateralis.checks.aggregates import nested_sql
 from lateralis.checks.registry import check, table
 from lateralis.config import FilterConfig, RunConfig
 from lateralis.operators.importance import permutation_importance, ranked_features, tree_importance
@@ -17,13 +18,9 @@ from lateralis.session import scratch_path, spread
 from lateralis.sources.artifacts import (
     count_rows,
     load_bundle,
-    load_error_table,
-    load_list,
     load_model,
     performance_bundle,
     save_bundle,
-    save_error_table,
-    save_list,
     save_model,
 )
 
@@ -226,31 +223,48 @@ def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("before") == F.col("prediction")).alias("equal"))
 
 
-@check()
-def error_table_and_list_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """Error table and operator list of a trained model, written as JSON and read back."""
-    trained = _trained(spark, folder, cv_folds=None, importance_repeats=0)
-    table_path, list_path = scratch_path(spark, "errors"), scratch_path(spark, "operators")
-    save_error_table(trained.error_table, table_path)
-    save_list(spark, trained.operators, list_path)
-    operators = ", ".join(load_list(spark, list_path))
-    return load_error_table(spark, table_path).withColumn("operators", F.lit(operators))
+_PLANTED_SQL = f"""
+planted AS (SELECT *, CASE WHEN l_extendedprice > 100000 THEN 4 * {CLEAN_SQL} ELSE {CLEAN_SQL} END AS y,
+                   l_quantity * 200 AS lateral_ft, l_discount * 20000 AS proppant, l_tax * 1000 AS fluid,
+                   ('0x' || substr(md5('42|' || {KEY_SQL}), 1, 8))::BIGINT % 10000 AS h FROM lineitem)"""
 
 
-@check()
+@check(f"""
+WITH {_PLANTED_SQL},
+b AS (SELECT trunc(quantile_cont(y, 0.001)) AS lo, trunc(quantile_cont(y, 0.999)) AS hi FROM planted),
+kept AS (SELECT planted.* FROM planted, b WHERE y > lo AND y <= hi),
+train AS (SELECT * FROM kept WHERE h >= 2800), {nested_sql("train", "lateral_ft", "proppant", "fluid")}
+SELECT 'overall_performance' AS part, 1::BIGINT AS rows
+UNION ALL SELECT 'feature_importance', 3 + (SELECT count(DISTINCT l_returnflag) - 1 FROM kept)
+    + (SELECT count(DISTINCT l_returnflag || '_' || l_linestatus) - 1 FROM kept)
+UNION ALL SELECT 'validation_performance', count(*) FROM kept WHERE h BETWEEN 1000 AND 2799
+UNION ALL SELECT 'test_performance', count(*) FROM kept WHERE h < 1000
+UNION ALL SELECT 'error_table', count(DISTINCT bin_ll || bin_prop || bin_fluid) FROM labelled
+UNION ALL SELECT 'error_bin_edges', CAST(
+    (floor(max(lateral_ft) / 1000) - floor(min(lateral_ft) / 1000) + 2) + (floor(max(proppant) / any_value(sp)) - floor(min(proppant) / any_value(sp)) + 2)
+    + (floor(max(fluid) / any_value(sf)) - floor(min(fluid) / any_value(sf)) + 2) AS BIGINT) FROM x""")
 def performance_bundle_parts(spark: SparkSession, folder: str) -> DataFrame:
     """Every part of the performance report with its row count, after a Parquet round trip."""
     trained = _trained(spark, folder, cv_folds=2, importance_repeats=2)
     parts, path = performance_bundle(trained), scratch_path(spark, "bundle")
     save_bundle(parts, path)
+    trained.release()
     return count_rows(load_bundle(spark, path, list(parts)))
 
 
-@check()
+@check(f"""
+WITH {_PLANTED_SQL},
+b AS (SELECT l_returnflag, trunc(quantile_cont(y, 0.001)) AS lo, trunc(quantile_cont(y, 0.999)) AS hi FROM planted GROUP BY l_returnflag)
+SELECT l_returnflag AS basin, 'LinearRegression' AS models, count_if(h >= 2800)::BIGINT AS training_rows,
+       count_if(h < 1000)::BIGINT AS test_rows, true AS fits
+FROM planted JOIN b USING (l_returnflag) WHERE y > lo AND y <= hi GROUP BY l_returnflag""")
 def basins_trained(spark: SparkSession, folder: str) -> DataFrame:
     """One model per segment of the table; the segment predicate reaches each scan."""
-    boards = []
+    found = []
     for flag in ("A", "N", "R"):
         trained = _trained(spark, folder, flag, cv_folds=2, importance_repeats=0)
-        boards.append(trained.performance().select(F.lit(flag).alias("basin"), "models", "r2"))
-    return boards[0].unionByName(boards[1]).unionByName(boards[2])
+        performance = trained.performance().head()
+        test_rows = trained.residuals["test"].count()
+        found.append((flag, performance["models"], trained.metadata["training_rows"], test_rows, performance["r2"] > 0.1))
+        trained.release()
+    return spark.createDataFrame(found, "basin string, models string, training_rows long, test_rows long, fits boolean")

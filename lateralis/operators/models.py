@@ -89,14 +89,22 @@ REGRESSORS = ("HuberRegressor", "LinearRegression", "RandomForestRegressor", "XG
 
 
 class MapeEvaluator(Evaluator, HasLabelCol, HasPredictionCol):
-    """Negated mean absolute percentage error, so that larger is better."""
+    """Negated mean absolute percentage error, so that larger is better.
 
-    def __init__(self, label: str = LABEL, prediction: str = PREDICTION):
+    A label scaled by ``(y - center) / scale`` is brought back first: relative errors of values
+    around zero would say nothing.
+    """
+
+    def __init__(self, label: str = LABEL, prediction: str = PREDICTION, center: float = 0.0, scale: float = 1.0):
         super().__init__()
         self._set(labelCol=label, predictionCol=prediction)
+        self.center, self.scale = center, scale
 
     def _evaluate(self, dataset: DataFrame) -> float:
-        value = dataset.agg(mape(col(self.getLabelCol()), col(self.getPredictionCol()))).head()[0]
+        actual, predicted = (
+            col(c) * self.scale + self.center for c in (self.getLabelCol(), self.getPredictionCol())
+        )
+        value = dataset.agg(mape(actual, predicted)).head()[0]
         return float("-inf") if value is None else -value
 
     def isLargerBetter(self) -> bool:
@@ -140,13 +148,21 @@ def fit_and_evaluate(
             source = label_scaler.getInputCols()[0]
             scored = label_scaler.inverse(scored, {label: source, PREDICTION: source})
         performance = regression_metrics(scored, label, PREDICTION).head().asDict()
-        performance[CV_RMSE] = (
-            cross_validated_rmse(estimator, valid, key, cv_folds, label=label) if cv_folds and key else None
-        )
+        performance[CV_RMSE] = None
+        if cv_folds and key:
+            rmse = cross_validated_rmse(estimator, valid, key, cv_folds, label=label)
+            performance[CV_RMSE] = rmse * _center_and_scale(label_scaler)[1]
         fitted[name] = Fitted(name, dict(params or {}), model, performance)
     return fitted
 
 
+def _center_and_scale(label_scaler: Any | None) -> tuple[float, float]:
+    if label_scaler is None:
+        return 0.0, 1.0
+    _, _, center, scale = label_scaler.parameters()[0]
+    return center, scale
+
+
 def _fold_scores(
     estimators: Sequence[Estimator],
     evaluator: Evaluator,
@@ -225,15 +241,18 @@ def search_parameters(
     seed: int = SEED,
     parallelism: int = 2,
     label: str = LABEL,
+    label_scaler: Any | None = None,
 ) -> Search:
-    """Cross-validated search for the parameters with the lowest MAPE.
+    """Cross-validated search for the parameters with the lowest MAPE on the unscaled label.
 
     Up to ``parallelism`` fits run at a time on the same persisted folds.
     """
     rows = df.count()
     candidates = parameter_candidates(grid, method, draws, seed)
     estimators = [build_regressor(name, {**(base or {}), **c}, rows=rows, label=label) for c in candidates]
-    scores = _fold_scores(estimators, MapeEvaluator(label=label), df, key, folds, seed, parallelism)
+    center, scale = _center_and_scale(label_scaler)
+    evaluator = MapeEvaluator(label=label, center=center, scale=scale)
+    scores = _fold_scores(estimators, evaluator, df, key, folds, seed, parallelism)
     ranked = list(zip(candidates, scores))
     best_params, best_score = max(ranked, key=lambda pair: pair[1])
     return Search(best_params, best_score, method, ranked)
@@ -256,7 +275,10 @@ def tune_models(
     """Search every model's grid, refit the winners on ``train`` and measure them on ``valid``."""
     base = base or {}
     searches = {
-        name: search_parameters(name, grid, search_on, key, base=base.get(name), method=method, label=label, **options)
+        name: search_parameters(
+            name, grid, search_on, key,
+            base=base.get(name), method=method, label=label, label_scaler=label_scaler, **options,
+        )
         for name, grid in grids.items()
     }
     winners = {name: {**base.get(name, {}), **s.best_params} for name, s in searches.items()}

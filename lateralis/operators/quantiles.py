@@ -30,12 +30,16 @@ def percentile_array(column: Column, probabilities: Sequence[float]) -> Column:
     return F.percentile(column, F.array(*[F.lit(float(p)) for p in probabilities]))
 
 
-def exceeds(df: DataFrame, by: Sequence[str] = (), rows: int = BUILTIN_ROWS) -> bool:
-    """Whether some group has more than ``rows`` rows: a count, combined map-side."""
+def _largest_group(df: DataFrame, by: Sequence[str]) -> int:
     if not by:
-        return df.count() > rows
+        return df.count()
     counts = df.groupBy(*[col(c) for c in by]).agg(F.count(F.lit(1)).alias("n"))
-    return (counts.agg(F.max("n")).head()[0] or 0) > rows
+    return counts.agg(F.max("n")).head()[0] or 0
+
+
+def exceeds(df: DataFrame, by: Sequence[str] = (), rows: int = BUILTIN_ROWS) -> bool:
+    """Whether some group has more than ``rows`` rows: a count, combined map-side."""
+    return _largest_group(df, by) > rows
 
 
 def group_quantiles(
@@ -59,15 +63,18 @@ def group_quantiles(
         *[col(c).cast("double").alias(v) for c, v in zip(wanted, values)],
     )
     probabilities = list(wanted.values())
-    small = rows_at_most is not None and rows_at_most <= builtin_rows
-    if small or not exceeds(narrow, keys, builtin_rows):
-        result = _builtin(narrow, keys, probabilities)
-    else:
+    if rows_at_most is None:
+        rows_at_most = _largest_group(narrow, keys)
+    large = None
+    if rows_at_most > builtin_rows:
         sizes = narrow.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("rows"),
             *[f(v).alias(f"{p}{i}") for i, v in enumerate(values) for p, f in (("n", F.count), ("lo", F.min), ("hi", F.max))],
         )
         large = checkpointed(sizes.where(F.col("rows") > builtin_rows))
+    if large is None or not large.head(1):
+        result = _builtin(narrow, keys, probabilities)
+    else:
         result = _narrowed(narrow, large, keys, probabilities, buckets)
         if keys:
             rest = narrow.alias("r").join(_hinted(large).alias("b"), _same("r", "b", keys), "left_anti")

@@ -1,7 +1,9 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
-from lateralis.config import basin_config
+from lateralis.config import SplitConfig, StatisticalFilter, basin_config
 from lateralis.functions.columns import col
 from lateralis.operators.derive import add_midpoints
 from lateralis.operators.importance import ranked_features
@@ -14,7 +16,7 @@ from lateralis.plans.score import (
     score_wells,
     validate,
 )
-from lateralis.plans.train import prepare_wells, train_basin
+from lateralis.plans.train import prepare_wells, train_basin, train_basins
 from lateralis.sources.artifacts import count_rows, load_package, performance_bundle, save_bundle, save_package
 from tests import wells as W
 
@@ -104,3 +106,50 @@ def test_fractional_absolute_bounds_are_pointed_out():
         basin_config("POWDER RIVER")
     with pytest.raises(KeyError, match="no configuration"):
         basin_config("ATLANTIS")
+
+
+def test_scaled_target_tuning_and_statistical_filter(tables):
+    """A run with a standardised log target, a searched model, a masked column and no test split."""
+    base = basin_config(W.BASIN)
+    config = replace(
+        base,
+        filtering=replace(base.filtering, statistical=StatisticalFilter(("cost/ft_Lateral",), 6.0, "mad")),
+        categories=("ReservoirGoldConsolidated",),
+        scale_y=True,
+        split=SplitConfig(test=False),
+        models={"LinearRegression": {}, "RandomForestRegressor": {"n_estimators": 3, "max_depth": 3}},
+        tuning={"RandomForestRegressor": {"max_depth": [2, 5]}},
+    )
+    trained = train_basin(*tables, W.BASIN, config=config, cv_folds=None, importance_repeats=1)
+    assert trained.model_name == "RandomForestRegressor" and trained.operators is None
+    assert trained.searches["RandomForestRegressor"].best_params == {"max_depth": 5}
+    assert set(trained.residuals) == {"train", "valid"}
+    scored = trained.pipeline.transform(trained.splits.valid)
+    error = scored.agg(F.avg(F.abs(col("prediction") / col("cost/ft_Lateral") - 1))).head()[0]
+    assert error < 0.2  # on the raw scale
+    residual = trained.residuals["valid"].agg(F.max(F.abs("residual_RandomForestRegressor"))).head()[0]
+    assert residual < 2  # on the log scale
+    predicted = predict_costs(trained.splits.valid, Package.of(trained))
+    assert predicted.where("Cost_USDPerFT is null").count() == 0
+    trained.release()
+
+
+def test_several_basins(tables):
+    configs = {
+        "MIDLAND": replace(basin_config("MIDLAND"), reservoirs=W.RESERVOIRS, models={"LinearRegression": {}}, operator_threshold=5),
+        W.BASIN: replace(basin_config(W.BASIN), models={"LinearRegression": {}}),
+    }
+    trained = train_basins(*tables, configs, cv_folds=None, importance_repeats=0)
+    assert list(trained) == ["MIDLAND", W.BASIN]
+    for basin, result in trained.items():
+        assert result.metadata["output_feature"] == "cost/ft_Lateral" and result.importance is None
+        result.release()
+    assert trained["MIDLAND"].metadata["training_rows"] < trained[W.BASIN].metadata["training_rows"]
+
+
+def test_errors_on_the_modelling_scale(tables):
+    config = replace(basin_config(W.BASIN), models={"LinearRegression": {}})
+    trained = train_basin(*tables, W.BASIN, config=config, cv_folds=None, importance_repeats=0, original_scale_errors=False)
+    # A log of about 7 with residuals of a few tenths: errors of a few percent.
+    assert trained.error_table.agg(F.avg("mape_median")).head()[0] < 10
+    trained.release()
