@@ -2,10 +2,11 @@
 
 ``percentile`` is exact but holds every distinct value of a group in one aggregation buffer. It is
 used for groups of a checked size. Larger groups are narrowed: each round counts the values of the
-current interval in equal-width buckets (a map-side combined count, however hot the group is) and
-keeps the bucket with the wanted rank, until the interval is a single value. Both ends of an
-interval fall into different buckets, so every round makes progress. As soon as the intervals hold
-a small part of the rows, those rows are set aside and later rounds read only them.
+current interval in buckets (a map-side combined count, however hot the group is) and keeps the
+bucket with the wanted rank, until the interval is a single value. Both ends of an interval fall
+into different buckets, so every round makes progress. The first buckets are equally wide on a
+logarithmic scale, which suits costs with a long tail. As soon as the intervals hold a small part of
+the rows, those rows are set aside and later rounds read only them.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ BUILTIN_ROWS = 1_000_000
 BUCKETS = 2_048
 BROADCAST_ROWS = 200_000
 SET_ASIDE_SHARE = 0.05
+LARGEST = 1.7976931348623157e308
 
 
 def percentile_array(column: Column, probabilities: Sequence[float]) -> Column:
@@ -53,20 +55,22 @@ def group_quantiles(
 ) -> DataFrame:
     """One row per group: the ``by`` columns and, per wanted column, an array of its quantiles.
 
-    Linear interpolation between order statistics; NULLs are skipped. A caller that has counted the
+    Linear interpolation between order statistics; NULL and NaN are skipped. A caller that has counted the
     rows already passes ``rows_at_most`` and saves the count.
     """
     keys = [f"g{i}" for i in range(len(by))]
     values = [f"v{i}" for i in range(len(wanted))]
     narrow = df.select(
         *[col(c).alias(k) for c, k in zip(by, keys)],
-        *[col(c).cast("double").alias(v) for c, v in zip(wanted, values)],
+        *[F.nanvl(col(c).cast("double"), F.lit(None)).alias(v) for c, v in zip(wanted, values)],
     )
     probabilities = list(wanted.values())
     if rows_at_most is None:
         rows_at_most = _largest_group(narrow, keys)
     large = None
     if rows_at_most > builtin_rows:
+        # An infinite value would leave no scale to narrow on; it ranks as the largest finite one.
+        narrow = narrow.withColumns({v: _finite(F.col(v)) for v in values})
         sizes = narrow.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("rows"),
             *[f(v).alias(f"{p}{i}") for i, v in enumerate(values) for p, f in (("n", F.count), ("lo", F.min), ("hi", F.max))],
@@ -108,6 +112,14 @@ def _hinted(groups: DataFrame) -> DataFrame:
     return F.broadcast(groups) if groups.count() <= BROADCAST_ROWS else groups
 
 
+def _finite(x: Column) -> Column:
+    return F.when(x > LARGEST, LARGEST).when(x < -LARGEST, -LARGEST).otherwise(x)
+
+
+def _log_scale(x: Column) -> Column:
+    return F.signum(x) * F.log1p(F.abs(x))
+
+
 def _open_columns(unresolved: DataFrame) -> list[int]:
     """Numbers of the wanted columns with open intervals: at most one row per column."""
     return sorted(r["c"] for r in unresolved.select("c").distinct().collect())
@@ -142,10 +154,13 @@ def _narrowed(
         return narrow.select(*keys, F.explode(pairs).alias("x")).select(*keys, "x.c", "x.v")
 
     inside = _same("r", "b", [*keys, "c"]) & F.col("r.v").between(F.col("b.lo"), F.col("b.hi"))
-    half_range = F.col("b.hi") / 2 - F.col("b.lo") / 2  # halves: the range itself may overflow
-    slot = F.floor((F.col("r.v") / 2 - F.col("b.lo") / 2) / half_range * F.lit(buckets))
-    # The window below sees at most `buckets` rows per partition.
-    through = F.sum("n").over(Window.partitionBy(*keys, "c", "target").orderBy("slot"))
+    value, low, high = F.col("r.v"), F.col("b.lo"), F.col("b.hi")
+    linear = (value / 2 - low / 2) / (high / 2 - low / 2)  # halves: the range itself may overflow
+    logarithmic = F.try_divide(_log_scale(value) - _log_scale(low), _log_scale(high) - _log_scale(low))
+    # Intervals of one column are equal or disjoint, so a row lies in one at most. The window sees at
+    # most `buckets` rows per partition.
+    span = [*keys, "c", "start"]
+    through = F.sum("n").over(Window.partitionBy(*span).orderBy("slot"))
 
     total = large.agg(F.sum("rows")).head()[0] or 0
     set_aside: DataFrame | None = None
@@ -154,23 +169,32 @@ def _narrowed(
     columns = _open_columns(unresolved)
     while columns:
         values = cells(columns) if set_aside is None else set_aside
+        place = linear if set_aside is not None else F.coalesce(logarithmic, linear)
+        slot = F.least(F.floor(place * F.lit(buckets)), F.lit(buckets - 1))
+        spans = unresolved.select(*keys, "c", "lo", "hi").distinct()
         histogram = (
             values.alias("r")
-            .join(_hinted(unresolved).alias("b"), inside)
-            .select(*[f"b.{k}" for k in fixed], "b.below", "r.v", F.least(slot, F.lit(buckets - 1)).alias("slot"))
-            .groupBy(*fixed, "below", "slot")
+            .join(_hinted(spans).alias("b"), inside)
+            .select(*[f"b.{k}" for k in (*keys, "c")], F.col("b.lo").alias("start"), "r.v", slot.alias("slot"))
+            .groupBy(*span, "slot")
             .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+            .withColumn("before", through - F.col("n"))
         )
+        open_ = unresolved.select(*fixed, "below", F.col("lo").alias("start"))
+        first = F.col("t.below") + F.col("h.before")
         intervals = checkpointed(
-            histogram.withColumn("below", F.col("below") + through - F.col("n"))
-            .where((F.col("below") <= F.col("rank")) & (F.col("rank") < F.col("below") + F.col("n")))
-            .select(*fixed, "below", "n", "lo", "hi")
+            histogram.alias("h")
+            .join(_hinted(open_).alias("t"), _same("h", "t", span))
+            .where((first <= F.col("t.rank")) & (F.col("t.rank") < first + F.col("h.n")))
+            .select(*[f"t.{k}" for k in fixed], first.alias("below"), "h.n", "h.lo", "h.hi")
         )
         resolved = resolved.unionByName(intervals.where("lo = hi").drop("n"))
         unresolved = intervals.where("lo < hi")
         columns = _open_columns(unresolved)
-        if columns and set_aside is None and unresolved.agg(F.sum("n")).head()[0] <= SET_ASIDE_SHARE * total:
-            set_aside = checkpointed(cells(columns).alias("r").join(_hinted(unresolved).alias("b"), inside, "left_semi"))
+        if columns and set_aside is None:
+            spans = unresolved.select(*keys, "c", "lo", "hi", "n").distinct()
+            if spans.agg(F.sum("n")).head()[0] <= SET_ASIDE_SHARE * total:
+                set_aside = checkpointed(cells(columns).alias("r").join(_hinted(spans).alias("b"), inside, "left_semi"))
 
     number = {target: n for n, target in enumerate(targets)}
 

@@ -121,3 +121,15 @@ def test_narrowed_quantiles_equal_builtin(spark, buckets):
             for c in wanted:
                 expected = row[c] or []
                 assert [v for v in (got[key][c] or []) if v is not None] == pytest.approx([v for v in expected if v is not None], rel=1e-12)
+
+
+def test_quantiles_skip_nan_and_survive_infinity(spark):
+    xs = [float("nan"), float("inf"), float("-inf"), None] + [float(i) for i in range(9)]
+    df = frame(spark, xs)
+    assert quantiles(df, {"x": [0.5]}) == {"x": [4.0]}
+    assert quantiles(df, {"x": [0.5, 0.2]}, builtin_rows=2, buckets=4) == {"x": [4.0, 1.0]}
+
+
+def test_narrowing_of_values_too_close_for_logarithms(spark):
+    df = frame(spark, [1e15 + i for i in range(50)] + [1e15])
+    assert quantiles(df, {"x": [0.5]}, builtin_rows=2, buckets=4) == quantiles(df, {"x": [0.5]})
