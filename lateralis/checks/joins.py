@@ -7,6 +7,7 @@ from lateralis.checks.registry import check, table
 from lateralis.operators.repair import impute_from_reference
 from lateralis.operators.skew import skew_join
 from lateralis.operators.spatial import basin_areas, spatial_join, well_paths, wells_per_area
+from lateralis.session import checkpointed
 
 
 @check("""
@@ -94,9 +95,11 @@ def nation_areas(spark: SparkSession, folder: str) -> DataFrame:
 PAIRS_SQL = f"""
 WITH w AS ({PATHS_SQL}), a AS ({BOXES_SQL}),
 c AS (SELECT n_name, c_custkey,
-    CASE WHEN x2 = x1 THEN CASE WHEN x1 BETWEEN bx1 AND bx2 THEN 0 ELSE 2 END ELSE least((bx1 - x1) / nullif(x2 - x1, 0), (bx2 - x1) / nullif(x2 - x1, 0)) END AS tx1,
+    CASE WHEN x2 = x1 THEN CASE WHEN x1 BETWEEN bx1 AND bx2 THEN 0 ELSE 2 END
+         ELSE least((bx1 - x1) / nullif(x2 - x1, 0), (bx2 - x1) / nullif(x2 - x1, 0)) END AS tx1,
     CASE WHEN x2 = x1 THEN 1 ELSE greatest((bx1 - x1) / nullif(x2 - x1, 0), (bx2 - x1) / nullif(x2 - x1, 0)) END AS tx2,
-    CASE WHEN y2 = y1 THEN CASE WHEN y1 BETWEEN by1 AND by2 THEN 0 ELSE 2 END ELSE least((by1 - y1) / nullif(y2 - y1, 0), (by2 - y1) / nullif(y2 - y1, 0)) END AS ty1,
+    CASE WHEN y2 = y1 THEN CASE WHEN y1 BETWEEN by1 AND by2 THEN 0 ELSE 2 END
+         ELSE least((by1 - y1) / nullif(y2 - y1, 0), (by2 - y1) / nullif(y2 - y1, 0)) END AS ty1,
     CASE WHEN y2 = y1 THEN 1 ELSE greatest((by1 - y1) / nullif(y2 - y1, 0), (by2 - y1) / nullif(y2 - y1, 0)) END AS ty2
   FROM w, a),
 pairs AS (SELECT n_name AS "Area", c_custkey FROM c WHERE greatest(0, tx1, ty1) <= least(1, tx2, ty2))"""
@@ -127,7 +130,8 @@ def busiest_areas(spark: SparkSession, folder: str) -> DataFrame:
 def wells_with_area(spark: SparkSession, folder: str) -> DataFrame:
     """A well that crosses several areas appears once per area."""
     customers = table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    return skew_join(customers, wells_in_areas(spark, folder), "c_custkey").select("Area", "c_custkey", "c_name", "c_mktsegment")
+    pairs = checkpointed(wells_in_areas(spark, folder))
+    return skew_join(customers, pairs, "c_custkey").select("Area", "c_custkey", "c_name", "c_mktsegment")
 
 
 @check("""

@@ -59,7 +59,9 @@ def permutation_importance(
     # Variant -1 is the untouched row; variant k shuffles feature k div repeats in repeat k mod repeats.
     variant = F.explode(F.sequence(F.lit(-1), F.lit(len(names) * repeats - 1)))
     gathered = shuffled.select("_y", "_p", "_x", F.array(*[F.col(f"_x{r}") for r in range(repeats)]).alias("_xs"))
-    numbered = gathered.select("_y", "_p", "_x", "_xs", variant.alias("_k")).withColumns({"feature": F.floor(F.col("_k") / repeats).cast("int"), "repeat": F.pmod("_k", F.lit(repeats))})
+    numbered = gathered.select("_y", "_p", "_x", "_xs", variant.alias("_k")).withColumns(
+        {"feature": F.floor(F.col("_k") / repeats).cast("int"), "repeat": F.pmod("_k", F.lit(repeats))}
+    )
     foreign = F.get(F.get(F.col("_xs"), F.col("repeat")), F.col("feature"))
     own = F.get(F.col("_x"), F.col("feature"))
     untouched = F.col("_k") < 0

@@ -31,6 +31,7 @@ from lateralis.operators.skew import skew_join
 from lateralis.operators.spatial import spatial_join, well_paths
 from lateralis.plans.stages import numeric_inputs, scaler_of
 from lateralis.plans.train import FLUID, KEY, LATERAL, OPERATOR, PROPPANT, RESERVOIR, Trained
+from lateralis.session import checkpointed
 
 # Columns of the scored table, and the unit cost above which a well is not validated.
 SCORED_AREA = "Type Curve Area"
@@ -64,8 +65,12 @@ class Package:
 def locate_wells(
     wells: DataFrame, areas: DataFrame, key: str = KEY, area: str = "Area", **options
 ) -> tuple[DataFrame, DataFrame]:
-    """(wells with their area, area/well pairs). A well crossing several areas appears once per area."""
-    pairs = spatial_join(areas, well_paths(wells, key), [area], [key], **options)
+    """(wells with their area, area/well pairs). A well crossing several areas appears once per area.
+
+    The pairs are two narrow columns and are written once: the join's look for hot keys, the join
+    itself and any later report read them without repeating the spatial join.
+    """
+    pairs = checkpointed(spatial_join(areas, well_paths(wells, key), [area], [key], **options))
     return skew_join(wells, pairs, key), pairs
 
 

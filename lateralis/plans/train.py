@@ -25,6 +25,7 @@ from lateralis.operators.models import FEATURES, LABEL, PREDICTION, Fitted, Sear
 from lateralis.operators.repair import FLAG, flag_cost_anomalies, impute_from_reference
 from lateralis.operators.split import SEED, Splits, split_rows
 from lateralis.plans.stages import fit_preprocessing, fit_target_scaler, package, slot_names
+from lateralis.session import checkpointed
 from lateralis.sources.tables import rename_costs, scan_completions, scan_reference_costs
 
 RESERVOIR = "ReservoirGoldConsolidated"
@@ -167,7 +168,10 @@ def train_model(
 
 
 def _training_errors(raw, ready, regressor, pipeline, config, columns, original_scale):
-    """The error table of the training rows, on the raw target scale unless told otherwise."""
+    """The error table of the training rows, on the raw target scale unless told otherwise.
+
+    It is written once: scoring must not replay the training.
+    """
     if not set(columns) <= set(raw.columns):
         return None, None
     spec = bin_spec(raw, *columns)
@@ -179,7 +183,7 @@ def _training_errors(raw, ready, regressor, pipeline, config, columns, original_
     else:
         scored = regressor.transform(ready)
         error = absolute_percentage_error(col(LABEL), col(PREDICTION), signed=True)
-    return spec, error_table(scored.withColumn("_error", error), spec, "_error")
+    return spec, checkpointed(error_table(scored.withColumn("_error", error), spec, "_error"))
 
 
 def _residuals(df, fitted, names, split, target_scaler):
