@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +20,12 @@ def query(sql: str | None = None):
     """Register a query under its function name, with the SQL of the same rows where SQL can express them."""
 
     def register(function):
-        QUERIES[function.__name__] = function
+        @wraps(function)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship(spark)
+            return function(spark, folder)
+
+        QUERIES[function.__name__] = run
         if sql is not None:
             ORACLES[function.__name__] = sql
         return function
@@ -23,6 +33,23 @@ def query(sql: str | None = None):
     return register
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that tasks can import it anywhere."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    path = os.path.join(tempfile.mkdtemp(prefix="lateralis-"), "lateralis-package.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, str(source.relative_to(package.parent)))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
