@@ -1,4 +1,4 @@
 """Operators of a training-data pipeline, with their queries."""
 
-from lateralis.llm import language_id, lm_scoring, packing, topk_search, warc  # noqa: F401
+from lateralis.llm import jaccard_join, language_id, lm_scoring, packing, substring_dedup, topk_search, warc  # noqa: F401
 from lateralis.llm.registry import ORACLES, QUERIES  # noqa: F401
