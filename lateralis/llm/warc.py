@@ -2,7 +2,7 @@
 
 Writing is one Spark job in the JVM: payload digests, one small aggregate of the digests that repeat, a
 join of the pages with it (salted, so that a payload with a third of all rows is spread over many tasks),
-and a text sink whose line end is the record end, so that any file system Spark can write to serves. Each
+and a gzip text sink whose line end is the record end, so that any file system Spark can write to serves. Each
 file is sorted by URL key, time and page: a locally sorted capture run.
 
 Reading parses the files, checks every payload against its digest and gives the index of the records. The
@@ -16,6 +16,7 @@ repeated row of that page; control characters and spaces of a url are percent-en
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -82,7 +83,7 @@ def records(pages: DataFrame, least: int = LEAST_BYTES, captured: Column | None
 def write_archives(pages: DataFrame, path: str, least: int = LEAST_BYTES, captured: Column | None = None) -> None:
     """Write one or more archive files a task, each sorted by URL key, time and page."""
     runs = records(pages, least, captured).sortWithinPartitions("url_key", "captured", "page_id")
-    runs.select("value").write.option("lineSep", END).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    runs.select("value").write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
 def parse(content: memoryview) -> Iterator[tuple[dict[str, str], memoryview, int, int]]:
@@ -113,7 +114,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for name, content in zip(batch.column("path").to_pylist(), batch.column("content")):
                 rows = []
-                for headers, payload, offset, length in parse(memoryview(content.as_buffer())):
+                raw = content.as_py()
+                for headers, payload, offset, length in parse(memoryview(gzip.decompress(raw) if name.endswith(".gz") else raw)):
                     digest, kind = headers["WARC-Payload-Digest"].removeprefix("sha256:"), headers["WARC-Type"]
                     if kind == "response" and hashlib.sha256(payload).hexdigest() != digest:
                         raise ValueError(f"{name}: payload at {offset} differs from its digest")
