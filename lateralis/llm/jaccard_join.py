@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lateralis.llm import segments as seg
-from lateralis.llm.registry import query, table
+from lateralis.llm.registry import free_name, query, table
 from lateralis.llm.text import Words, hashes, joined_hash, mix, sliced, words_of
 from lateralis.session import scratch_path
 
@@ -399,6 +399,20 @@ def components(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     return docs.join(of_key, "key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def keep_one(documents: DataFrame) -> DataFrame:
+    """``documents`` with one row of each component, all columns kept: the one with the smallest id.
+
+    Of rows with equal ids in a component one stays; rows without an id are always kept.
+    """
+    found = components(documents.select("doc_id", "text"))
+    key, copies = free_name(documents, "kept_id"), free_name(documents, "copies")
+    kept = found.where(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias(copies))
+    rows = documents.join(kept, F.col("doc_id").cast("long") == F.col(key), "left")
+    single = rows.where((F.col(copies) == 1) | F.col("doc_id").isNull()).select(*documents.columns)
+    repeated = rows.where(F.col(copies) > 1).select(*documents.columns).dropDuplicates(["doc_id"])
+    return single.unionByName(repeated)
+
+
 @query("""
 WITH w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                   '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),

@@ -39,6 +39,7 @@ SHORTLIST = 4_000
 BUCKETS = 1 << 20
 STARTS = (4, 5, 6, 7)
 THRESHOLD = 0.3
+PRECISION = (0.9, 0.7, 0.5, 0.3)  # telling features are weighed in this order
 MOST_DECODED = 24  # characters; longer words are no garbled words
 LETTERS = 512  # size of the hashed alphabet of the character model
 #: The letters that signs and digits may stand for.
@@ -244,8 +245,8 @@ class ToxicityModel(NamedTuple):
     base: float  # the score of a text without features
 
 
-def _sample(documents: DataFrame, labels: DataFrame, learn: Column) -> tuple[DataFrame, dict[int, float]]:
-    """Learning rows (label, text), a bounded number of either label, and the share of each label that was taken."""
+def _sample(documents: DataFrame, labels: DataFrame, learn: Column) -> tuple[DataFrame, dict[int, float], dict[int, int]]:
+    """Learning rows (label, text), a bounded number of either label; the share of each that was taken, and how many there are."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
     known = known.where(learn & F.col("label").isin(0, 1))
     sizes = dict(known.groupBy("label").count().collect())
@@ -255,13 +256,13 @@ def _sample(documents: DataFrame, labels: DataFrame, learn: Column) -> tuple[Dat
     chosen = parts[0].unionByName(parts[1])  # at most TOXIC_ROWS + CLEAN_ROWS rows of two numbers
     share = {k: min(1.0, most[k] / sizes[k]) if sizes.get(k) else 0.0 for k in (0, 1)}
     rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", "text")
-    return rows, share
+    return rows, share, sizes
 
 
 def fit(documents: DataFrame, labels: DataFrame, learn: Column) -> ToxicityModel:
     spark = documents.sparkSession
     characters = character_model(documents)
-    rows, share = _sample(documents, labels, learn)
+    rows, share, sizes = _sample(documents, labels, learn)
     nothing = ToxicityModel(characters, np.zeros(0, np.int64), np.zeros(0), 0.0)
     if not share[0] or not share[1]:
         return nothing
@@ -280,7 +281,7 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column) -> ToxicityModel
 
     sums = rows.mapInArrow(count, "f int, c int, t int").groupBy("f").agg(F.sum("c").alias("c"), F.sum("t").alias("t")).where("t > 1").toArrow()
     feature, clean, toxic = (sums[c].to_numpy().astype(np.int64) for c in ("f", "c", "t"))
-    gain = _gain(toxic, clean, TOXIC_ROWS, CLEAN_ROWS)
+    gain = _gain(toxic, clean, *(max(1.0, share[k] * n) for k, n in ((1, sizes[1]), (0, sizes[0]))))
     order = np.lexsort((feature, -gain))[:SHORTLIST]
     short = np.sort(feature[order])
     wanted = spark.sparkContext.broadcast(short)
@@ -302,7 +303,7 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column) -> ToxicityModel
     lists = found["features"].combine_chunks()
     matrix = np.zeros((len(label), len(short)), bool)
     matrix[np.repeat(np.arange(len(label)), lists.value_lengths().to_numpy(zero_copy_only=False)), lists.flatten().to_numpy(zero_copy_only=False)] = True
-    return _weigh(characters, short, matrix, label, share)
+    return _weigh(characters, short, matrix, label, share, float(np.log(max(len(feature), 2))))
 
 
 def hash_of(text: str | None) -> int:
@@ -321,24 +322,29 @@ def _gain(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> n
     return np.where(p > base, gain, 0.0)
 
 
-def _weigh(characters: CharacterModel, features: np.ndarray, has: np.ndarray, label: np.ndarray, share: dict[int, float]) -> ToxicityModel:
-    """Features one after the other, each by what it explains of the toxic rows left over."""
+def _weigh(
+    characters: CharacterModel, features: np.ndarray, has: np.ndarray, label: np.ndarray, share: dict[int, float], chance: float
+) -> ToxicityModel:
+    """Features one after the other, precise ones first, each by what it explains of the toxic rows left over.
+
+    ``chance`` is the gain that the best of all features reaches by chance; what gains less is left out.
+    """
     clean = has[label == 0].sum(axis=0)
     open_rows = has[label == 1]
-    n_toxic, n_clean = len(open_rows), int((label == 0).sum())
+    n_clean = int((label == 0).sum())
     chosen, weights = [], []
-    while len(open_rows) and len(chosen) < SHORTLIST:
-        toxic = open_rows.sum(axis=0)
-        gain = _gain(toxic, clean, max(len(open_rows), 1), n_clean)
-        best = int(np.argmax(gain))
-        t, c = toxic[best], clean[best]
-        # enough to stand out among all shortlisted features by more than chance
-        if t < 3 or gain[best] < 5.0:
-            break
-        real_t, real_c = (t + 0.5) / share[1], (c + 0.5) / share[0]
-        chosen.append(best)
-        weights.append(min(real_t / (real_t + real_c), 0.999))
-        open_rows = open_rows[~open_rows[:, best]]
+    for least in PRECISION:
+        while len(open_rows) and len(chosen) < SHORTLIST:
+            toxic = open_rows.sum(axis=0)
+            real = (toxic + 0.5) / share[1]
+            weight = real / (real + (clean + 0.5) / share[0])
+            gain = np.where((weight >= least) & (toxic > 2), _gain(toxic, clean, max(len(open_rows), 1), n_clean), 0.0)
+            best = int(np.argmax(gain))
+            if gain[best] <= chance:
+                break
+            chosen.append(best)
+            weights.append(min(weight[best], 0.999))
+            open_rows = open_rows[~open_rows[:, best]]
     rest = (len(open_rows) + 0.5) / share[1]
     base = rest / (rest + n_clean / share[0])
     order = np.argsort(features[chosen]) if chosen else []
