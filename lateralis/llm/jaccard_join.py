@@ -404,13 +404,18 @@ def keep_one(documents: DataFrame) -> DataFrame:
 
     Of rows with equal ids in a component one stays; rows without an id are always kept.
     """
-    found = components(documents.select("doc_id", "text"))
-    key, copies = free_name(documents, "kept_id"), free_name(documents, "copies")
-    kept = found.where(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias(copies))
-    rows = documents.join(kept, F.col("doc_id").cast("long") == F.col(key), "left")
-    single = rows.where((F.col(copies) == 1) | F.col("doc_id").isNull()).select(*documents.columns)
-    repeated = rows.where(F.col(copies) > 1).select(*documents.columns).dropDuplicates(["doc_id"])
-    return single.unionByName(repeated)
+    spark = documents.sparkSession
+    path = scratch_path(spark, "components")
+    components(documents.select("doc_id", "text")).write.parquet(path)
+    found = spark.read.parquet(path)
+    key = free_name(documents, "component_key")
+    this = F.col("doc_id").cast("long") == F.col(key)
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct()
+    repeated = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias(key)).count().where("count > 1").select(key)
+    kept = documents.join(gone, this, "left_anti")
+    if not repeated.limit(1).count():
+        return kept
+    return kept.join(repeated, this, "left_anti").unionByName(kept.join(repeated, this, "left_semi").dropDuplicates(["doc_id"]))
 
 
 @query("""
