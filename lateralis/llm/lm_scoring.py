@@ -4,7 +4,7 @@ Counting is one pass over the training texts: equal n-grams of a slice are added
 segment, and each segment writes (a) its exact token counts and (b) its part of a Bloom filter. For an n-gram
 with count c the filter holds the n-gram at every quantisation level up to that of c; a level is read back by
 probing level after level until one is missing. The filter is broadcast. It takes ``BITS_PER_ENTRY`` for each
-entry up to ``segments.MOST_BYTES``; n-grams of all training texts go in at any size, and beyond the bound the
+entry up to ``MOST_BYTES``; n-grams of all training texts go in at any size, and beyond the bound the
 rate of false positives rises instead.
 
 Model: outcomes are the V training tokens and one class of unknown tokens, as for the add-one base.
@@ -37,9 +37,10 @@ from lateralis.session import scratch_path
 
 START, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 HEAD = 1 << 20
-BITS_PER_ENTRY = 10
-PROBES = 5
+BITS_PER_ENTRY = 8
+PROBES = 4
 WEIGHT = 0.25
+MOST_BYTES = 512 << 20  # bound of the filter that is broadcast
 #: Least counts of the quantisation levels 1, 2, ...: powers of the square root of two, rounded up.
 LEVELS = np.unique(np.ceil(np.sqrt(2.0) ** np.arange(0, 100) - 1e-9)).astype(np.int64)
 #: What a level counts as: the middle of its range, on a logarithmic scale.
@@ -94,13 +95,13 @@ def _stream(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return stream, np.repeat(np.arange(len(n)), n), before
 
 
-def count(documents: DataFrame, train: Column, most_bytes: int = seg.MOST_BYTES) -> DataFrame:
+def count(documents: DataFrame, train: Column, most_bytes: int = MOST_BYTES) -> DataFrame:
     """One row per segment: exact token counts, and the filter part of its tokens and bigrams."""
     bits = seg.segment_bits(documents.sparkSession)
     rows = documents.where(train).select(F.col("text").alias("text"))
 
     def emit(batches):
-        for batch in sliced(batches, size=8 << 20):
+        for batch in sliced(batches):
             stream, owners, before = _stream(words_of(batch.column("text"), lower=True))
             marks = np.full(len(batch), START)
             out = []

@@ -16,6 +16,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from lateralis.llm.text import mix
@@ -129,13 +130,14 @@ class Filter(NamedTuple):
     data: np.ndarray
 
     @classmethod
-    def of(cls, bits: int, probes: int, parts: Iterable[tuple[int, bytes]]) -> Filter:
+    def of(cls, bits: int, probes: int, parts: pa.Table) -> Filter:
+        """From the rows (segment, bits) of all segments."""
         sizes = np.zeros(1 << bits, np.uint64)
-        ordered = sorted(parts, key=lambda p: p[0])
-        for segment, data in ordered:
-            sizes[segment] = 8 * len(data)
+        parts = parts.sort_by("segment")
+        sizes[parts["segment"].to_numpy()] = 8 * pc.binary_length(parts["bits"]).to_numpy().astype(np.uint64)
+        data = np.concatenate([_content(chunk) for chunk in parts["bits"].chunks] or [np.zeros(0, np.uint8)])
         base = (np.cumsum(sizes) - sizes) // np.uint64(8)
-        return cls(bits, probes, base, sizes, np.frombuffer(b"".join(d for _, d in ordered), np.uint8))
+        return cls(bits, probes, base, sizes, data)
 
     def contains(self, hashes: np.ndarray, routed: np.ndarray | None = None) -> np.ndarray:
         """Membership of each hash; ``routed`` gives the hashes whose segment is probed, where they differ."""
@@ -156,5 +158,13 @@ class Filter(NamedTuple):
 
 def collect_filter(parts: DataFrame, bits: int, probes: int) -> Filter:
     """A filter from rows (segment, bits); its size is bounded by ``filter_bits``."""
-    found = parts.select("segment", "bits").toArrow()
-    return Filter.of(bits, probes, zip(found["segment"].to_pylist(), found["bits"].to_pylist()))
+    return Filter.of(bits, probes, parts.select("segment", "bits").toArrow())
+
+
+def _content(chunk: pa.Array) -> np.ndarray:
+    """The bytes of a binary array, without a copy."""
+    _, offsets, data = chunk.buffers()
+    if data is None or not len(chunk):
+        return np.zeros(0, np.uint8)
+    offsets = np.frombuffer(offsets, np.int32, len(chunk) + 1, chunk.offset * 4)
+    return np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]]
