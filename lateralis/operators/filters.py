@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from math import isfinite
 from operator import and_
 
 from pyspark import StorageLevel
@@ -16,8 +17,7 @@ from lateralis.config import FilterConfig, StatisticalFilter
 from lateralis.functions.columns import col, ratio
 from lateralis.operators.derive import keep_columns, require_columns
 from lateralis.operators.quantiles import group_quantiles, medians, quantiles
-
-GROUP_LIMIT = 10_000
+from lateralis.session import broadcast_if_small, checkpointed
 
 
 @dataclass(frozen=True)
@@ -64,7 +64,8 @@ def filter_range(
 
 
 def _truncated(value: float | None) -> int | None:
-    return None if value is None else int(value)
+    """Toward zero; an infinite bound is none."""
+    return None if value is None or not isfinite(value) else int(value)
 
 
 def percentile_bounds(
@@ -99,18 +100,29 @@ def threshold_chain(
     """Range filters in order. Percentile bounds are taken on the rows the earlier columns left over.
 
     The bounds enter the plan as literals, so every step reaches the scan as a pushed filter. With
-    percentiles this is one small aggregate per column by definition; persist ``df`` if it is
-    expensive to compute.
+    percentiles this is one small aggregate per column by definition; they share one persisted copy of
+    the filtered columns, which is released before the return.
     """
     result = Filtered(df, df)
-    if percentile and thresholds and not accuracy and "rows_at_most" not in options:
-        options["rows_at_most"] = df.count()  # later steps have fewer rows: one count serves them all
-    for column, (lower, upper) in thresholds.items():
-        if percentile:
-            lower, upper = percentile_bounds(result.df, column, lower, upper, accuracy, **options)
-        condition = within(col(column), lower, upper, strict)
-        result.df = filter_range(result.df, column, lower, upper, strict)
-        result.steps.append(Step("percentile" if percentile else "value", column, lower, upper, condition))
+    rows = first = None
+    if percentile and thresholds:
+        # the aggregates of all steps read these few columns once
+        rows = df.select(*[col(c) for c in dict.fromkeys(thresholds)]).persist(StorageLevel.MEMORY_AND_DISK)
+        first = rows
+        if not accuracy and "rows_at_most" not in options:
+            options["rows_at_most"] = rows.count()  # later steps have fewer rows: one count serves them all
+    try:
+        for column, (lower, upper) in thresholds.items():
+            require_columns(df, [column])
+            if percentile:
+                lower, upper = percentile_bounds(rows, column, lower, upper, accuracy, **options)
+                rows = filter_range(rows, column, lower, upper, strict)
+            condition = within(col(column), lower, upper, strict)
+            result.df = filter_range(result.df, column, lower, upper, strict)
+            result.steps.append(Step("percentile" if percentile else "value", column, lower, upper, condition))
+    finally:
+        if first is not None:
+            first.unpersist()
     return result
 
 
@@ -120,31 +132,26 @@ def grouped_threshold_chain(
     thresholds: Mapping[str, tuple[float, float]],
     *,
     strict: bool = False,
-    group_limit: int = GROUP_LIMIT,
     **options,
 ) -> DataFrame:
-    """:func:`threshold_chain` on percentiles taken per group, for all groups at once.
+    """:func:`threshold_chain` on percentiles taken per group, for all groups at once and any number of them.
 
-    The bounds of one column are a table with a row per group; its size is checked against
-    ``group_limit`` before it is collected and broadcast.
+    The bounds of one column are a written table with a row per group, joined by whatever strategy its size
+    allows; rows of a large group are spread by the skew handling of adaptive execution.
     """
-    spark = df.sparkSession
-    key_type = df.schema[by].dataType
     options.setdefault("rows_at_most", df.count())
     for column, (lower, upper) in thresholds.items():
         bounds = group_quantiles(df, {column: [lower, upper]}, [by], **options)
-        rows = bounds.limit(group_limit + 1).collect()
-        if len(rows) > group_limit:
-            raise ValueError(f"more than {group_limit} groups in {by!r}")
-        schema = T.StructType(
-            [T.StructField("_group", key_type), T.StructField("_lo", T.LongType()), T.StructField("_hi", T.LongType())]
-        )
-        pairs = [(r[by], *[_truncated(v) for v in (r[column] or [None, None])]) for r in rows]
-        table = F.broadcast(spark.createDataFrame(pairs, schema))
+
+        def bound(i: int) -> Column:
+            value = F.get(col(column), F.lit(i))
+            return F.when(F.abs(value) < 9e18, value.cast("long"))
+
+        table = checkpointed(bounds.select(col(by).alias("_group"), bound(0).alias("_lo"), bound(1).alias("_hi")))
         inactive_low = F.col("_lo").isNull() | (F.lit(not strict) & (F.col("_lo") == 0))
         inactive_high = F.col("_hi").isNull() | (F.lit(not strict) & (F.col("_hi") == 0))
         df = (
-            df.join(table, col(by).eqNullSafe(F.col("_group")), "inner")
+            df.join(broadcast_if_small(table), col(by).eqNullSafe(F.col("_group")), "inner")
             .where((inactive_low | (col(column) > F.col("_lo"))) & (inactive_high | (col(column) <= F.col("_hi"))))
             .drop("_group", "_lo", "_hi")
         )
@@ -167,11 +174,15 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def mad_conditions(df: DataFrame, columns: Sequence[str], threshold: float = 3.0, **options) -> dict[str, Column]:
     """Per column: ``|x - median| <= threshold * MAD``, with the unscaled median absolute deviation."""
-    options.setdefault("rows_at_most", df.count())
-    centre = medians(df, columns, **options)
-    usable = [c for c in columns if centre[c] is not None]
-    deviations = df.select(*[F.abs(col(c) - F.lit(centre[c])).alias(c) for c in usable])
-    spread = medians(deviations, usable, **options) if usable else {}
+    rows = df.select(*[col(c) for c in columns]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        options.setdefault("rows_at_most", rows.count())
+        centre = medians(rows, columns, **options)
+        usable = [c for c in columns if centre[c] is not None]
+        deviations = rows.select(*[F.abs(col(c) - F.lit(centre[c])).alias(c) for c in usable])
+        spread = medians(deviations, usable, **options) if usable else {}
+    finally:
+        rows.unpersist()
     return {
         c: F.abs(col(c) - F.lit(centre[c])) <= F.lit(threshold * spread[c]) if c in spread else F.lit(False)
         for c in columns
@@ -208,16 +219,24 @@ def mask_cells(df: DataFrame, conditions: Mapping[str, Column]) -> tuple[DataFra
     return df.select(*kept), df.select(*outliers)
 
 
-def statistical_mask(df: DataFrame, settings: StatisticalFilter, **options) -> tuple[DataFrame, DataFrame]:
+def statistical_conditions(df: DataFrame, settings: StatisticalFilter, **options) -> dict[str, Column]:
+    """The condition of every masked column."""
     columns = list(settings.columns or numeric_columns(df))
     require_columns(df, columns)
     if settings.kind == "mad":
-        conditions = mad_conditions(df, columns, settings.threshold, **options)
-    elif settings.kind == "z-score":
-        conditions = zscore_conditions(df, columns, settings.threshold)
-    else:
-        raise ValueError(f"unknown statistical filter {settings.kind!r}: use 'mad' or 'z-score'")
-    return mask_cells(df, conditions)
+        return mad_conditions(df, columns, settings.threshold, **options)
+    if settings.kind == "z-score":
+        return zscore_conditions(df, columns, settings.threshold)
+    raise ValueError(f"unknown statistical filter {settings.kind!r}: use 'mad' or 'z-score'")
+
+
+def statistical_mask(df: DataFrame, settings: StatisticalFilter, **options) -> tuple[DataFrame, DataFrame]:
+    return mask_cells(df, statistical_conditions(df, settings, **options))
+
+
+def _is_nan(df: DataFrame, column: str) -> Column:
+    kind = df.schema[column].dataType
+    return F.isnan(col(column)) if isinstance(kind, (T.DoubleType, T.FloatType)) else F.lit(False)
 
 
 def apply_filters(
@@ -240,9 +259,15 @@ def apply_filters(
     if storage is not None:
         complete = complete.persist(storage)
     masked = complete
+    first = [Step("complete", "*", None, None, reduce(and_, [col(c).isNotNull() & ~_is_nan(df, c) for c in df.columns]))]
     if settings.statistical:
-        masked, _ = statistical_mask(complete, settings.statistical, **options)
+        conditions = statistical_conditions(complete, settings.statistical, **options)
+        masked, _ = mask_cells(complete, conditions)
+        kept = reduce(and_, [F.coalesce(c, F.lit(False)) for c in conditions.values()], F.lit(True))
+        first.append(Step(settings.statistical.kind, ", ".join(conditions), None, settings.statistical.threshold, kept))
     result = threshold_chain(masked, settings.thresholds, settings.percentile, **options)
+    result.source = df
+    result.steps[:0] = first
     for (numerator, denominator), value in settings.ratios.items():
         result.df = ratio_filter(result.df, numerator, denominator, value)
         condition = _ratio_is(numerator, denominator, value)

@@ -8,9 +8,10 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lateralis.functions.columns import col, ratio
-from lateralis.operators.quantiles import exceeds, group_quantiles, percentile_array
+from lateralis.operators.quantiles import exceeds, group_quantiles, sorted_quantiles
 
 # Metric names of the leaderboard.
 R2 = "r2"
@@ -47,13 +48,13 @@ def regression_metrics(
 ) -> DataFrame:
     """R2, MAPE, RMSE and residual spread, each at 5 decimals, overall or per group.
 
-    RMSE is the root of the MSE at 5 decimals. Small groups take one aggregate; where a group is
+    RMSE is the root of the MSE at 5 decimals. Rows with a NULL or NaN on either side are left out. Small groups take one aggregate; where a group is
     large its residual quantiles are found by narrowing and joined to the sums.
     """
     probabilities = [0.1, 0.25, 0.75, 0.9]
     pairs = df.select(
         *[col(c) for c in by], col(actual).cast("double").alias("_y"), col(predicted).cast("double").alias("_p")
-    ).where(F.col("_y").isNotNull() & F.col("_p").isNotNull())
+    ).where(F.col("_y").isNotNull() & F.col("_p").isNotNull() & ~F.isnan("_y") & ~F.isnan("_p"))
     pairs = pairs.withColumn("_r", F.col("_y") - F.col("_p"))
     y, p, r = F.col("_y"), F.col("_p"), F.col("_r")
     sums = [
@@ -64,7 +65,7 @@ def regression_metrics(
     ]
     keys = [col(c) for c in by]
     if not exceeds(pairs, by, **({"rows": options["builtin_rows"]} if "builtin_rows" in options else {})):
-        rows = pairs.groupBy(*keys).agg(*sums, percentile_array(r, probabilities).alias("_q"))
+        rows = pairs.groupBy(*keys).agg(*sums, sorted_quantiles(r, probabilities).alias("_q"))
     else:
         spread = group_quantiles(pairs, {"_r": probabilities}, by, **options).withColumnRenamed("_r", "_q")
         totals = pairs.groupBy(*keys).agg(*sums)
@@ -109,7 +110,8 @@ def residual_frame(
 
 
 def describe(df: DataFrame, columns: Sequence[str], **options) -> DataFrame:
-    """One row per column: count, mean, sample std, min, quartiles and max, all exact."""
+    """One row per column: count, mean, sample std, min, quartiles and max, all exact; NaN is missing like NULL."""
+    df = df.select(*[col(c) if not isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)) else F.nanvl(col(c), F.lit(None)).alias(c) for c in columns])
     probabilities = [0.25, 0.5, 0.75]
     moments = [
         f(col(c)).alias(f"{n}{i}")
@@ -118,7 +120,7 @@ def describe(df: DataFrame, columns: Sequence[str], **options) -> DataFrame:
     ]
     limit = {"rows": options["builtin_rows"]} if "builtin_rows" in options else {}
     if not exceeds(df, **limit):
-        row = df.agg(*moments, *[percentile_array(col(c).cast("double"), probabilities).alias(f"q{i}") for i, c in enumerate(columns)])
+        row = df.agg(*moments, *[sorted_quantiles(col(c), probabilities).alias(f"q{i}") for i, c in enumerate(columns)])
     else:
         found = group_quantiles(df, {c: probabilities for c in columns}, **options).head()
         row = df.agg(*moments).withColumns(

@@ -1,7 +1,10 @@
 """Exact quantiles, overall or per group, that never put one group into one task.
 
-``percentile`` is exact but holds every distinct value of a group in one aggregation buffer. It is
-used for groups of a checked size. Larger groups are narrowed: each round counts the values of the
+Every quantile is interpolated by one expression between two order statistics, so that it does not
+depend on how those were found. NaN is missing like NULL; infinities, and values at the end of the range
+of a double, rank beyond all others and come out as infinities.
+
+Groups of a checked size are sorted in one aggregation buffer. Larger groups are narrowed: each round counts the values of the
 current interval in buckets (a map-side combined count, however hot the group is) and keeps the
 bucket with the wanted rank, until the interval is a single value. Both ends of an interval fall
 into different buckets, so every round makes progress. The first buckets are equally wide on a
@@ -28,8 +31,36 @@ SET_ASIDE_SHARE = 0.05
 LARGEST = 1.7976931348623157e308
 
 
-def percentile_array(column: Column, probabilities: Sequence[float]) -> Column:
-    return F.percentile(column, F.array(*[F.lit(float(p)) for p in probabilities]))
+def ranked(column: Column) -> Column:
+    """``column`` as what is ranked: NaN is NULL, infinities are the ends of the finite range."""
+    x = column.cast("double")
+    return F.when(F.isnan(x), None).when(x > LARGEST, LARGEST).when(x < -LARGEST, -LARGEST).otherwise(x)
+
+
+def _rank(count: Column, probability: float) -> Column:
+    return (count - 1) * F.lit(float(probability))
+
+
+def interpolated(low: Column, high: Column, fraction: Column) -> Column:
+    """Linear interpolation from the nearer end; nothing is added to an end that is met exactly."""
+    step = high - low
+    between = F.when(fraction < 0.5, low + step * fraction).otherwise(high - step * (1 - fraction))
+    exact = F.when((low == high) | (fraction == 0), low)
+    return (
+        F.when(F.coalesce(exact, high) >= LARGEST, F.lit(float("inf")))
+        .when(F.coalesce(exact, low) <= -LARGEST, F.lit(float("-inf")))
+        .otherwise(F.coalesce(exact, between))
+    )
+
+
+def sorted_quantiles(column: Column, probabilities: Sequence[float]) -> Column:
+    """An aggregate: the quantiles of a group of checked size as an array, NULL without values."""
+    values = F.sort_array(F.collect_list(ranked(column)))
+    ranks = [_rank(F.size(values), p) for p in probabilities]
+    found = [
+        interpolated(F.get(values, F.floor(r).cast("int")), F.get(values, F.ceil(r).cast("int")), r - F.floor(r)) for r in ranks
+    ]
+    return F.when(F.size(values) > 0, F.array(*found))
 
 
 def _largest_group(df: DataFrame, by: Sequence[str]) -> int:
@@ -55,22 +86,21 @@ def group_quantiles(
 ) -> DataFrame:
     """One row per group: the ``by`` columns and, per wanted column, an array of its quantiles.
 
-    Linear interpolation between order statistics; NULL and NaN are skipped. A caller that has counted the
+    Linear interpolation between order statistics; NULL and NaN are skipped. The result is the same, bit for
+    bit, whatever ``builtin_rows`` is. A caller that has counted the
     rows already passes ``rows_at_most`` and saves the count.
     """
     keys = [f"g{i}" for i in range(len(by))]
     values = [f"v{i}" for i in range(len(wanted))]
     narrow = df.select(
         *[col(c).alias(k) for c, k in zip(by, keys)],
-        *[F.nanvl(col(c).cast("double"), F.lit(None)).alias(v) for c, v in zip(wanted, values)],
+        *[ranked(col(c)).alias(v) for c, v in zip(wanted, values)],
     )
     probabilities = list(wanted.values())
     if rows_at_most is None:
         rows_at_most = _largest_group(narrow, keys)
     large = None
     if rows_at_most > builtin_rows:
-        # An infinite value would leave no scale to narrow on; it ranks as the largest finite one.
-        narrow = narrow.withColumns({v: _finite(F.col(v)) for v in values})
         sizes = narrow.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("rows"),
             *[f(v).alias(f"{p}{i}") for i, v in enumerate(values) for p, f in (("n", F.count), ("lo", F.min), ("hi", F.max))],
@@ -99,7 +129,7 @@ def medians(df: DataFrame, columns: Sequence[str], **options) -> dict[str, float
 
 
 def _builtin(narrow: DataFrame, keys: list[str], probabilities: list[Sequence[float]]) -> DataFrame:
-    aggregates = [percentile_array(F.col(f"v{i}"), ps).alias(f"v{i}") for i, ps in enumerate(probabilities)]
+    aggregates = [sorted_quantiles(F.col(f"v{i}"), ps).alias(f"v{i}") for i, ps in enumerate(probabilities)]
     return narrow.groupBy(*keys).agg(*aggregates)
 
 
@@ -112,10 +142,6 @@ def _hinted(groups: DataFrame) -> DataFrame:
     return F.broadcast(groups) if groups.count() <= BROADCAST_ROWS else groups
 
 
-def _finite(x: Column) -> Column:
-    return F.when(x > LARGEST, LARGEST).when(x < -LARGEST, -LARGEST).otherwise(x)
-
-
 def _log_scale(x: Column) -> Column:
     return F.signum(x) * F.log1p(F.abs(x))
 
@@ -132,7 +158,7 @@ def _narrowed(
     targets = [(i, j, side) for i, ps in enumerate(probabilities) for j in range(len(ps)) for side in (0, 1)]
 
     def start(number: int, i: int, j: int, side: int) -> Column:
-        rank = (F.col(f"n{i}") - 1) * F.lit(float(probabilities[i][j]))
+        rank = _rank(F.col(f"n{i}"), probabilities[i][j])
         return F.struct(
             F.lit(i).alias("c"),
             F.lit(number).alias("target"),
@@ -203,7 +229,7 @@ def _narrowed(
 
     def quantile(i: int, j: int) -> Column:
         low, high = pick("lo", (i, j, 0)), pick("lo", (i, j, 1))
-        return low + (high - low) * pick("fraction", (i, j, 0))
+        return interpolated(low, high, pick("fraction", (i, j, 0)))
 
     found = [
         F.when(pick("lo", (i, 0, 0)).isNotNull(), F.array(*[quantile(i, j) for j in range(len(ps))])).alias(f"v{i}")
