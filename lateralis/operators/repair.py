@@ -43,8 +43,8 @@ def impute_from_reference(
     """Flagged rows with a match take every mapped column from ``reference``, NULLs included.
 
     ``columns`` maps own to reference column names. Only flagged rows with a key take part in the
-    shuffle. More than one match for a flagged row is an error that names the key; since it is
-    raised inside the join's own projection it costs no extra pass.
+    shuffle. More than one match for a flagged row is an error that names the key; it is raised by a
+    condition on the joined rows, so it costs no extra pass and no later projection can prune it.
     """
     columns = dict(columns or {c: c for c in (TOTAL, *SHARES)})
     candidate = F.coalesce(col(flag), F.lit(False)) & col(key).isNotNull()
@@ -59,11 +59,10 @@ def impute_from_reference(
     )
     joined = skew_join(df.where(candidate), lookup, key, "left", hot_rows)
     several = F.raise_error(F.concat(F.lit(f"several reference rows for {key} "), col(key).cast("string")))
+    # a condition on the rows, which no projection of the result can prune
+    joined = joined.where(F.when(F.col("_matches") > 1, several.cast("boolean")).otherwise(F.lit(True)))
     replaced = {
-        own: F.when(F.col("_matches") > 1, several.cast("double"))
-        .when(F.col("_matches") == 1, F.col(f"_ref{i}"))
-        .otherwise(col(own))
-        for i, own in enumerate(columns)
+        own: F.when(F.col("_matches") == 1, F.col(f"_ref{i}")).otherwise(col(own)) for i, own in enumerate(columns)
     }
     repaired = joined.select(*[replaced[c].alias(c) if c in replaced else col(c) for c in df.columns])
     return df.where(~candidate).unionByName(repaired)

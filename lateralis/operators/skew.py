@@ -2,45 +2,39 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from math import ceil
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lateralis.functions.columns import col
+from lateralis.session import broadcast_if_small, checkpointed
 
 HOT_ROWS = 2_000_000
-TRACKED_KEYS = 10_000
-LISTED_KEYS = 100
 
 
-@dataclass(frozen=True)
-class HotKeys:
-    keys: tuple
-    salts: int
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """(_hot, _salts): every key with more than ``hot_rows`` rows and the salts that bring it below that.
 
-    def salt(self, key: Column, spread_on: Column) -> Column:
-        """A salt for rows of hot keys, 0 for the rest."""
-        return F.when(key.isin(*self.keys), F.pmod(spread_on, F.lit(self.salts))).otherwise(F.lit(0)).cast("int")
+    An exact count, combined map-side; there are at most ``rows / hot_rows`` such keys, however they are spread.
+    """
+    counts = df.where(col(key).isNotNull()).groupBy(col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > hot_rows).select("_hot", F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
+    hot = checkpointed(hot)
+    return hot if hot.head(1) else None
 
-    def copies(self, key: Column) -> Column:
-        """All salts of a hot key, so that its rows meet every salted partner; ``[0]`` for the rest."""
-        return F.when(key.isin(*self.keys), F.sequence(F.lit(0), F.lit(self.salts - 1))).otherwise(F.array(F.lit(0)))
 
+def _salted(df: DataFrame, key: str, hot: DataFrame, name: str) -> DataFrame:
+    """A salt for rows of hot keys, 0 for the rest. Rows without a key meet nothing and are spread too."""
+    joined = df.join(broadcast_if_small(hot), col(key) == F.col("_hot"), "left")
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = F.when(col(key).isNull(), spread).otherwise(F.coalesce("_salts", F.lit(1)))
+    return joined.withColumn(name, F.pmod(_row_hash(df), salts).cast("int")).drop("_hot", "_salts")
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> HotKeys | None:
-    """Keys with more than ``hot_rows`` rows, found by a mergeable sketch: one scan of the key column.
 
-    The estimate only decides which keys are salted; the join result does not depend on it.
-    """
-    sketch = f"approx_top_k({_quoted(key)}, {LISTED_KEYS}, {TRACKED_KEYS})"
-    present = df.where(col(key).isNotNull()).select(col(key))
-    top = present.selectExpr(f"inline({sketch})").toDF("item", "n").where(F.col("n") > hot_rows).collect()
-    if not top:
-        return None
-    parallelism = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return HotKeys(tuple(r["item"] for r in top), max(2, min(ceil(max(r["n"] for r in top) / hot_rows), parallelism)))
+def _copied(df: DataFrame, key: str, hot: DataFrame, name: str) -> DataFrame:
+    """Rows of a hot key once per salt, so that they meet every salted partner."""
+    joined = df.join(broadcast_if_small(hot), col(key) == F.col("_hot"), "left")
+    salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    return joined.withColumn(name, F.explode(salts)).drop("_hot", "_salts")
 
 
 def skew_join(
@@ -54,18 +48,16 @@ def skew_join(
     if how not in ("inner", "left"):
         raise ValueError("skew_join does inner and left joins")
     hot_left = hot_keys(left, key, hot_rows)
+    if hot_left is None and how == "left" and left.where(col(key).isNull()).limit(hot_rows + 1).count() > hot_rows:
+        hot_left = left.select(col(key).alias("_hot"), F.lit(1).alias("_salts")).limit(0)  # only rows without a key are many
     hot_right = hot_keys(right, key, hot_rows) if how == "inner" else None
-    if hot_left is None and hot_right is None:
-        return left.join(right, key, how)
     salts = []
     if hot_left is not None:
         salts.append("_left_salt")
-        left = left.withColumn("_left_salt", hot_left.salt(col(key), _row_hash(left)))
-        right = right.withColumn("_left_salt", F.explode(hot_left.copies(col(key))))
+        left, right = _salted(left, key, hot_left, "_left_salt"), _copied(right, key, hot_left, "_left_salt")
     if hot_right is not None:
         salts.append("_right_salt")
-        right = right.withColumn("_right_salt", hot_right.salt(col(key), _row_hash(right)))
-        left = left.withColumn("_right_salt", F.explode(hot_right.copies(col(key))))
+        left, right = _copied(left, key, hot_right, "_right_salt"), _salted(right, key, hot_right, "_right_salt")
     return left.join(right, [key, *salts], how).drop(*salts)
 
 
@@ -73,7 +65,3 @@ def _row_hash(df: DataFrame) -> Column:
     """Spreads the rows of one key; the partition id also separates exact copies."""
     hashable = [col(f.name) for f in df.schema if "map" not in f.dataType.simpleString()]
     return F.xxhash64(F.spark_partition_id(), *hashable)
-
-
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"

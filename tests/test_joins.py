@@ -25,12 +25,14 @@ def test_duplicate_reference_rows_fail_only_when_used(spark):
     used = spark.createDataFrame([("a", 1.0, True)], "API14 string, cost double, cost_filter boolean")
     with pytest.raises(Exception, match="several reference rows for API14 a"):
         impute_from_reference(used, reference, columns={"cost": "cost"}).collect()
+    with pytest.raises(Exception, match="several reference rows for API14 a"):
+        impute_from_reference(used, reference, columns={"cost": "cost"}).select("API14").collect()
 
 
 def test_skew_join_equals_join(spark):
     left = spark.range(0, 900).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("l"))
     right = spark.range(0, 600).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("r"))
-    assert hot_keys(left, "k", 100).keys == (7,) and hot_keys(left, "k", 1000) is None
+    assert [tuple(r) for r in hot_keys(left, "k", 100).collect()] == [(7, 4)] and hot_keys(left, "k", 1000) is None
     for how in ("inner", "left"):
         want = left.join(right, "k", how)
         got = skew_join(left, right, "k", how, hot_rows=100).select(want.columns)
@@ -40,6 +42,17 @@ def test_skew_join_equals_join(spark):
         skew_join(left, right, "k", "full")
 
 
+def test_skew_join_of_many_hot_keys_and_rows_without_a_key(spark):
+    left = spark.range(0, 6000).select(F.when(F.col("id") % 2 == 0, F.col("id") % 300).alias("k"), F.col("id").alias("l"))
+    right = spark.range(0, 300).select(F.col("id").alias("k"), (F.col("id") * 2).alias("r"))
+    assert hot_keys(left, "k", 15).count() == 150
+    for how, limit in (("inner", 15), ("left", 15), ("left", 2500)):
+        want = left.join(right, "k", how)
+        got = skew_join(left, right, "k", how, hot_rows=limit).select(want.columns)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert (skew_join(left, right, "k", "left", hot_rows=2500).where("k IS NULL").select(F.spark_partition_id()).distinct().count()) > 1
+
+
 PATHS = [
     ("inside", -98.3, 35.7, -98.2, 35.8, {"NW"}),
     ("crossing", -98.1, 35.7, -97.9, 35.7, {"NW", "NE"}),
