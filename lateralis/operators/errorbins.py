@@ -6,12 +6,12 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from math import floor
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lateralis.functions.columns import bin_floor, bin_label, bin_lower, col, ratio
 from lateralis.operators.quantiles import group_quantiles
-from lateralis.session import broadcast_if_small
+from lateralis.session import broadcast_if_small, checkpointed
 
 # Bin widths of the error table.
 LATERAL_STEP = 1000
@@ -72,20 +72,20 @@ def nested_bins(df: DataFrame, spec: BinSpec) -> DataFrame:
     """The three bin labels; inner bins start at the minimum of the rows of their outer bin.
 
     All levels share one grid, so nesting only decides whether a value that is exactly the lowest
-    edge of its subset has a bin. The minima per outer bin are map-side combined and few.
+    edge of its subset has a bin. The minima of all levels come from one map-side combined aggregate.
     """
-    outer: list[str] = []
-    for column, step, name in zip(spec.columns, spec.steps, BIN_COLUMNS):
-        width = F.lit(step)
-        if not outer:
-            df = step_bins(df, column, step, name).where(col(name).isNotNull())
-        else:
-            lowest = df.groupBy(*outer).agg(F.min(col(column)).alias("_lowest"))
-            df = df.join(broadcast_if_small(lowest), outer, "inner")
-            df = df.withColumn(name, _label(col(column), width, F.col("_lowest"))).drop("_lowest")
-            df = df.where(col(name).isNotNull())
-        outer.append(name)
-    return df
+    cells = [bin_lower(col(c), F.lit(w)) for c, w in zip(spec.columns, spec.steps)]
+    lows = [F.min(col(c)).alias(f"_low{i}") for i, c in enumerate(spec.columns)]
+    # one pass: the least value of every level in each pair of outer cells
+    pairs = checkpointed(df.groupBy(cells[0].alias("_a"), cells[1].alias("_b")).agg(*lows))
+    lowest = pairs.agg(F.min("_low0")).head()[0]
+    floor_of = [bin_floor(low, F.lit(w)) for low, w in zip((F.lit(lowest), F.col("_low1"), F.col("_low2")), spec.steps)]
+    first = pairs.where(F.col("_a") >= floor_of[0]) if lowest is not None else pairs.limit(0)
+    inner = first.withColumn("_low1", F.min("_low1").over(Window.partitionBy("_a")))  # a row per pair of cells
+    held = inner.where(F.col("_b") >= floor_of[1]).select("_a", "_b", "_low2")
+    joined = df.withColumns({"_a": cells[0], "_b": cells[1], "_c": cells[2]}).join(broadcast_if_small(held), ["_a", "_b"])
+    labels = {n: bin_label(F.col(c), F.lit(w)) for n, c, w in zip(BIN_COLUMNS, ("_a", "_b", "_c"), spec.steps)}
+    return joined.where(F.col("_c") >= floor_of[2]).withColumns(labels).drop("_a", "_b", "_c", "_low2")
 
 
 def absolute_percentage_error(actual: Column, predicted: Column, signed: bool = False) -> Column:

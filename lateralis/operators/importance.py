@@ -44,43 +44,49 @@ def permutation_importance(
         col(label).cast("double").alias("_y"),
         col(PREDICTION).alias("_p"),
         vector_to_array(col(features)).alias("_x"),
-        # The partition id keeps a large group of identical rows from filling a single bucket.
-        F.pmod(F.xxhash64(F.lit(seed), col(key), F.spark_partition_id()), F.lit(buckets)).alias("_bucket"),
         F.xxhash64(col(key)).alias("_id"),
-    ).repartition("_bucket")
+    )
+    # Key and content decide, never the partitioning. Rows that are equal in both are interchangeable.
+    content = F.xxhash64(F.lit(seed), F.col("_id"), F.col("_y"), F.col("_x"))
+    base = base.withColumn("_bucket", F.pmod(content, F.lit(buckets))).repartition("_bucket")
     shuffled = base
     for repeat in range(repeats):
         order = F.xxhash64(F.lit(seed), F.lit(repeat), F.col("_id"))
-        bucket = Window.partitionBy("_bucket").orderBy(order, "_y")
+        bucket = Window.partitionBy("_bucket").orderBy(order, "_y", "_x")
         whole = bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         following = F.coalesce(F.lead("_x").over(bucket), F.first("_x").over(whole))
         shuffled = shuffled.withColumn(f"_x{repeat}", following)
 
-    # Variant -1 is the untouched row; variant k shuffles feature k div repeats in repeat k mod repeats.
-    variant = F.explode(F.sequence(F.lit(-1), F.lit(len(names) * repeats - 1)))
-    gathered = shuffled.select("_y", "_p", "_x", F.array(*[F.col(f"_x{r}") for r in range(repeats)]).alias("_xs"))
-    numbered = gathered.select("_y", "_p", "_x", "_xs", variant.alias("_k")).withColumns(
-        {"feature": F.floor(F.col("_k") / repeats).cast("int"), "repeat": F.pmod("_k", F.lit(repeats))}
-    )
-    foreign = F.get(F.get(F.col("_xs"), F.col("repeat")), F.col("feature"))
-    own = F.get(F.col("_x"), F.col("feature"))
-    untouched = F.col("_k") < 0
+    count = len(names)
+    actual, predicted = F.col("_y"), F.col("_p")
     if hasattr(model, "coefficients"):
-        weights = F.array(*[F.lit(float(w)) for w in model.coefficients])
-        moved = F.col("_p") + F.get(weights, F.col("feature")) * (foreign - own)
-        predicted = numbered.withColumn(PREDICTION, F.when(untouched, F.col("_p")).otherwise(moved))
+        # The residual moves by the weight times the change of the feature, so two sums per feature and repeat do.
+        changes = F.flatten(F.array(*[F.zip_with(f"_x{r}", "_x", lambda new, old: new - old) for r in range(repeats)]))
+        cells = shuffled.select("_y", "_p", (actual - predicted).alias("_r"), F.posexplode(changes).alias("_k", "_d"))
+        sums = cells.groupBy("_k").agg(
+            F.sum(F.col("_r") * F.col("_d")).alias("cross"), F.sum(F.col("_d") * F.col("_d")).alias("square"),
+            F.sum(F.col("_r") * F.col("_r")).alias("error"), (F.var_pop("_y") * F.count("_y")).alias("total"),
+        ).collect()  # features x repeats rows
+        weights = [float(w) for w in model.coefficients]
+
+        def r2(error: float, total: float) -> float:
+            return (1 - error / total) if total else float(error == 0)
+
+        drops = []
+        for cell in sums:
+            weight = weights[cell["_k"] % count]
+            moved = cell["error"] - 2 * weight * cell["cross"] + weight * weight * cell["square"]
+            drops.append((names[cell["_k"] % count], r2(cell["error"], cell["total"]) - r2(moved, cell["total"])))
     else:
-        replaced = F.concat(
-            F.slice("_x", F.lit(1), F.col("feature")), F.array(foreign),
-            F.slice("_x", F.col("feature") + 2, F.lit(len(names))),
-        )
-        vector = array_to_vector(F.when(untouched, F.col("_x")).otherwise(replaced))
-        predicted = model.transform(numbered.select("_y", "feature", "repeat", vector.alias(features)))
-    scores = predicted.groupBy("feature", "repeat").agg(r2_score(F.col("_y"), col(PREDICTION)).alias("r2"))
-    # At most 1 + features * repeats rows from here on.
-    scored = scores.collect()
-    baseline = next((r["r2"] for r in scored if r["feature"] < 0), None)
-    drops = [(names[r["feature"]], baseline - r["r2"]) for r in scored if r["feature"] >= 0]
+        foreign = F.flatten(F.array(*[F.col(f"_x{r}") for r in range(repeats)]))
+        cells = shuffled.select("_y", "_x", F.posexplode(foreign).alias("_k", "_foreign"))
+        feature = F.pmod("_k", F.lit(count))
+        replaced = F.concat(F.slice("_x", F.lit(1), feature), F.array("_foreign"), F.slice("_x", feature + 2, F.lit(count)))
+        scores = model.transform(cells.select("_y", "_k", array_to_vector(replaced).alias(features))).groupBy("_k").agg(
+            r2_score(actual, col(PREDICTION)).alias("r2")
+        ).collect()  # features x repeats rows
+        baseline = base.agg(r2_score(actual, predicted).alias("r2")).head()["r2"]
+        drops = [(names[r["_k"] % count], baseline - r["r2"]) for r in scores]
     table = df.sparkSession.createDataFrame(drops, "feature string, drop double")
     return (
         table.groupBy("feature")
