@@ -93,6 +93,45 @@ def quantiles_by_narrowing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Values with NaN, infinities and NULL; order statistics from a sorted list, interpolated from the nearer end.
+_ODD = """CASE WHEN l_linenumber = 7 THEN 'NaN'::DOUBLE WHEN l_quantity = 50 AND l_tax > 0.06 THEN 'Infinity'::DOUBLE
+    WHEN l_quantity = 1 AND l_tax > 0.07 THEN '-Infinity'::DOUBLE WHEN l_discount = 0.05 THEN NULL ELSE l_extendedprice END"""
+_ODD_PROBABILITIES = {"p0": 0.0, "p001": 0.001, "p25": 0.25, "p50": 0.5, "p95": 0.95, "p999": 0.999, "p1": 1.0}
+
+
+def _interpolated_sql(p: float) -> str:
+    low, high = (f"v[1 + CAST({f}((len(v) - 1) * {p}::DOUBLE) AS BIGINT)]" for f in ("floor", "ceil"))
+    part = f"((len(v) - 1) * {p}::DOUBLE - floor((len(v) - 1) * {p}::DOUBLE))"
+    return f"""CASE WHEN {low} = {high} OR {part} = 0 THEN {low} WHEN isinf({high}) THEN {high} WHEN isinf({low}) THEN {low}
+        WHEN {part} < 0.5 THEN {low} + ({high} - {low}) * {part} ELSE {high} - ({high} - {low}) * (1 - {part}) END"""
+
+
+@check(f"""
+WITH s AS (SELECT l_returnflag, list_sort(list(x)) AS v FROM (SELECT l_returnflag, {_ODD} AS x FROM lineitem)
+           WHERE x IS NOT NULL AND NOT isnan(x) GROUP BY l_returnflag),
+q AS (SELECT l_returnflag, {", ".join(f"{_interpolated_sql(p)} AS {n}" for n, p in _ODD_PROBABILITIES.items())} FROM s)
+SELECT l_returnflag, true AS same_at_any_size, {", ".join(f"CAST({n} AS VARCHAR) AS {n}" for n in ("p0", "p1"))},
+       {", ".join(n for n in _ODD_PROBABILITIES if n not in ("p0", "p1"))} FROM q""")
+def quantiles_of_odd_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Sorted and narrowed quantiles agree to the last bit; an infinite end is shown as text."""
+    value = (
+        F.when(F.col("l_linenumber") == 7, float("nan")).when((F.col("l_quantity") == 50) & (F.col("l_tax") > 0.06), float("inf"))
+        .when((F.col("l_quantity") == 1) & (F.col("l_tax") > 0.07), float("-inf")).when(F.col("l_discount") == 0.05, None)
+        .otherwise(F.col("l_extendedprice"))
+    )
+    lines = table(spark, folder, "lineitem").select("l_returnflag", value.alias("x"))
+    ps = list(_ODD_PROBABILITIES.values())
+    ways = [group_quantiles(lines, {"x": ps}, ["l_returnflag"], builtin_rows=n).withColumnRenamed("x", f"x{n}") for n in (10**9, 100)]
+    both = ways[0].join(ways[1], "l_returnflag")
+    same = F.to_json(f"x{10**9}") == F.to_json("x100")
+    text = {n: F.when(F.abs(F.col("x100")[i]) == float("inf"), F.when(F.col("x100")[i] > 0, "inf").otherwise("-inf")).otherwise(F.col("x100")[i].cast("string"))
+            for i, n in enumerate(_ODD_PROBABILITIES)}
+    return both.select(
+        "l_returnflag", same.alias("same_at_any_size"),
+        *[text[n].alias(n) if n in ("p0", "p1") else F.col("x100")[i].alias(n) for i, n in enumerate(_ODD_PROBABILITIES)],
+    )
+
+
 # A fixed formula stands in for a model's prediction of the unit cost.
 PREDICTION_SQL = "53000 + 40 * (l_quantity - 25) - 20000 * l_discount + 1000 * l_tax"
 

@@ -16,7 +16,7 @@ from lateralis.functions.columns import (
 )
 from lateralis.functions.transforms import apply_transforms, invert_transforms
 from lateralis.operators.categories import collect_values, recode_to_list, unknown_fallback
-from lateralis.operators.derive import keep_columns
+from lateralis.operators.derive import derive_well_columns, keep_columns
 
 IDS = ["l_orderkey", "l_linenumber"]
 
@@ -30,6 +30,26 @@ def nullable_midpoint(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "lineitem").select(*IDS, midpoint(a, b).alias("midpoint"))
 
 
+@check("""
+SELECT l_orderkey, l_linenumber, l_extendedprice AS "TotalWellCost_USDMM", l_quantity AS "LateralLength_FT",
+       CASE WHEN la IS NULL THEN lb WHEN lb IS NULL THEN la ELSE round((la + lb) / 2, 6) END AS "LatitudeMP",
+       round((l_quantity + l_linenumber) / 2, 6) AS "LongitudeMP", CAST(year(l_shipdate) AS INTEGER) AS "CompletionYear",
+       round(1e6 * l_extendedprice / l_quantity, 2) AS "cost/ft_Lateral"
+FROM (SELECT *, nullif(l_discount, 0) AS la, nullif(l_tax, 0) AS lb FROM lineitem)""")
+def derived_well_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """Midpoints, year and unit cost, with their raw inputs dropped."""
+    lines = table(spark, folder, "lineitem")
+    wells = lines.select(
+        *IDS, F.col("l_extendedprice").alias("TotalWellCost_USDMM"), F.col("l_quantity").alias("LateralLength_FT"),
+        F.nullif("l_discount", F.lit(0.0)).alias("LatitudeBHWGS84"), F.nullif("l_tax", F.lit(0.0)).alias("LatitudeSHWGS84"),
+        F.col("l_quantity").alias("LongitudeBHWGS84"), F.col("l_linenumber").cast("double").alias("LongitudeSHWGS84"),
+        F.col("l_shipdate").alias("CompletionDate"),
+    )
+    derived = derive_well_columns(wells)
+    rounded = {"LatitudeMP": 6, "LongitudeMP": 6, "cost/ft_Lateral": 2}
+    return derived.withColumns({c: F.round(F.col(f"`{c}`"), d) for c, d in rounded.items()})
+
+
 @check("SELECT l_orderkey, l_linenumber, CAST(year(l_shipdate) AS INTEGER) AS completion_year FROM lineitem")
 def completion_year(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "lineitem").select(*IDS, F.year("l_shipdate").alias("completion_year"))

@@ -49,6 +49,18 @@ def fan_out_join_salted(spark: SparkSession, folder: str) -> DataFrame:
     return skew_join(lines, orders, "l_orderkey", hot_rows=5)
 
 
+@check("""
+SELECT k, l_orderkey, l_linenumber, o_orderpriority
+FROM (SELECT *, CASE WHEN l_linenumber % 3 > 0 THEN l_orderkey % 500 END AS k FROM lineitem)
+LEFT JOIN (SELECT o_orderkey, o_orderpriority FROM orders) ON k = o_orderkey""")
+def left_join_of_many_hot_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Hundreds of keys above the limit, and a third of the rows without a key."""
+    key = F.when(F.col("l_linenumber") % 3 > 0, F.col("l_orderkey") % 500)
+    lines = table(spark, folder, "lineitem").select(key.alias("k"), "l_orderkey", "l_linenumber")
+    orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("k"), "o_orderpriority")
+    return skew_join(lines, orders, "k", "left", hot_rows=lines.count() // 2000)
+
+
 # Well paths from customers: a start point and a short step away from it.
 PATHS_SQL = """
 SELECT c_custkey, c_acctbal / 1000 AS x1, c_nationkey + (c_custkey % 100) / 100.0 AS y1,
@@ -135,15 +147,15 @@ def wells_with_area(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @check("""
-SELECT l_orderkey, min(l_quantity) AS x1, round(min(l_quantity) + 1, 6) AS x2
-FROM lineitem GROUP BY l_orderkey""")
+SELECT l_orderkey, p.a AS x1, p.b AS y1, round(p.c, 6) AS x2, p.d AS y2
+FROM (SELECT l_orderkey, min({'a': l_quantity, 'b': l_tax, 'c': l_quantity + 1, 'd': l_discount}) AS p FROM lineitem GROUP BY l_orderkey)""")
 def well_path_per_key(spark: SparkSession, folder: str) -> DataFrame:
     """One segment per key out of many rows; the smallest start point is taken."""
     positions = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_quantity", "l_tax", (F.col("l_quantity") + 1).alias("bx"), "l_discount"
     )
     paths = well_paths(positions, "l_orderkey", ["l_quantity", "l_tax", "bx", "l_discount"])
-    return paths.select("l_orderkey", "x1", F.round("x2", 6).alias("x2"))
+    return paths.select("l_orderkey", "x1", "y1", F.round("x2", 6).alias("x2"), "y2")
 
 
 @check("""
