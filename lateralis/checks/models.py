@@ -185,27 +185,33 @@ def _trained(spark: SparkSession, folder: str, flag: str | None = None, **option
         rows = rows.where(F.col("l_returnflag") == flag)
     config = line_config("LinearRegression")
     frame = modelling_frame(rows, config, "row_key", operator="l_linestatus", reservoir="l_returnflag")
-    return train_model(frame, config, "row_key", bin_columns=("lateral", "proppant", "fluid"), **options)
+    try:
+        return train_model(frame, config, "row_key", bin_columns=("lateral", "proppant", "fluid"), **options)
+    finally:
+        frame.filtered.release()
 
 
 _ALL_EQUAL = f"""
-WITH b AS (SELECT trunc(quantile_cont(y, 0.001)) AS lo, trunc(quantile_cont(y, 0.999)) AS hi FROM (
-    SELECT CASE WHEN l_extendedprice > 100000 THEN 4 * {CLEAN_SQL} ELSE {CLEAN_SQL} END AS y FROM lineitem))
-SELECT count(*) AS rows, count(*) AS equal FROM lineitem, b
-WHERE (CASE WHEN l_extendedprice > 100000 THEN 4 * {CLEAN_SQL} ELSE {CLEAN_SQL} END) > lo
-  AND (CASE WHEN l_extendedprice > 100000 THEN 4 * {CLEAN_SQL} ELSE {CLEAN_SQL} END) <= hi
-  AND ('0x' || substr(md5('42|' || {KEY_SQL}), 1, 8))::BIGINT % 10000 >= 2800"""
+WITH y AS (SELECT *, CASE WHEN l_extendedprice > 100000 THEN 4 * {CLEAN_SQL} ELSE {CLEAN_SQL} END AS y,
+                  ('0x' || substr(md5('42|' || {KEY_SQL}), 1, 8))::BIGINT % 10000 AS h FROM lineitem),
+b AS (SELECT trunc(quantile_cont(y, 0.001)) AS lo, trunc(quantile_cont(y, 0.999)) AS hi FROM y)
+SELECT CASE WHEN h < 1000 THEN 'test' WHEN h < 2800 THEN 'valid' ELSE 'train' END AS split, count(*) AS rows, count(*) AS equal
+FROM y, b WHERE y > lo AND y <= hi GROUP BY 1"""
 
 
 @check(_ALL_EQUAL)
 def packaged_model_equals_equation(spark: SparkSession, folder: str) -> DataFrame:
-    """On every training row the packaged model gives what its written-out linear equation gives."""
+    """On every row of each split the packaged model gives what its written-out linear equation gives."""
     trained = _trained(spark, folder, cv_folds=None, importance_repeats=0)
-    scored = trained.pipeline.transform(trained.splits.train)
     features = ["l_quantity__transformed", "l_discount", "l_tax"]
     equation = F.exp(score_from_coefficients(trained.pipeline, features, trained.categories))
     close = F.abs(equation - F.col("prediction")) <= 1e-9 * F.abs(equation)
-    return scored.agg(F.count(F.lit(1)).alias("rows"), F.count_if(close).alias("equal"))
+    counts = [
+        trained.pipeline.transform(df).agg(F.lit(name).alias("split"), F.count(F.lit(1)).alias("rows"), F.count_if(close).alias("equal"))
+        for name, df in (("train", trained.splits.train), ("valid", trained.splits.valid), ("test", trained.splits.test))
+    ]
+    trained.release()
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
 @check("SELECT count(*) AS rows, count(*) AS equal FROM lineitem")
@@ -219,6 +225,7 @@ def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     )
     before = trained.pipeline.transform(rows).withColumnRenamed("prediction", "before")
     before = before.select("row_key", *INPUTS, "l_returnflag", "l_linestatus", "before")
+    trained.release()
     both = load_model(path).transform(before)
     return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("before") == F.col("prediction")).alias("equal"))
 

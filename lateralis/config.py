@@ -44,6 +44,7 @@ class RunConfig:
     transforms: Mapping[str, Any] = field(default_factory=dict)
     split: SplitConfig = SplitConfig()
     scale_x: bool = True
+    scaler: str = "robust"  # or "standard"
     scale_y: bool = False
     models: Mapping[str, Mapping[str, Any]] = field(default_factory=lambda: {"HuberRegressor": {"max_iter": 1000}})
     tuning: Mapping[str, Mapping[str, Sequence[Any]]] = field(default_factory=dict)
@@ -118,6 +119,7 @@ def parse_config(raw: Mapping[str, Any]) -> RunConfig:
             split.get("validation_data_ratio") or 0.2,
         ),
         scale_x=bool(scale.get("scale_x", False)),
+        scaler=str(scale.get("scaler", "robust")),
         scale_y=bool(scale.get("scale_y", False)),
         models={name: dict(params or {}) for name, params in raw["training_config"].items()},
         tuning={name: dict(block["param_grid"]) for name, block in tuning.items()},

@@ -31,14 +31,14 @@ def group_rare(
 ) -> Grouped:
     """Values with fewer than ``threshold`` rows become ``other``; also the rest, most frequent first.
 
-    The retained values enter the plan as a literal set, so the data is neither joined nor shuffled;
-    a list beyond ``literal_values`` cannot become model categories and is refused
-    (:func:`group_rare_joined` has no such limit).
+    Up to ``literal_values`` retained values enter the plan as a literal set, so the data is neither joined
+    nor shuffled; more are joined. The list itself is the trained model's category list, which is as long as
+    the model is wide: at most the rows divided by ``threshold``.
     """
-    kept = retained_values(df, column, threshold).limit(literal_values + 1).collect()
-    if len(kept) > literal_values:
-        raise ValueError(f"more than {literal_values} values of {column!r} reach {threshold} rows")
+    kept = retained_values(df, column, threshold).collect()
     retained = [r[column] for r in kept]
+    if len(kept) > literal_values:
+        return Grouped(group_rare_joined(df, column, threshold, other), retained)
     value = col(column)
     recoded = F.when(value.isNull() | value.isin(*retained), value).otherwise(F.lit(other))
     return Grouped(df.withColumn(column, recoded), retained)

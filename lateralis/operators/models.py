@@ -11,13 +11,14 @@ from typing import Any
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model
-from pyspark.ml.evaluation import Evaluator, RegressionEvaluator
+from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lateralis.functions.columns import col
-from lateralis.operators.metrics import CV_RMSE, mape, regression_metrics
+from lateralis.operators.metrics import CV_RMSE, mape, mse, r2_score, regression_metrics
 from lateralis.operators.split import SEED, fold_number
 
 FEATURES = "features"
@@ -41,6 +42,8 @@ _BOOSTING_NAMES = {
     "max_depth": "maxDepth",
     "random_state": "seed",
 }
+# Trees look at all features of a split; they are as deep as is sensible here, where unlimited depth is not offered.
+_FOREST_DEFAULTS = {"n_estimators": 100, "max_depth": 12}
 _BOOSTING_DEFAULTS = {"n_estimators": 100, "learning_rate": 0.3, "max_depth": 6}
 
 
@@ -77,8 +80,8 @@ def build_regressor(
     if name == "LinearRegression":
         return LinearRegression(**columns, regParam=0.0, **_renamed(params, _LINEAR_NAMES, name))
     if name == "RandomForestRegressor":
-        settings = {"n_estimators": 100, "random_state": SEED, **params}
-        return RandomForestRegressor(**columns, **_renamed(settings, _FOREST_NAMES, name))
+        settings = {**_FOREST_DEFAULTS, "random_state": SEED, **params}
+        return RandomForestRegressor(**columns, featureSubsetStrategy="all", **_renamed(settings, _FOREST_NAMES, name))
     if name == "XGBRegressor":
         settings = {**_BOOSTING_DEFAULTS, "random_state": SEED, **params}
         return GBTRegressor(**columns, **_renamed(settings, _BOOSTING_NAMES, name))
@@ -88,24 +91,38 @@ def build_regressor(
 REGRESSORS = ("HuberRegressor", "LinearRegression", "RandomForestRegressor", "XGBRegressor")
 
 
-class MapeEvaluator(Evaluator, HasLabelCol, HasPredictionCol):
-    """Negated mean absolute percentage error, so that larger is better.
+#: Metric by name, as (aggregate of actual and predicted, sign that makes larger better).
+SEARCH_METRICS = {
+    "mape": (mape, -1.0),
+    "mse": (mse, -1.0),
+    "rmse": (lambda actual, predicted: F.sqrt(mse(actual, predicted)), -1.0),
+    "r2": (r2_score, 1.0),
+}
+
+
+class LabelEvaluator(Evaluator, HasLabelCol, HasPredictionCol):
+    """One of ``SEARCH_METRICS``, signed so that larger is better: one aggregate.
 
     A label scaled by ``(y - center) / scale`` is brought back first: relative errors of values
     around zero would say nothing.
     """
 
-    def __init__(self, label: str = LABEL, prediction: str = PREDICTION, center: float = 0.0, scale: float = 1.0):
+    def __init__(
+        self, label: str = LABEL, prediction: str = PREDICTION, center: float = 0.0, scale: float = 1.0, metric: str = "mape"
+    ):
         super().__init__()
+        if metric not in SEARCH_METRICS:
+            raise ValueError(f"unknown metric {metric!r}; known: {sorted(SEARCH_METRICS)}")
         self._set(labelCol=label, predictionCol=prediction)
-        self.center, self.scale = center, scale
+        self.center, self.scale, self.metric = center, scale, metric
 
     def _evaluate(self, dataset: DataFrame) -> float:
         actual, predicted = (
             col(c) * self.scale + self.center for c in (self.getLabelCol(), self.getPredictionCol())
         )
-        value = dataset.agg(mape(actual, predicted)).head()[0]
-        return float("-inf") if value is None else -value
+        measure, sign = SEARCH_METRICS[self.metric]
+        value = dataset.agg(measure(actual, predicted)).head()[0]
+        return float("-inf") if value is None else sign * value
 
     def isLargerBetter(self) -> bool:
         return True
@@ -150,7 +167,9 @@ def fit_and_evaluate(
         performance = regression_metrics(scored, label, PREDICTION).head().asDict()
         performance[CV_RMSE] = None
         if cv_folds and key:
-            rmse = cross_validated_rmse(estimator, valid, key, cv_folds, label=label)
+            # every fold is fitted on this share of the validation rows
+            seen = valid.count() * (cv_folds - 1) // cv_folds
+            rmse = cross_validated_rmse(build_regressor(name, params, rows=seen, label=label), valid, key, cv_folds, label=label)
             performance[CV_RMSE] = rmse * _center_and_scale(label_scaler)[1]
         fitted[name] = Fitted(name, dict(params or {}), model, performance)
     return fitted
@@ -204,8 +223,8 @@ def cross_validated_rmse(
     parallelism: int = 2,
 ) -> float:
     """Mean over the folds of the RMSE of a model fitted on the other folds."""
-    evaluator = RegressionEvaluator(labelCol=label, predictionCol=PREDICTION, metricName="rmse")
-    return _fold_scores([estimator], evaluator, df, key, folds, seed, parallelism)[0]
+    evaluator = LabelEvaluator(label=label, metric="rmse")
+    return -_fold_scores([estimator], evaluator, df, key, folds, seed, parallelism)[0]
 
 
 @dataclass(frozen=True)
@@ -242,16 +261,17 @@ def search_parameters(
     parallelism: int = 2,
     label: str = LABEL,
     label_scaler: Any | None = None,
+    metric: str = "mape",
 ) -> Search:
-    """Cross-validated search for the parameters with the lowest MAPE on the unscaled label.
+    """Cross-validated search for the parameters with the best ``metric`` on the unscaled label.
 
-    Up to ``parallelism`` fits run at a time on the same persisted folds.
+    Up to ``parallelism`` fits run at a time on the same persisted folds. Each fit is told the rows that it sees.
     """
-    rows = df.count()
+    rows = df.count() * (folds - 1) // folds
     candidates = parameter_candidates(grid, method, draws, seed)
     estimators = [build_regressor(name, {**(base or {}), **c}, rows=rows, label=label) for c in candidates]
     center, scale = _center_and_scale(label_scaler)
-    evaluator = MapeEvaluator(label=label, center=center, scale=scale)
+    evaluator = LabelEvaluator(label=label, center=center, scale=scale, metric=metric)
     scores = _fold_scores(estimators, evaluator, df, key, folds, seed, parallelism)
     ranked = list(zip(candidates, scores))
     best_params, best_score = max(ranked, key=lambda pair: pair[1])

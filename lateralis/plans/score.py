@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_
+from typing import Any
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
@@ -50,6 +51,8 @@ class Package:
     operators: Sequence[str] | None = None
     error_table: DataFrame | None = None
     steps: tuple[float, float, float] | None = None
+    composites: Sequence[str] | None = None
+    metadata: Mapping[str, Any] = field(default_factory=dict)
 
     @classmethod
     def of(cls, trained: Trained) -> Package:
@@ -59,6 +62,8 @@ class Package:
             trained.operators,
             trained.error_table,
             trained.bins.steps if trained.bins else None,
+            trained.composites,
+            {**trained.metadata, "model": trained.model_name, "parameters": dict(trained.fitted[trained.model_name].params)},
         )
 
 

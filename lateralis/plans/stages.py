@@ -21,6 +21,9 @@ from lateralis.operators.models import FEATURES, LABEL, PREDICTION
 from lateralis.operators.scaling import AffineScalerModel, RobustColumnScaler, StandardColumnScaler
 
 
+SCALERS = {"robust": RobustColumnScaler, "standard": StandardColumnScaler}
+
+
 def transformed_name(column: str) -> str:
     return f"{column}__transformed"
 
@@ -92,7 +95,9 @@ def fit_preprocessing(train: DataFrame, everything: DataFrame, config: RunConfig
         stages.append(FeatureTransforms.of(config.feature_transforms))
     numeric = feature_inputs(config)
     if config.scale_x:
-        scaler = RobustColumnScaler(inputCols=numeric, outputCols=[scaled_name(c) for c in numeric])
+        if config.scaler not in SCALERS:
+            raise ValueError(f"unknown scaler {config.scaler!r}; known: {sorted(SCALERS)}")
+        scaler = SCALERS[config.scaler](inputCols=numeric, outputCols=[scaled_name(c) for c in numeric])
         stages.append(scaler.fit(PipelineModel(list(stages)).transform(train)))
         numeric = [scaled_name(c) for c in numeric]
     encoders = fit_encoders(everything, config.categories)

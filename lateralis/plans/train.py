@@ -116,6 +116,7 @@ def train_model(
     importance_repeats: int = 10,
     search_on: str = "train",
     search_method: str = "random",
+    search_metric: str = "mape",
     original_scale_errors: bool = True,
     seed: int = SEED,
     storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
@@ -145,7 +146,7 @@ def train_model(
     if config.tuning:
         searches, fitted = tune_models(
             config.tuning, sets[search_on], train, valid, key,
-            method=search_method, cv_folds=cv_folds, label_scaler=target_scaler, base=config.models, seed=seed,
+            method=search_method, metric=search_metric, cv_folds=cv_folds, label_scaler=target_scaler, base=config.models, seed=seed,
         )
     board = leaderboard(spark, {name: f.performance for name, f in fitted.items()})
     best = best_models(board, 1)[0]
@@ -215,7 +216,8 @@ def _metadata(config: RunConfig, features: Sequence[str], rows: int) -> dict[str
         "input_features": list(features),
         "output_feature": config.target,
         "split_spec": vars(config.split),
-        "scaling_spec": {"scale_x": config.scale_x, "scale_y": config.scale_y},
+        "scaling_spec": {"scale_x": config.scale_x, "scaler": config.scaler, "scale_y": config.scale_y},
+        "models": {name: dict(params or {}) for name, params in config.models.items()},
         "tuning_spec": {name: dict(grid) for name, grid in config.tuning.items()},
         "training_rows": rows,
     }
@@ -236,9 +238,10 @@ def train_basin(
     check_reservoirs(config, reservoirs)
     wells = prepare_wells(completions, reference, basin, reservoirs)
     frame = modelling_frame(derive_well_columns(wells.drop(FLAG)), config)
-    trained = train_model(frame, config, **options)
-    frame.filtered.release()
-    return trained
+    try:
+        return train_model(frame, config, **options)
+    finally:
+        frame.filtered.release()
 
 
 def train_basins(

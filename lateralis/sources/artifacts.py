@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
@@ -9,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lateralis.functions.columns import col
-from lateralis.operators.errorbins import EXPORT_BINS
 from lateralis.plans.score import Package
 from lateralis.plans.train import Trained
 
@@ -39,10 +39,9 @@ def save_list(spark: SparkSession, values: Sequence[str], path: str) -> None:
     spark.createDataFrame(rows, LIST_SCHEMA).write.mode("overwrite").json(path)
 
 
-def load_list(spark: SparkSession, path: str, limit: int = EXPORT_BINS) -> list[str]:
-    rows = spark.read.schema(LIST_SCHEMA).json(path).orderBy("position").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} values under {path}")
+def load_list(spark: SparkSession, path: str) -> list[str]:
+    """A list as :func:`save_list` wrote it, so as long as one that a driver has held."""
+    rows = spark.read.schema(LIST_SCHEMA).json(path).orderBy("position").collect()
     return [r["value"] for r in rows]
 
 
@@ -52,13 +51,10 @@ def save_lists(spark: SparkSession, lists: Mapping[str, Sequence], path: str) ->
     spark.createDataFrame(rows, f"name string, {LIST_SCHEMA}").write.mode("overwrite").json(path)
 
 
-def load_lists(spark: SparkSession, path: str, limit: int = EXPORT_BINS) -> dict[str, list[str]]:
+def load_lists(spark: SparkSession, path: str) -> dict[str, list[str]]:
     table = spark.read.schema(f"name string, {LIST_SCHEMA}").json(path).orderBy("name", "position")
-    rows = table.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} values under {path}")
     lists: dict[str, list[str]] = {}
-    for r in rows:
+    for r in table.collect():
         lists.setdefault(r["name"], []).append(r["value"])
     return lists
 
@@ -71,6 +67,9 @@ def save_package(spark: SparkSession, package: Package, path: str) -> None:
     if package.error_table is not None and package.steps is not None:
         save_error_table(package.error_table, f"{path}/error_table")
         lists["steps"] = package.steps
+    if package.composites is not None:
+        lists["composites"] = package.composites
+    lists["metadata"] = [json.dumps(package.metadata, default=str)]
     save_lists(spark, lists, f"{path}/lists")
 
 
@@ -83,6 +82,8 @@ def load_package(spark: SparkSession, path: str) -> Package:
         operators=lists.get("operators"),
         error_table=load_error_table(spark, f"{path}/error_table") if steps else None,
         steps=steps,
+        composites=lists.get("composites"),
+        metadata=json.loads(lists["metadata"][0]) if "metadata" in lists else {},
     )
 
 

@@ -18,8 +18,9 @@ def test_rare_values(spark):
     for done in (grouped.df, group_rare_joined(df, "o", 2)):
         rows = [r["o"] for r in done.collect()]
         assert sorted(o for o in rows if o is not None) == want and rows.count(None) == 1
-    with pytest.raises(ValueError, match="more than 1"):
-        group_rare(df, "o", 2, literal_values=1)
+    joined = group_rare(df, "o", 2, literal_values=1)
+    assert sorted(str(r["o"]) for r in joined.df.collect()) == sorted(str(r["o"]) for r in group_rare(df, "o", 2).df.collect())
+    assert joined.retained == group_rare(df, "o", 2).retained
     with pytest.raises(ValueError):
         collect_values(df, "o", limit=2)
 

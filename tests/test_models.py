@@ -106,3 +106,30 @@ def test_linear_shortcut_equals_full_evaluation(rows):
     for s, f in zip(short, full):
         assert s["feature"] == f["feature"]
         assert s["importance_mean"] == pytest.approx(f["importance_mean"], rel=1e-9, abs=1e-12)
+
+
+def test_importance_depends_on_no_partitioning(spark):
+    rows = spark.range(0, 3000).select(
+        F.col("id").cast("string").alias("k"), F.rand(1).alias("a"), F.rand(2).alias("b"), F.randn(3).alias("e")
+    ).withColumn("label", 5 * F.col("a") + F.col("b") + 0.1 * F.col("e")).persist()
+    ready = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows)
+    for name in ("LinearRegression", "RandomForestRegressor"):
+        model = build_regressor(name, {} if name == "LinearRegression" else {"n_estimators": 3, "max_depth": 4}, rows=3000).fit(ready)
+        found = []
+        for n in (2, 7):
+            drops = permutation_importance(model, ready.repartition(n), ["a", "b"], key="k", repeats=2, bucket_rows=700)
+            found.append([(r["feature"], round(r["importance_mean"], 9)) for r in drops.collect()])
+        assert found[0] == found[1] and found[0][0][0] == "a"
+        if name == "LinearRegression":  # the expected drop: 2 w^2 var(x) / var(y)
+            variance = rows.agg(F.var_pop("a").alias("a"), F.var_pop("label").alias("y")).head()
+            assert abs(found[0][0][1] - 2 * model.coefficients[0] ** 2 * variance["a"] / variance["y"]) < 0.1
+
+
+def test_search_metric(spark):
+    rows = spark.range(0, 400).select(F.col("id").cast("string").alias("k"), (F.rand(1) + 1).alias("a")).withColumn("label", 3 * F.col("a"))
+    ready = VectorAssembler(inputCols=["a"], outputCol="features").transform(rows).persist()
+    for metric, best in (("r2", 1.0), ("rmse", 0.0)):
+        found = search_parameters("LinearRegression", {"fit_intercept": [True]}, ready, "k", folds=2, metric=metric)
+        assert abs(found.best_score - best) < 1e-6
+    with pytest.raises(ValueError, match="unknown metric"):
+        search_parameters("LinearRegression", {"fit_intercept": [True]}, ready, "k", folds=2, metric="none")

@@ -56,7 +56,10 @@ def test_training_end_to_end(spark, tables, trained, tmp_path):
     assert metrics["mape"] < 60 and metrics["r2"] is not None
 
     save_package(spark, package, str(tmp_path / "package"))
-    again = score_wells(located, load_package(spark, str(tmp_path / "package")))
+    loaded = load_package(spark, str(tmp_path / "package"))
+    assert loaded.composites == package.composites and loaded.metadata["model"] == trained.model_name
+    assert loaded.metadata["training_rows"] == trained.metadata["training_rows"] and loaded.metadata["parameters"] == package.metadata["parameters"]
+    again = score_wells(located, loaded)
     assert scored.exceptAll(again).count() == 0
 
     parts = performance_bundle(trained)
