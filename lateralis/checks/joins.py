@@ -169,10 +169,11 @@ def area_centroids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @check("""
-SELECT c_custkey, round(y + (1.0 + c_nationkey) / 3, 6) AS latitude, round(x + (2.0 + c_nationkey) / 3, 6) AS longitude
-FROM (SELECT *, c_acctbal / 1000 AS x, c_custkey / 100.0 AS y FROM customer) WHERE c_nationkey > 0""")
+SELECT c_custkey, round(y + CASE WHEN c_nationkey = 0 THEN 0.5 ELSE (1.0 + c_nationkey) / 3 END, 6) AS latitude,
+       round(x + CASE WHEN c_nationkey = 0 THEN 1.0 ELSE (2.0 + c_nationkey) / 3 END, 6) AS longitude
+FROM (SELECT *, c_acctbal / 1000 AS x, c_custkey / 100.0 AS y FROM customer)""")
 def triangle_centroids(spark: SparkSession, folder: str) -> DataFrame:
-    """Centroids of one triangle per customer."""
+    """Centroids of one triangle per customer; those of nation 0 have no area."""
     x, y = F.col("c_acctbal") / 1000, F.col("c_custkey") / 100.0
 
     def corner(dx, dy):
@@ -182,6 +183,6 @@ def triangle_centroids(spark: SparkSession, folder: str) -> DataFrame:
     ring = F.array(
         corner(zero, zero), corner(F.lit(2.0), F.lit(1.0)), corner(F.col("c_nationkey"), F.col("c_nationkey")), corner(zero, zero)
     )
-    areas = table(spark, folder, "customer").where("c_nationkey > 0").select("c_custkey", ring.alias("ring"))
+    areas = table(spark, folder, "customer").select("c_custkey", ring.alias("ring"))
     found = basin_areas(areas)
     return found.select("c_custkey", *[F.round(c, 6).alias(c) for c in ("latitude", "longitude")])

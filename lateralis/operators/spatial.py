@@ -7,6 +7,8 @@ segment held in four double columns.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +20,9 @@ from lateralis.session import broadcast_if_small
 PATH = ("x1", "y1", "x2", "y2")
 CELL = 0.1
 BROADCAST_POINTS = 500_000
+AXIS_CELLS = 16  # cells that a box may span along an axis on its own grid level
+LARGEST_COORDINATE = 1e9
+BOX = ("bx1", "by1", "bx2", "by2")
 
 
 def well_paths(
@@ -88,13 +93,31 @@ def path_meets_ring(edges: Column, x1: Column, y1: Column, x2: Column, y2: Colum
     return F.exists(edges, lambda e: segments_touch(e, x1, y1, x2, y2)) | point_inside(edges, x1, y1)
 
 
-def _cells(df: DataFrame, cell: float) -> DataFrame:
-    """One row per grid cell of the bounding box held in ``bx1, by1, bx2, by2``."""
+def _possible(*coordinates: Column) -> Column:
+    return reduce(and_, [F.coalesce(F.abs(c) <= LARGEST_COORDINATE, F.lit(False)) & ~F.isnan(c) for c in coordinates])
+
+
+def _own_level(cell: float) -> Column:
+    """The finest grid level on which the box ``bx1, by1, bx2, by2`` spans a bounded number of cells."""
+    span = F.greatest(F.col("bx2") - F.col("bx1"), F.col("by2") - F.col("by1")) / F.lit(cell * AXIS_CELLS)
+    return F.when(span > 1, F.ceil(F.log2(span))).otherwise(F.lit(0)).cast("int")
+
+
+def _levels(boxes: DataFrame) -> list[int]:
+    """The levels in use: a few dozen numbers at most."""
+    return sorted(boxes.agg(F.collect_set("_level")).head()[0])
+
+
+def _cells(boxes: DataFrame, cell: float, others: Sequence[int]) -> DataFrame:
+    """One row per grid cell of the box, on its own level and on each coarser one that the other side uses."""
+    coarser = F.filter(F.array(*[F.lit(n) for n in others]) if others else F.array().cast("array<int>"), lambda n: n > F.col("_level"))
+    laid = boxes.withColumn("_at", F.explode(F.concat(F.array("_level"), coarser)))
+    size = F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("_at"))
 
     def span(low: str, high: str) -> Column:
-        return F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell))
+        return F.sequence(F.floor(F.col(low) / size), F.floor(F.col(high) / size))
 
-    return df.withColumn("_cx", F.explode(span("bx1", "bx2"))).withColumn("_cy", F.explode(span("by1", "by2")))
+    return laid.withColumn("_cx", F.explode(span("bx1", "bx2"))).withColumn("_cy", F.explode(span("by1", "by2")))
 
 
 def spatial_join(
@@ -109,13 +132,15 @@ def spatial_join(
 ) -> DataFrame:
     """Inner join of areas and well paths that intersect.
 
-    Both sides are laid on a grid by their bounding boxes and meet by cell, an equi join. A pair is
-    tested only in the cell that holds the lower corner of the common box, so it appears once and
-    no ``distinct`` is needed. Areas of a checked size are broadcast; otherwise the wells of crowded
+    Both sides are laid on a grid by their bounding boxes and meet by cell, an equi join. A box that spans many
+    cells is laid on a coarser level of the grid, so no shape has more than some hundred cells, and a pair meets
+    on the coarser of its two levels. It is tested only in the cell that holds the lower corner of the common
+    box, so it appears once and no ``distinct`` is needed. Shapes with a coordinate that is missing, not finite
+    or beyond ``LARGEST_COORDINATE`` meet nothing. Areas of a checked size are broadcast; otherwise the wells of crowded
     cells are spread over salts.
     """
     edges = ring_edges(col(ring))
-    laid_areas = _cells(
+    boxed_areas = (
         areas.where(F.size(col(ring)) > 1).select(
             *[col(c) for c in area_columns],
             edges.alias("_edges"),
@@ -123,22 +148,27 @@ def spatial_join(
             F.array_min(F.transform(col(ring), lambda p: p["y"])).alias("by1"),
             F.array_max(F.transform(col(ring), lambda p: p["x"])).alias("bx2"),
             F.array_max(F.transform(col(ring), lambda p: p["y"])).alias("by2"),
-        ),
-        cell,
-    ).withColumnsRenamed({"bx1": "_ax1", "by1": "_ay1", "bx2": "_ax2", "by2": "_ay2"})
-    laid_wells = _cells(
-        wells.dropna("any", subset=list(PATH)).select(
+        )
+        .where(_possible(*[F.col(c) for c in BOX]))
+        .withColumn("_level", _own_level(cell))
+    )
+    boxed_wells = (
+        wells.where(_possible(*[F.col(c) for c in PATH])).select(
             *[col(c) for c in well_columns],
             *PATH,
             F.least("x1", "x2").alias("bx1"),
             F.least("y1", "y2").alias("by1"),
             F.greatest("x1", "x2").alias("bx2"),
             F.greatest("y1", "y2").alias("by2"),
-        ),
-        cell,
+        )
+        .withColumn("_level", _own_level(cell))
     )
-    keys = ["_cx", "_cy"]
-    points = laid_areas.agg(F.sum(F.size("_edges"))).head()[0] or 0
+    row = boxed_areas.agg(F.sum(F.size("_edges")), F.collect_set("_level")).head()
+    points, area_levels = row[0] or 0, sorted(row[1])
+    renamed = {"bx1": "_ax1", "by1": "_ay1", "bx2": "_ax2", "by2": "_ay2", "_level": "_area_level"}
+    laid_areas = _cells(boxed_areas, cell, _levels(boxed_wells)).withColumnsRenamed(renamed)
+    laid_wells = _cells(boxed_wells, cell, area_levels)
+    keys = ["_at", "_cx", "_cy"]
     if points <= broadcast_points:
         laid_areas = F.broadcast(laid_areas)
     else:
@@ -152,8 +182,11 @@ def spatial_join(
             "_salt", F.pmod(spread, F.coalesce("_salts", F.lit(1))).cast("int")
         ).drop("_salts")
         keys = [*keys, "_salt"]
-    lower_corner = (F.col("_cx") == F.floor(F.greatest("_ax1", "bx1") / cell)) & (
-        F.col("_cy") == F.floor(F.greatest("_ay1", "by1") / cell)
+    size = F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("_at"))
+    lower_corner = (
+        (F.col("_at") == F.greatest("_area_level", "_level"))
+        & (F.col("_cx") == F.floor(F.greatest("_ax1", "bx1") / size))
+        & (F.col("_cy") == F.floor(F.greatest("_ay1", "by1") / size))
     )
     meets = path_meets_ring(F.col("_edges"), *[F.col(c) for c in PATH])
     return laid_wells.join(laid_areas, keys).where(lower_corner & meets).select(
@@ -162,7 +195,7 @@ def spatial_join(
 
 
 def centroids(areas: DataFrame, area_columns: Sequence[str] = ("Area",), ring: str = "ring") -> DataFrame:
-    """Centroid of each ring by the shoelace sums over its edges.
+    """Centroid of each ring by the shoelace sums over its edges; of a ring without area, that of its outline.
 
     Coordinates are taken relative to the first point, which keeps small polygons far from the origin exact.
     """
@@ -186,9 +219,17 @@ def centroids(areas: DataFrame, area_columns: Sequence[str] = ("Area",), ring: s
     def doubled_area(e: Column) -> Column:
         return e["ax"] * e["by"] - e["bx"] * e["ay"]
 
-    doubled = total(doubled_area)
-    x = F.try_divide(total(lambda e: (e["ax"] + e["bx"]) * doubled_area(e)), 3 * doubled) + F.col("_x0")
-    y = F.try_divide(total(lambda e: (e["ay"] + e["by"]) * doubled_area(e)), 3 * doubled) + F.col("_y0")
+    def length(e: Column) -> Column:
+        return F.hypot(e["bx"] - e["ax"], e["by"] - e["ay"])
+
+    doubled, outline = total(doubled_area), total(length)
+
+    def centre(a: str, b: str, start: str) -> Column:
+        of_area = F.try_divide(total(lambda e: (e[a] + e[b]) * doubled_area(e)), 3 * doubled)
+        of_outline = F.coalesce(F.try_divide(total(lambda e: (e[a] + e[b]) * length(e)), 2 * outline), F.lit(0.0))
+        return F.when(doubled == 0, of_outline).otherwise(of_area) + F.col(start)
+
+    x, y = centre("ax", "bx", "_x0"), centre("ay", "by", "_y0")
     return moved.select(*[col(c) for c in area_columns], y.alias("latitude"), x.alias("longitude"))
 
 

@@ -80,6 +80,17 @@ def test_spatial_join_cases(spark, options):
     assert found == {name: expected for name, *_, expected in PATHS if expected}
 
 
+def test_spatial_join_of_huge_and_impossible_shapes(spark):
+    box = lambda x, y, w: [(x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y)]
+    shapes = [("huge", box(-1e8, -1e8, 2e8)), ("small", box(0.0, 0.0, 1.0)), ("bad", box(0.0, 0.0, float("inf"))), ("far", box(1e300, 0.0, 1.0))]
+    rings = spark.createDataFrame(shapes, "Area string, ring array<struct<x double, y double>>")
+    rows = [("in", 0.5, 0.5, 0.6, 0.6), ("long", -5e7, 0.25, 5e7, 0.25), ("nan", float("nan"), 0.0, 1.0, 1.0), ("out", 3e8, 0.0, 3e8, 1.0), ("beyond", 1e300, 0.5, 1e300, 0.5)]
+    paths = spark.createDataFrame(rows, "API14 string, x1 double, y1 double, x2 double, y2 double")
+    for options in ({}, {"broadcast_points": 0, "hot_rows": 1}):
+        found = sorted(tuple(r) for r in spatial_join(rings, paths, cell=0.1, **options).collect())
+        assert found == [("huge", "in"), ("huge", "long"), ("small", "in"), ("small", "long")]
+
+
 def test_wells_per_area(spark):
     pairs = spark.createDataFrame([("A", 1), ("B", 2), ("B", 3), ("C", 4)], "Area string, API14 int")
     assert [tuple(r) for r in wells_per_area(pairs, top=2).collect()] == [("B", 2), ("A", 1)]
