@@ -133,6 +133,24 @@ def parameter_search(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(found, "method string, max_depth int")
 
 
+@check(f"""
+WITH r AS (SELECT l_quantity AS x, {CLEAN_SQL} AS y, ('0x' || substr(md5('43|' || {KEY_SQL}), 1, 8))::BIGINT % 4 AS fold FROM lineitem),
+folds AS (SELECT DISTINCT fold AS k FROM r),
+fits AS (SELECT k, true AS fit_intercept, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM r JOIN folds ON fold <> k GROUP BY k
+         UNION ALL SELECT k, false, sum(x * y) / sum(x * x), 0 FROM r JOIN folds ON fold <> k GROUP BY k),
+errors AS (SELECT k, fit_intercept, sqrt(avg((y - a - b * x) * (y - a - b * x))) AS rmse, avg(abs(y - a - b * x) / abs(y)) AS mape
+           FROM r JOIN fits ON fold = k GROUP BY k, fit_intercept)
+SELECT fit_intercept, round(-avg(rmse), 4) AS rmse_score, round(-avg(mape), 6) AS mape_score FROM errors GROUP BY fit_intercept""")
+def parameter_search_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """The score of every candidate of a four-fold search, by two metrics."""
+    rows = assembled(planted_rows(spark, folder, outliers=False), ["l_quantity"])
+    grid = {"fit_intercept": [True, False]}
+    found = {m: dict((p["fit_intercept"], v) for p, v in search_parameters("LinearRegression", grid, rows, "row_key", metric=m).scores) for m in ("rmse", "mape")}
+    rows.unpersist()
+    scores = [(k, round(found["rmse"][k], 4), round(found["mape"][k], 6)) for k in (True, False)]
+    return spark.createDataFrame(scores, "fit_intercept boolean, rmse_score double, mape_score double")
+
+
 _RANKS = [("l_quantity", 1), ("l_discount", 2), ("l_tax", 3)]
 
 
@@ -140,6 +158,18 @@ def _ranked(spark: SparkSession, names: list[str]) -> DataFrame:
     return spark.createDataFrame([(n, i) for i, n in enumerate(names, start=1)], "feature string, position int")
 
 
+@check(f"""
+SELECT round(2 * regr_r2(y, l_quantity), 1) AS drop FROM (SELECT l_quantity, {CLEAN_SQL} AS y FROM lineitem)""")
+def permutation_importance_drop(spark: SparkSession, folder: str) -> DataFrame:
+    """The mean drop of a one-feature least-squares fit: a permuted feature costs twice the variance it explains."""
+    rows = assembled(planted_rows(spark, folder, outliers=False), ["l_quantity"])
+    model = build_regressor("LinearRegression", rows=rows.count()).fit(rows)
+    found = permutation_importance(model, rows, ["l_quantity"], key="row_key", repeats=20)
+    result = [(round(found.head()["importance_mean"], 1),)]
+    rows.unpersist()
+    return spark.createDataFrame(result, "drop double")
+
+
 @check(_constants("feature, position", _RANKS))
 def permutation_importance_ranks(spark: SparkSession, folder: str) -> DataFrame:
     rows = assembled(planted_rows(spark, folder, outliers=False))
