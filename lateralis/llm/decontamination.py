@@ -37,28 +37,12 @@ def token_hashes(text: str):
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _seeds(rows: DataFrame, tokens: str, masks: list[tuple[int, ...]], keep: list[str]) -> DataFrame:
-    """One row per position and mask: (keep..., at, seed)."""
-    count = len(masks)
-    least = min(m[-1] + 1 for m in masks)
-    steps = F.expr(
-        f"CASE WHEN size({tokens}) >= {least} THEN sequence(0, (size({tokens}) - {least} + 1) * {count} - 1) ELSE CAST(array() AS ARRAY<INT>) END"
-    )
-    slots = rows.withColumn("slot", F.explode(steps)).withColumn("at", F.expr(f"slot DIV {count}").cast("int"))
-    cases = " ".join(
-        f"WHEN {k} THEN IF(at + {m[-1]} < size({tokens}), xxhash64({len(m)}, {', '.join(f'get({tokens}, at + {o})' for o in m)}), NULL)"
-        for k, m in enumerate(masks)
-    )
-    seeded = slots.withColumn("mask", F.expr(f"CAST(slot % {count} AS INT)")).withColumn("seed", F.expr(f"CASE mask {cases} END"))
-    return seeded.where(F.col("seed").isNotNull()).select(*keep, "at", "mask", "seed")
-
-
-def _continued(masks: list[tuple[int, ...]]) -> str:
-    """Whether the same seed also fits one place earlier on the diagonal."""
-    cases = " ".join(
-        f"WHEN {k} THEN {' AND '.join(f'get(h, at - 1 + {o}) = get(t, place - 1 + {o})' for o in m)}" for k, m in enumerate(masks)
-    )
-    return f"at > 0 AND place > 0 AND (CASE mask {cases} END)"
+def _seeds(rows: DataFrame, tokens: str, mask: tuple[int, ...], keep: list[str]) -> DataFrame:
+    """One row per position where the mask fits: (keep..., at, seed)."""
+    span = mask[-1] + 1
+    places = F.expr(f"CASE WHEN size({tokens}) >= {span} THEN sequence(0, size({tokens}) - {span}) ELSE CAST(array() AS ARRAY<INT>) END")
+    placed = rows.select(*keep, F.explode(places).alias("at"))
+    return placed.select(*keep, "at", F.xxhash64(*[F.expr(f"get({tokens}, at + {o})") for o in mask]).alias("seed"))
 
 
 def matches(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, substitutions: int = SUBSTITUTIONS) -> DataFrame:
@@ -66,31 +50,38 @@ def matches(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, su
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), token_hashes("text").alias("t")).where("size(t) > 0")
     sizes = items.select(F.size("t").alias("size"))
     short = [r[0] for r in sizes.where(F.col("size") < window).distinct().sort("size").collect()]  # below ``window`` values
-    masks = [*MASKS, *(tuple(range(n)) for n in short)]
     total = sizes.agg(F.sum("size")).first()[0] or 0
-    parts = max(1, -(-total * len(masks) // SEEDS))
+    parts = max(1, -(-total // SEEDS))
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), token_hashes("text").alias("h"))
-    stream = _seeds(rows, "h", masks, ["doc_id", "h"])
+    # a seed over all words is for items of that length only; each mask is a small generated stage of its own
+    masks = [(m, items) for m in MASKS] + [(tuple(range(n)), items.where(F.size("t") == n)) for n in short]
     found = []
-    for part in range(parts):
-        chosen = items.where(F.pmod(F.xxhash64("t"), F.lit(parts)) == part) if parts > 1 else items
-        # a seed over all words is one for items of that length only
-        wanted = _seeds(chosen, "t", masks, ["item_id", "t"]).where(f"mask < {len(MASKS)} OR size(t) = get(array({', '.join(str(m[-1] + 1) for m in masks)}), mask)")
-        seeds = wanted.select(F.col("seed").alias("s"), F.col("mask").alias("m"), F.col("at").alias("place"), "item_id", "t")
-        found.append(stream.join(F.broadcast(seeds), (F.col("seed") == F.col("s")) & (F.col("mask") == F.col("m"))))
-    hits = reduce(DataFrame.unionByName, found).where(~F.expr(_continued(masks)))
-    aligned = hits.withColumn("shift", F.col("at") - F.col("place")).withColumn("low", F.expr("greatest(0, -shift)")).withColumn(
-        "high", F.expr("least(size(t), size(h) - shift)")
-    ).withColumn("same", F.expr("transform(sequence(low, high - 1), j -> CAST(get(h, j + shift) = get(t, j) AS INT))"))
-    width = f"least({window}, size(t))"
-    allowed = f"IF(size(t) < {window}, 0, {substitutions})"
-    judged = aligned.where("high - low >= " + width).withColumn(
-        "good", F.expr(
-            f"exists(sequence(1, size(same) - {width} + 1), s -> aggregate(slice(same, s, {width}), 0, (a, x) -> a + x) >= {width} - {allowed})"
-        )
+    for mask, own in masks:
+        for part in range(parts):
+            chosen = own.where(F.pmod(F.xxhash64("t"), F.lit(parts)) == part) if parts > 1 else own
+            seeds = _seeds(chosen, "t", mask, ["item_id", "t"]).select(F.col("seed").alias("s"), F.col("at").alias("place"), "item_id", "t")
+            hits = _seeds(rows, "h", mask, ["doc_id", "h"]).join(F.broadcast(seeds), F.col("seed") == F.col("s"))
+            found.append(_judged(hits, mask, window, substitutions))
+    return reduce(DataFrame.unionByName, found).groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"))
+
+
+def _judged(hits: DataFrame, mask: tuple[int, ...], window: int, substitutions: int) -> DataFrame:
+    """(doc_id, item_id, matched) of the hits of one mask whose alignment qualifies."""
+    # only the aligned parts leave the generated stage, which holds the hits of one document at a time
+    low, width = "greatest(0, place - at)", f"least({window}, size(t))"
+    n = f"(least(size(t), size(h) - at + place) - {low})"
+    aligned = hits.where(f"{n} >= {width}").select(
+        "doc_id", "item_id", F.expr(f"slice(h, {low} + at - place + 1, {n})").alias("h"), F.expr(f"slice(t, {low} + 1, {n})").alias("part"),
+        F.expr(f"place - {low}").alias("place"), F.expr(width).alias("width"), F.expr(f"IF(size(t) < {window}, 0, {substitutions})").alias("allowed"),
+    )
+    # an explode of one array keeps the comparison out of the join's condition, which has to be compiled
+    compared = aligned.select(
+        "doc_id", "item_id", "place", "width", "allowed", F.explode(F.expr("array(zip_with(h, part, (a, b) -> CAST(a = b AS INT)))")).alias("same")
     )
-    return judged.where("good").groupBy("doc_id", "item_id").agg(
-        F.max(F.expr("aggregate(same, 0, (a, x) -> a + x)")).cast("long").alias("matched")
+    continued = " AND ".join(["place > 0", *(f"get(same, place - 1 + {o}) = 1" for o in mask)])
+    good = "exists(sequence(1, size(same) - width + 1), s -> aggregate(slice(same, s, width), 0, (a, x) -> a + x) >= width - allowed)"
+    return compared.where(f"NOT ({continued})").where(good).select(
+        "doc_id", "item_id", F.expr("CAST(aggregate(same, 0, (a, x) -> a + x) AS LONG)").alias("matched")
     )
 
 
