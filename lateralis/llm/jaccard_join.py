@@ -11,10 +11,11 @@ extended prefix of its frequent ones, every combination of two neighbours: if tw
 their common tokens are all frequent, at most 0.25 n of the others can part neighbours, and the prefix is long
 enough that one pair of neighbours is left whole in both. Signatures meet by hash segment.
 
-Verification needs components only. Equal sets are one class. Each signature with several classes checks its
-classes against one of them (a star); what a few rounds of that have not joined or refuted is checked in full,
-in blocks of bounded size, between different components only. Parity sketches of the sets bound the symmetric
-difference from below and drop hopeless pairs; the rest is decided on the whole sets.
+Verification needs components only. Equal sets are one class. Each signature with several classes first checks
+its classes against one of them (a star); parity sketches bound the symmetric difference from below and drop hopeless
+pairs before the whole sets are compared. Signatures whose classes are still in several components are compared in
+full, in blocks of bounded size, first the largest signature of every class, then all that are open: sketches choose
+the classes that may have a link to another component, and whole sets of those give the links that join components.
 
 Defined results: a document without words or text has no shingles and is linked with nothing; one with
 fewer words than a shingle is its whole word sequence; component_id is the smallest doc_id of the component
@@ -37,8 +38,9 @@ SHINGLE = 5
 PERCENT = 80
 FREQUENT = 8  # a token in more documents than this is of the frequent class
 TOKEN_BITS, TOKEN_PROBES = 12, 6
-STARS = 2
-BLOCK = 1_024
+BLOCK = 400_000  # tokens of a block of a bucket
+SKETCH_BLOCK = 2_048  # classes of a block of a bucket
+CENTRES = 8  # classes of a bucket that are compared with all others first
 
 
 def shingles(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -302,17 +304,20 @@ def connected(links: DataFrame) -> DataFrame:
     """
     spark = links.sparkSession
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = both.groupBy(F.col("a").alias("key")).agg(F.least(F.min("b"), F.min("a")).alias("comp"))
+    labels = both.groupBy(F.col("a").alias("key")).agg(F.least(F.min("b"), F.min("a")).alias("comp"), F.lit(True).alias("moved"))
     while True:
         path = scratch_path(spark, "labels")
         labels.write.parquet(path)
         now = spark.read.parquet(path)
+        if not now.where("moved").limit(1).count():
+            return now.select("key", "comp")
+        now = now.select("key", "comp")
         around = both.join(now, F.col("b") == F.col("key")).groupBy(F.col("a").alias("key")).agg(F.min("comp").alias("near"))
         stepped = now.join(around, "key").select("key", "comp", F.least("comp", "near").alias("next"))
         jumped = stepped.join(now.select(F.col("key").alias("next"), F.col("comp").alias("far")), "next")
-        labels = jumped.select("key", F.least("next", "far").alias("comp"))
-        if not jumped.where("least(next, far) < comp").limit(1).count():
-            return now
+        labels = jumped.select("key", F.least("next", "far").alias("new"), "comp").select(
+            "key", F.col("new").alias("comp"), (F.col("new") < F.col("comp")).alias("moved")
+        )
 
 
 def _open_buckets(buckets: DataFrame, comps: DataFrame) -> DataFrame:
@@ -336,37 +341,126 @@ def _star(buckets: DataFrame, pivot, percent: int) -> DataFrame:
     )
 
 
-def _cross_pairs(buckets: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
-    """Distinct plausible pairs between components of a bucket, block by block."""
-    held = buckets.join(sets.select("key", "sketch"), "key").withColumn(
-        "blocks", F.ceil(F.col("classes") / block).cast("int")
-    ).withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    spread = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "sig", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "key", "n", "comp", "sketch"
-    )
+def _forest(key: np.ndarray, comp: np.ndarray, side: np.ndarray | None, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links that join the components of some classes as far as their sets do; with sides, across them only.
+
+    A row compares one class with all others. The classes of the commonest tokens go first, for in a group of near
+    copies those are close to most others; after that only classes outside the largest component need their row.
+    """
+    size = np.array([len(s) for s in sets])
+    starts = np.cumsum(size) - size
+    distinct, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    common = np.add.reduceat(np.bincount(ids)[ids], starts) / size
+    _, label = np.unique(comp, return_inverse=True)
+    mark = np.zeros(len(distinct), bool)
+    links = []
+
+    def row(x: int) -> None:
+        own = ids[starts[x]:starts[x] + size[x]]
+        mark[own] = True
+        both = np.add.reduceat(mark[ids], starts, dtype=np.int64)
+        mark[own] = False
+        near = (100 * both >= percent * (size + size[x] - both)) & (label != label[x])
+        if side is not None:
+            near &= side != side[x]
+        for y in np.flatnonzero(near).tolist():
+            if label[y] != label[x]:
+                links.append((int(key[x]), int(key[y])))
+                label[label == label[y]] = label[x]
+
+    order = np.argsort(-common, kind="stable")
+    for x in order[:CENTRES].tolist():
+        row(x)
+    largest = np.bincount(label).argmax()
+    seed = int(np.flatnonzero(label == largest)[0])
+    for x in order.tolist():
+        if label[x] != label[seed]:
+            row(x)
+    return links
+
+
+def _blocks(buckets: DataFrame, cells: int, *columns: str) -> DataFrame:
+    """Rows of each pair of blocks (i, j) of a bucket; a block has about ``cells`` of the column ``weight``."""
+    total = buckets.groupBy("sig").agg(F.ceil(F.sum("weight") / cells).cast("int").alias("blocks"))
+    held = buckets.join(total, "sig").withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    spread = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return spread.select("sig", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", *columns)
+
+
+def _grouped(batches):
+    """((sig, i, j), members) of rows that are sorted by those."""
+    name, members = None, []
+    for batch in batches:
+        for sig, i, j, *rest in zip(*(c.to_pylist() for c in batch.columns)):
+            if (sig, i, j) != name:
+                if members:
+                    yield name, members
+                name, members = (sig, i, j), []
+            members.append(rest)
+    if members:
+        yield name, members
+
+
+def _plausible(buckets: DataFrame, sets: DataFrame, percent: int, block: int = SKETCH_BLOCK) -> DataFrame:
+    """The rows of buckets whose sketch admits a link to another component of their bucket."""
+    spread = _blocks(buckets.withColumn("weight", F.lit(1)), block, "key", "n", "comp").join(
+        sets.select("key", "sketch"), "key"
+    ).select("sig", "i", "j", "mine", "key", "n", "comp", "sketch")
 
     def compare(batches):
-        groups: dict[tuple, list] = {}
-        for batch in batches:
-            for sig, i, j, *rest in zip(*(c.to_pylist() for c in batch.columns)):
-                groups.setdefault((sig, i, j), []).append(rest)
-        seen: set[tuple[int, int]] = set()
-        for (_, i, j), members in groups.items():
-            mine = np.array([m[0] for m in members])
-            key, n, comp = (np.array([m[c] for m in members], np.int64) for c in (1, 2, 3))
-            size = min(len(m[4]) for m in members)
-            sketch = np.stack([_fold_to(np.frombuffer(m[4], np.uint8), size) for m in members]).view(np.uint64)
+        found: set[tuple[int, int]] = set()
+        for (sig, i, j), members in _grouped(batches):
+            mine, key, n, comp = (np.array([m[c] for m in members], np.int64) for c in range(4))
+            if comp.min() == comp.max():
+                continue
+            sizes = np.array([len(m[4]) for m in members])
+            chosen = np.zeros(len(members), bool)
+            folded = {
+                int(size): np.stack([_fold_to(np.frombuffer(m[4], np.uint8), size) if len(m[4]) >= size else np.zeros(size, np.uint8) for m in members]).view(np.uint64)
+                for size in np.unique(sizes)
+            }
             for x in np.flatnonzero(mine == i):
-                others = np.flatnonzero((comp != comp[x]) & (mine == j) & (key > key[x] if i == j else True))
-                others = others[(100 * n[others] >= percent * n[x]) & (100 * n[x] >= percent * n[others])]
-                apart = np.bitwise_count(sketch[others] ^ sketch[x]).sum(axis=1).astype(np.int64)
-                both = n[others] + n[x]
-                for y in others[100 * (both - apart) >= percent * (both + apart)].tolist():
-                    seen.add((min(key[x], key[y]), max(key[x], key[y])))
-        pairs = np.array(sorted(seen), np.int64).reshape(-1, 2)
+                others = np.flatnonzero((comp != comp[x]) & (mine == j) & (100 * n >= percent * n[x]) & (100 * n[x] >= percent * n))
+                for size in np.unique(np.minimum(sizes[others], sizes[x])):
+                    rows = others[np.minimum(sizes[others], sizes[x]) == size]
+                    bits = folded[int(size)]
+                    apart = np.bitwise_count(bits[rows] ^ bits[x]).sum(axis=1).astype(np.int64)
+                    both = n[rows] + n[x]
+                    near = rows[100 * (both - apart) >= percent * (both + apart)]
+                    chosen[near] = True
+                    chosen[x] |= len(near) > 0
+            found.update((sig, k) for k in key[chosen].tolist())
+        rows = np.array(sorted(found), np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], ["sig", "key"])
+
+    chosen = spread.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(compare, "sig long, key long")
+    return buckets.join(chosen.distinct(), ["sig", "key"])
+
+
+def _bucket_links(buckets: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """Distinct links between components of each bucket, by blocks of about ``block`` tokens."""
+    spread = _blocks(buckets.withColumn("weight", F.col("n")), block, "key", "comp").join(
+        sets.select("key", "tokens"), "key"
+    ).select("sig", "i", "j", "mine", "key", "comp", "tokens")
+
+    def compare(batches):
+        found: set[tuple[int, int]] = set()
+        for (_, i, j), members in _grouped(batches):
+            mine, key, comp = (np.array([m[c] for m in members], np.int64) for c in range(3))
+            if comp.min() != comp.max():
+                links = _forest(key, comp, None if i == j else mine, [np.frombuffer(m[3], np.uint64) for m in members], percent)
+                found.update((min(link), max(link)) for link in links)
+        pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
-    return spread.repartition("sig", "i", "j").mapInArrow(compare, "a long, b long").distinct()
+    grouped = spread.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    return grouped.mapInArrow(compare, "a long, b long").distinct()
+
+
+def _largest_buckets(buckets: DataFrame) -> DataFrame:
+    """The buckets that are the largest one of some class."""
+    chosen = buckets.groupBy("key").agg(F.max_by("sig", F.struct("classes", "sig")).alias("sig")).select("sig").distinct()
+    return buckets.join(chosen, "sig", "left_semi")
 
 
 def components(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT, frequent: int = FREQUENT, most_bytes: int = seg.MOST_BYTES) -> DataFrame:
@@ -378,20 +472,24 @@ def components(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT
         df.write.parquet(path)
         return spark.read.parquet(path)
 
+    def full(held: DataFrame) -> DataFrame:
+        return _bucket_links(stored(_plausible(held, sets, percent), "plausible"), sets, percent)
+
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     index = stored(_index(rows, size, percent, _token_filters(rows, size, frequent, most_bytes)), "index")
     docs = index.where("n >= 0").select("doc_id", F.when(F.col("n") > 0, F.col("key")).alias("key"), F.col("n").alias("n_shingles"))
     buckets = stored(_buckets(index.where("n < 0").select("segment", "signatures", "keys", "sizes")), "buckets")
     sets = stored(_sets(rows, size, buckets.select("key").distinct()), "sets")
     links, comps = None, spark.createDataFrame([], "key long, comp long")
-    for pivot in [F.min, F.max][:STARS]:
-        found = stored(_verified(_star(_open_buckets(buckets, comps), pivot, percent), sets, percent), "links")
+    for step in (
+        lambda held: _verified(_star(held, F.min, percent), sets, percent),
+        lambda held: full(_largest_buckets(stored(held, "open"))),
+        lambda held: full(stored(held, "open")),
+    ):
+        found = stored(step(_open_buckets(buckets, comps)), "links")
         links = found if links is None else links.unionByName(found)
-        comps = connected(links)
-    rest = _cross_pairs(stored(_open_buckets(buckets, comps), "open"), sets, percent)
-    found = stored(_verified(rest, sets, percent), "links")
-    if found.limit(1).count():
-        comps = connected(links.unionByName(found))
+        if found.limit(1).count():
+            comps = connected(links)
     classes = docs.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("first"))
     named = classes.join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     least = named.groupBy("comp").agg(F.min("first").alias("component_id"))

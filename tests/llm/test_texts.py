@@ -210,21 +210,28 @@ def test_components_of_random_edits(spark, documents):
         assert Counter(map(tuple, got)) == components_by_force(rows)
 
 
-def test_crossing_blocks(spark):
-    """The blocks of a large bucket give every plausible pair between components once."""
+@pytest.mark.parametrize("block", [200, 1_000, 10**6])
+def test_links_of_a_large_bucket(spark, block):
+    """However a bucket is cut into blocks, its links join what all pairs would join."""
     rng = np.random.default_rng(2)
     base = rng.integers(1, 2**62, 60).astype(np.uint64)
-    sets = [np.unique(np.concatenate([base[:50 + k % 10], rng.integers(1, 2**62, k % 7).astype(np.uint64)])) for k in range(40)]
-    table = spark.createDataFrame([(k, len(s), bytearray(jaccard_join._sketch(s))) for k, s in enumerate(sets)], "key long, n int, sketch binary")
-    buckets = table.selectExpr("1L AS sig", "key", "n", "key % 9 AS comp", "40L AS classes")
-    got = {tuple(r) for r in jaccard_join._cross_pairs(buckets, table, 80, block=7).collect()}
-    linked = set()
-    for x in range(40):
-        for y in range(x + 1, 40):
-            both = len(np.intersect1d(sets[x], sets[y]))
-            if x % 9 != y % 9 and 100 * both >= 80 * (len(sets[x]) + len(sets[y]) - both):
-                linked.add((x, y))
-    assert linked and linked <= got
+    sets = [np.unique(np.concatenate([base[:50 + k % 10], rng.integers(1, 2**62, k % 17).astype(np.uint64)])) for k in range(60)]
+    table = spark.createDataFrame([(k, len(s), bytearray(s.tobytes())) for k, s in enumerate(sets)], "key long, n int, tokens binary")
+    buckets = table.selectExpr("1L AS sig", "key", "n", "key - key % 2 AS comp", "60L AS classes")
+    got = {tuple(r) for r in jaccard_join._bucket_links(buckets, table, 80, block=block).collect()}
+
+    def parts(links):
+        label = {k: k - k % 2 for k in range(60)}
+        for a, b in links:
+            old, new = label[a], label[b]
+            label = {k: new if v == old else v for k, v in label.items()}
+        return {frozenset(k for k in label if label[k] == v) for v in label.values()}
+
+    linked = {
+        (x, y) for x in range(60) for y in range(x + 1, 60)
+        if 100 * len(np.intersect1d(sets[x], sets[y])) >= 80 * len(np.union1d(sets[x], sets[y]))
+    }
+    assert got <= linked and parts(got) == parts(linked) and 1 < len(parts(linked)) < 30
 
 
 def test_one_of_each_component_stays(spark, documents):
