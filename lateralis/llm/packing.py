@@ -28,12 +28,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lateralis.llm.registry import query, table
-from lateralis.llm.text import sliced, words_of
+from lateralis.llm.text import sliced, stage_cache, words_of
 from lateralis.session import scratch_path
 
 WINDOW = 2048
 END_ID = 1
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000
 #: Fixed set: punctuation that no contraction of the tokenizer starts with.
 TAIL = ",.;:!?#$%&*|)]}\""
 PIECES = (
@@ -109,9 +109,6 @@ def _folded(vocabulary: pa.Array) -> tuple[list[str], np.ndarray, list[str], np.
     return cores.dictionary.to_pylist(), cores.indices.to_numpy(), tails, of_word
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def encode_documents(documents: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = END_ID) -> DataFrame:
     """(part, local_start, doc_id, n, width, ids): the ids of each document with the end id, and its offset in its partition."""
 
@@ -119,23 +116,21 @@ def encode_documents(documents: DataFrame, tokenizer: str, key: str = "doc_id",
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        if tokenizer not in _encoders:
-            _encoders[tokenizer] = WordEncoder(tokenizer)
-        encoder = _encoders[tokenizer]
+        encoder = stage_cache(f"encoder {tokenizer}", lambda: WordEncoder(tokenizer))
         part, start = TaskContext.get().partitionId(), 0
-        for batch in sliced(batches, size=12 << 20):
+        for batch in sliced(batches, size=8 << 20):
             words = words_of(batch.column("text"), lower=False)
             cores, core, tails, tail = _folded(words.vocabulary)
             ids = encoder.encode(cores) + encoder.encode(tails)
-            core, tail = core[words.codes], tail[words.codes] + len(cores)
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // encoder.kind.itemsize
+            core, tail = core.astype(np.int32)[words.codes], (tail + len(cores)).astype(np.int32)[words.codes]
+            lengths = np.fromiter(map(len, ids), np.int32, len(ids)) // encoder.kind.itemsize
             flat = np.frombuffer(b"".join(ids), encoder.kind)
-            begins = np.cumsum(lengths) - lengths
-            ends = np.cumsum(lengths[core] + lengths[tail])
+            begins = np.cumsum(lengths, dtype=np.int32) - lengths
+            ends = np.cumsum(lengths[core] + lengths[tail], dtype=np.int32)
             parts = np.stack([core, tail], axis=1).ravel()
             parts = parts[lengths[parts] > 0]
             each = lengths[parts]
-            source = np.arange(each.sum()) + np.repeat(begins[parts] - (np.cumsum(each) - each), each)
+            source = np.arange(each.sum(), dtype=np.int32) + np.repeat(begins[parts] - (np.cumsum(each, dtype=np.int32) - each), each)
             stream = flat[source]
             bounds = np.concatenate([[0], ends])[np.concatenate([[0], words.ends])]
             n = np.diff(bounds) + 1

@@ -158,7 +158,9 @@ class Filter(NamedTuple):
 
 def collect_filter(parts: DataFrame, bits: int, probes: int) -> Filter:
     """A filter from rows (segment, bits); its size is bounded by ``filter_bits``."""
-    return Filter.of(bits, probes, parts.select("segment", "bits").toArrow())
+    found = Filter.of(bits, probes, parts.select("segment", "bits").toArrow())
+    pa.default_memory_pool().release_unused()
+    return found
 
 
 def _content(chunk: pa.Array) -> np.ndarray:

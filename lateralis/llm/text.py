@@ -5,13 +5,14 @@ A word is a run of bytes outside ``\\x20\\x09-\\x0D``. A null text has no words.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 
 SLICE_BYTES = 4 << 20
 
@@ -31,8 +32,30 @@ class Words(NamedTuple):
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
 
+_kept: dict[str, tuple[int, object]] = {}
+
+
+def _stage() -> int:
+    context = TaskContext.get()
+    return -1 if context is None else context.stageId()
+
+
+def stage_cache(name: str, make: Callable[[], object]) -> object:
+    """What a worker process keeps between tasks of one stage; tasks of any other stage let it go."""
+    held = _kept.get(name)
+    if held is None or held[0] != _stage():
+        held = _kept[name] = (_stage(), make())
+    return held[1]
+
+
+def _let_go() -> None:
+    for name in [n for n, (stage, _) in _kept.items() if stage != _stage()]:
+        del _kept[name]
+
+
 def slices(text: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``size`` bytes of text each; a longer text is a range of its own."""
+    _let_go()
     ends = np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < len(text):
