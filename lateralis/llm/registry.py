@@ -34,11 +34,17 @@ def query(sql: str | None = None):
 
 
 _shipped: set[str] = set()
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+DEFAULT_BATCH_BYTES = "67108864b"  # Spark's own
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, so that tasks can import it anywhere."""
+    """Make a session ready: send this package to the executors, so that tasks can import it anywhere, once per
+    application; and, where the session leaves it at Spark's default, bound an Arrow batch of whole texts at 8 MB.
+    """
     context = spark.sparkContext
+    if spark.conf.get(BATCH_BYTES, DEFAULT_BATCH_BYTES) == DEFAULT_BATCH_BYTES:
+        spark.conf.set(BATCH_BYTES, "8m")
     if context.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parents[1]
