@@ -3,16 +3,17 @@
 Counting is one pass over the training texts: equal n-grams of a slice are added up, n-grams meet by hash
 segment, and each segment writes (a) its exact token counts and (b) its part of a Bloom filter. For an n-gram
 with count c the filter holds the n-gram at every quantisation level up to that of c; a level is read back by
-probing level after level until one is missing. The filter is broadcast. It takes ``BITS_PER_ENTRY`` for each
-entry up to ``MOST_BYTES``; n-grams of all training texts go in at any size, and beyond the bound the
-rate of false positives rises instead.
+probing level after level until one is missing. The filter takes ``BITS_PER_ENTRY`` for each entry at any size,
+so the rate of false positives does not depend on the input. Up to ``MOST_BYTES`` it is broadcast. A larger one
+stays in its segments: the distinct n-grams of each slice of texts are sent to the segment's part of the filter,
+and their levels and exact counts come back to the slice. Both ways read the same filter and give the same scores.
 
 Model: outcomes are the V training tokens and one class of unknown tokens, as for the add-one base.
 P(w) = (1 - u) c'(w) / Z with c' the quantised count, Z the sum of c' over all tokens and u = max(singletons, 1) / (N + 1)
 for the unknown class; P(w | v) = (1 - a) P(w) + a min(1, c'(v w) / c'(v)) where v is known, P(w) elsewhere. A
 start mark precedes the first word; the end is a token.
 
-The base needs exact counts. Tokens with count >= N / HEAD are at most HEAD and are broadcast; all other
+The base needs exact counts. Beside a broadcast filter, tokens with count >= N / HEAD are at most HEAD and are broadcast; all other
 occurrences meet the written counts by hash segment.
 
 Defined results: a null text is empty (its end is its only token); without training rows every token is
@@ -40,7 +41,7 @@ HEAD = 1 << 20
 BITS_PER_ENTRY = 8
 PROBES = 4
 WEIGHT = 0.25
-MOST_BYTES = 512 << 20  # bound of the filter that is broadcast
+MOST_BYTES = seg.MOST_BYTES  # a larger filter is not broadcast, but asked where it lies
 #: Least counts of the quantisation levels 1, 2, ...: powers of the square root of two, rounded up.
 LEVELS = np.unique(np.ceil(np.sqrt(2.0) ** np.arange(0, 100) - 1e-9)).astype(np.int64)
 #: What a level counts as: the middle of its range, on a logarithmic scale.
@@ -59,8 +60,20 @@ def entries(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return mix(gram + level.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
+def levels_in(held: seg.Filter, grams: np.ndarray) -> np.ndarray:
+    """The level of each n-gram, by probing from level 1 until a miss."""
+    out = np.zeros(len(grams), np.int64)
+    live, level = np.arange(len(grams)), 1
+    while len(live) and level <= len(LEVELS):
+        entry = mix(grams[live] + np.uint64(level * 0xA0761D6478BD642F % 2**64))
+        live = live[held.contains(entry, routed=grams[live])]
+        out[live] = level
+        level += 1
+    return out
+
+
 class Model(NamedTuple):
-    filter: seg.Filter
+    filter: seg.Filter | None  # None: not broadcast
     tokens: int
     distinct: int
     unknown: float
@@ -70,15 +83,20 @@ class Model(NamedTuple):
     weight: float
 
     def levels(self, grams: np.ndarray) -> np.ndarray:
-        """The level of each n-gram, by probing from level 1 until a miss."""
-        out = np.zeros(len(grams), np.int64)
-        live, level = np.arange(len(grams)), 1
-        while len(live) and level <= len(LEVELS):
-            entry = mix(grams[live] + np.uint64(level * 0xA0761D6478BD642F % 2**64))
-            live = live[self.filter.contains(entry, routed=grams[live])]
-            out[live] = level
-            level += 1
-        return out
+        return levels_in(self.filter, grams)
+
+
+class Answers(NamedTuple):
+    """What a slice of texts was told of its n-grams."""
+
+    grams: np.ndarray  # sorted
+    found: np.ndarray  # the level of each
+    unknown: float
+    norm: float
+    weight: float
+
+    def levels(self, grams: np.ndarray) -> np.ndarray:
+        return self.found[np.searchsorted(self.grams, grams)].astype(np.int64)
 
 
 def _stream(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,12 +108,16 @@ def _stream(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     keep = np.ones(len(stream), bool)
     keep[ends - 1] = False
     stream[keep] = word
+    return stream, np.repeat(np.arange(len(n)), n), _before(stream, n)
+
+
+def _before(stream: np.ndarray, n: np.ndarray) -> np.ndarray:
     before = np.concatenate([[START], stream[:-1]]).astype(np.uint64)
-    before[ends - n] = START
-    return stream, np.repeat(np.arange(len(n)), n), before
+    before[np.cumsum(n) - n] = START
+    return before[:len(stream)]
 
 
-def count(documents: DataFrame, train: Column, most_bytes: int = MOST_BYTES) -> DataFrame:
+def count(documents: DataFrame, train: Column) -> DataFrame:
     """One row per segment: exact token counts, and the filter part of its tokens and bigrams."""
     bits = seg.segment_bits(documents.sparkSession)
     rows = documents.where(train).select(F.col("text").alias("text"))
@@ -124,7 +146,7 @@ def count(documents: DataFrame, train: Column, most_bytes: int = MOST_BYTES) ->
             if kind == 1:
                 words = h != START
                 tokens = h[words], c[words]
-        bits_of = seg.filter_bits(np.concatenate(parts), bits, BITS_PER_ENTRY, PROBES, most_bytes)
+        bits_of = seg.filter_bits(np.concatenate(parts), bits, BITS_PER_ENTRY, PROBES, None)
         h, c = tokens
         yield (
             segment, h.tobytes(), c.tobytes(), int(c.sum()), len(h), int((c == 1).sum()),
@@ -137,10 +159,15 @@ def count(documents: DataFrame, train: Column, most_bytes: int = MOST_BYTES) ->
     )
 
 
-def model_of(counts: DataFrame, bits: int, weight: float = WEIGHT) -> Model:
-    """The broadcast part of a written table of ``count``: filter, totals and the frequent tokens."""
-    n, v, singles, norm = counts.agg(F.sum("total"), F.sum("distinct_tokens"), F.sum("singles"), F.sum("norm")).first()
+def model_of(counts: DataFrame, bits: int, weight: float = WEIGHT, most_bytes: int = MOST_BYTES) -> Model:
+    """The broadcast part of a written table of ``count``: totals and, unless they are larger, filter and the frequent tokens."""
+    n, v, singles, norm, size = counts.agg(
+        F.sum("total"), F.sum("distinct_tokens"), F.sum("singles"), F.sum("norm"), F.sum(F.octet_length("bits").cast("long"))
+    ).first()
     n, v = n or 0, v or 0
+    unknown = max(singles or 0, 1) / (n + 1)
+    if (size or 0) > most_bytes:
+        return Model(None, n, v, unknown, norm or 1.0, np.zeros(0, np.uint64), np.zeros(0, np.int64), weight)
     least = n / HEAD
 
     def frequent(batches):
@@ -153,11 +180,11 @@ def model_of(counts: DataFrame, bits: int, weight: float = WEIGHT) -> Model:
     h, c = head["h"].to_numpy().view(np.uint64), head["c"].to_numpy()
     order = np.argsort(h)
     return Model(
-        seg.collect_filter(counts, bits, PROBES), n, v, max(singles or 0, 1) / (n + 1), norm or 1.0, h[order], c[order], weight
+        seg.collect_filter(counts, bits, PROBES), n, v, unknown, norm or 1.0, h[order], c[order], weight
     )
 
 
-def _log_probabilities(model: Model, stream: np.ndarray, before: np.ndarray) -> np.ndarray:
+def _log_probabilities(model: Model | Answers, stream: np.ndarray, before: np.ndarray) -> np.ndarray:
     tokens, token_at = np.unique(stream, return_inverse=True)
     value = VALUES[model.levels(tokens)]
     single = np.where(value > 0, (1 - model.unknown) * value / model.norm, model.unknown)
@@ -174,12 +201,98 @@ def _log_probabilities(model: Model, stream: np.ndarray, before: np.ndarray) ->
     return np.log10(p)[pair_at]
 
 
-def score(documents: DataFrame, counts: DataFrame, bits: int, weight: float = WEIGHT) -> DataFrame:
+_ASKED = pa.schema([
+    ("segment", pa.int32()), ("slice", pa.int64()), ("kind", pa.int32()), ("hashes", pa.binary()), ("more", pa.binary()),
+    ("bits", pa.binary()), ("docs", pa.list_(pa.int64())), ("lengths", pa.binary()),
+])
+
+
+def _score_where_counted(rows: DataFrame, counts: DataFrame, bits: int, model: Model) -> DataFrame:
+    """The scores of ``rows`` without a broadcast filter. Kinds of rows: 0 the stored segment, 1 tokens and 2 bigrams that a
+    slice asks for, 3 the slice itself, as codes of its tokens."""
+
+    def emit(batches):
+        at = TaskContext.get().partitionId() << 40
+        for batch in sliced(batches):
+            stream, owners, before = _stream(words_of(batch.column("text"), lower=True))
+            tokens, codes = np.unique(stream, return_inverse=True)
+            out = []
+            for kind, grams in ((1, np.unique(np.append(tokens, START))), (2, np.unique(joined_hash(before, stream)))):
+                out += [(segment, at, kind, h.tobytes(), None, None, None, None) for segment, h in seg.split(grams, bits)]
+            own = int(seg.segment_of(mix(np.array([at], np.uint64)), bits)[0])
+            lengths = np.bincount(owners, minlength=len(batch)).astype(np.uint32).tobytes()
+            codes = codes.astype(np.uint16 if len(tokens) <= 1 << 16 else np.uint32)
+            out.append((own, at, 3, tokens.tobytes(), codes.tobytes(), None, batch.column("doc_id").to_pylist(), lengths))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _ASKED)], schema=_ASKED)
+            at += 1
+
+    stored = counts.select(
+        "segment", F.lit(None).cast("long").alias("slice"), F.lit(0).alias("kind"), "hashes", F.col("counts").alias("more"), "bits",
+        F.lit(None).cast("array<bigint>").alias("docs"), F.lit(None).cast("binary").alias("lengths"),
+    )
+
+    def answer(segment, cells):
+        token, number, part = np.zeros(0, np.uint64), np.zeros(0, np.int64), b""
+        asked = {1: [], 2: []}
+        for k, kind in enumerate(cells["kind"]):
+            if kind == 0:
+                token, number, part = seg.numbers([cells["hashes"][k]]), seg.numbers([cells["more"][k]], np.int64), cells["bits"][k]
+            elif kind == 3:
+                yield cells["slice"][k], 3, -1, cells["hashes"][k], cells["more"][k], cells["docs"][k], cells["lengths"][k]
+            else:
+                asked[kind].append(k)
+        held = seg.Filter.of(bits, PROBES, pa.table({"segment": pa.array([segment], pa.int32()), "bits": pa.array([part], pa.binary())}))
+        for kind, places in asked.items():
+            if not places:
+                continue
+            grams, back = np.unique(seg.numbers([cells["hashes"][k] for k in places]), return_inverse=True)
+            level, number_of = levels_in(held, grams).astype(np.uint8), np.zeros(len(grams) if kind == 1 else 0, np.int64)
+            if kind == 1 and len(token):
+                at = np.minimum(np.searchsorted(token, grams), len(token) - 1)
+                number_of = np.where(token[at] == grams, number[at], 0)
+            start = 0
+            for k in places:
+                own = back[start:start + len(cells["hashes"][k]) // 8]
+                yield cells["slice"][k], kind, segment, level[own].tobytes(), number_of[own].tobytes() if kind == 1 else b"", None, None
+                start += len(own)
+
+    def settle(_, cells):
+        order = sorted(range(len(cells["kind"])), key=lambda k: cells["part"][k])  # sorted hashes are in the order of their segments
+        told = {kind: [k for k in order if cells["kind"][k] == kind] for kind in (1, 2, 3)}
+        k, = told[3]
+        docs, n = cells["docs"][k], np.frombuffer(cells["lengths"][k], np.uint32).astype(np.int64)
+        tokens = seg.numbers([cells["hashes"][k]])
+        stream = tokens[np.frombuffer(cells["more"][k], np.uint16 if len(tokens) <= 1 << 16 else np.uint32)]
+        before, owners = _before(stream, n), np.repeat(np.arange(len(n)), n)
+        words = np.unique(np.append(tokens, START))
+        grams = np.concatenate([words, np.unique(joined_hash(before, stream))])
+        found = seg.numbers([cells["hashes"][k] for kind in (1, 2) for k in told[kind]], np.uint8)
+        order = np.argsort(grams, kind="stable")
+        answers = Answers(grams[order], found[order], model.unknown, model.norm, model.weight)
+        logs = np.bincount(owners, _log_probabilities(answers, stream, before), len(n))
+        c = seg.numbers([cells["more"][k] for k in told[1]], np.int64)[np.searchsorted(words, stream)]
+        base = np.bincount(owners, np.log10(c + 1.0), len(n)) - n * np.log10(model.tokens + model.distinct + 1)
+        known = np.bincount(owners, c > 0, len(n)).astype(np.int64)
+        yield from zip(docs, n.tolist(), known.tolist(), base.tolist(), logs.tolist())
+
+    asked = rows.mapInArrow(emit, "segment int, slice long, kind int, hashes binary, more binary, bits binary, docs array<bigint>, lengths binary")
+    told = seg.per_segment(
+        asked.unionByName(stored), answer,
+        "segment long, kind int, part int, hashes binary, more binary, docs array<bigint>, lengths binary",
+    )
+    return seg.per_segment(told, settle, "doc_id long, n_tokens long, n_known long, base_score double, score double").select(
+        "doc_id", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"
+    )
+
+
+def score(documents: DataFrame, counts: DataFrame, bits: int, weight: float = WEIGHT, most_bytes: int = MOST_BYTES) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row of ``documents``."""
     spark = documents.sparkSession
-    model = model_of(counts, bits, weight)
-    shared = spark.sparkContext.broadcast(model)
+    model = model_of(counts, bits, weight, most_bytes)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if model.filter is None:
+        return _score_where_counted(rows, counts, bits, model)
+    shared = spark.sparkContext.broadcast(model)
     schema = (
         "segment int, row long, doc_id long, n_tokens long, known long, base double, score double, "
         "hashes binary, rows binary, times binary"
@@ -265,13 +378,13 @@ _EMITTED = pa.schema([
 ])
 
 
-def score_corpus(documents: DataFrame, train: Column, weight: float = WEIGHT) -> DataFrame:
+def score_corpus(documents: DataFrame, train: Column, weight: float = WEIGHT, most_bytes: int = MOST_BYTES) -> DataFrame:
     """Count over the rows where ``train`` holds, then score all rows."""
     spark = documents.sparkSession
     bits = seg.segment_bits(spark)
     path = scratch_path(spark, "ngrams")
     count(documents, train).write.parquet(path)
-    return score(documents, spark.read.parquet(path), bits, weight)
+    return score(documents, spark.read.parquet(path), bits, weight, most_bytes)
 
 
 @query()

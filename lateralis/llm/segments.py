@@ -6,7 +6,7 @@ its segment as one number a slice. The number of segments follows the session's
 
 ``Filter`` is a Bloom filter built segment by segment where the hashes already are, so that building needs
 neither a merge nor a second shuffle. Its size follows the number of entries up to ``most_bytes``, the bound
-of what is broadcast; beyond it the rate of false positives rises.
+of what is broadcast; beyond it the rate of false positives rises. Without a bound it follows at any size.
 """
 
 from __future__ import annotations
@@ -103,9 +103,9 @@ def numbers(blobs: list[bytes], kind=np.uint64) -> np.ndarray:
     return np.frombuffer(b"".join(blobs), kind)
 
 
-def filter_bits(hashes: np.ndarray, bits: int, per_entry: float, probes: int, most_bytes: int = MOST_BYTES) -> bytes:
+def filter_bits(hashes: np.ndarray, bits: int, per_entry: float, probes: int, most_bytes: int | None = MOST_BYTES) -> bytes:
     """The bit array of one segment of a filter that holds ``hashes``."""
-    size = int(min(len(hashes) * per_entry, most_bytes * 8 >> bits))
+    size = int(len(hashes) * per_entry if most_bytes is None else min(len(hashes) * per_entry, most_bytes * 8 >> bits))
     if not len(hashes):
         return b""
     size = max(64, size + 7 & ~7)

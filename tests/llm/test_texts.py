@@ -91,6 +91,22 @@ def test_lm_scores_without_training_rows(spark, documents):
     assert (scored.n_known, scored.train_tokens, scored.base_score, scored.score) == (0, 0, 0.0, 0.0)
 
 
+def test_lm_scores_do_not_depend_on_the_filter_bound(spark, documents):
+    docs, train = documents(ROWS), lm_scoring.F.expr("doc_id is null or doc_id % 3 <> 0")
+    held, asked = (
+        sorted(map(tuple, lm_scoring.score_corpus(docs, train, most_bytes=most).collect()), key=repr) for most in (1 << 30, 64)
+    )
+    assert len(held) == len(asked) == len(ROWS)
+    for a, b in zip(held, asked):
+        assert a[:4] == b[:4] and a[5] == b[5] and a[4] == pytest.approx(b[4], rel=1e-9)
+
+
+def test_lm_filter_has_its_bits_at_any_size():
+    h = lm_scoring.mix(np.arange(20_000, dtype=np.uint64))
+    part = segments.filter_bits(h, 60, lm_scoring.BITS_PER_ENTRY, lm_scoring.PROBES, None)
+    assert len(part) == len(h) * lm_scoring.BITS_PER_ENTRY // 8
+
+
 def test_lm_levels_read_back():
     counts = np.array([1, 2, 3, 4, 7, 100, 12345])
     grams = joined_hash(np.arange(7, dtype=np.uint64), np.arange(7, dtype=np.uint64))
