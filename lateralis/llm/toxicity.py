@@ -3,7 +3,9 @@
 Noisy channel: what was written is a garbled form of intended letters. Suspicious words (digits or signs between
 letters, separators inside a word, long repetitions, runs of single letters) become a lattice of the letters each
 character may stand for, weighted by the channel, and Viterbi decoding under a character trigram model picks the restored
-form. Other words stay as they are. The trigram model counts the words of all texts.
+form. A run of single letters is read as one word and, with a boundary possible before every letter, as several; so is a
+word with signs inside, with a boundary possible at every sign. As short words make such boundaries doubtful, the words
+that neighbouring letters of a run, or pieces between separators, make from any of them on are read as well. No length is too long. Other words stay as they are. The trigram model counts the words of all texts.
 
 Score: features are the restored words and their beginnings, lower case. Labelled learning rows (at most ``TOXIC_ROWS``
 with label 1 and ``CLEAN_ROWS`` with label 0, chosen by a hash of the key) count each hashed feature per label; the
@@ -28,6 +30,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +43,9 @@ BUCKETS = 1 << 20
 STARTS = (4, 5, 6, 7)
 THRESHOLD = 0.3
 PRECISION = (0.9, 0.7, 0.5, 0.3)  # telling features are weighed in this order
-MOST_DECODED = 24  # characters; longer words are no garbled words
+FLATTENED = 4096  # characters after which the paths of the decoder become plain text
+JOINED = 24  # letters up to which neighbouring pieces are joined to whole words; beginnings and decoded words have no such bound
+KEPT_LENGTH = 64  # characters; the readings of longer words are not kept for the next time
 LETTERS = 512  # size of the hashed alphabet of the character model
 #: The letters that signs and digits may stand for.
 LOOKS_LIKE = {
@@ -50,6 +55,7 @@ LOOKS_LIKE = {
 SEPARATORS = set(".-_*~^'`,:;/\\·")
 TRIM = ",.;:!?#$%&*|()[]{}\"'`~^-_=+<>/\\@"
 STAND_FOR, REMOVED, REPEATED, KEPT = -1.0, -0.7, -0.7, -12.0
+_SEPARATED = re.compile("[" + "".join(map(re.escape, sorted(SEPARATORS))) + "]+")
 _SUSPICIOUS = re.compile(r"[^\W\d_][\W\d_]+[^\W\d_]|([^\W\d_])\1\1|^[\d@$!|+(]+[^\W\d_]|[^\W\d_][\d@$!|+(]+$")
 
 
@@ -133,43 +139,86 @@ def _options(word: str, at: int) -> list[tuple[str, float]]:
     return out
 
 
-def decode(word: str, model: CharacterModel) -> str:
-    """The likeliest intended word: Viterbi over the lattice, states are the last two letters."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+def decode(word: str, log_p, spaced: bool = False, run: bool = False) -> str:
+    """The likeliest intended word: Viterbi over the lattice, states are the last two letters.
+
+    With ``spaced`` a removed sign may stand for a word boundary, with ``run`` a boundary may be before every letter; then
+    the result is words with blanks between them. Time is linear in the length, and so is memory, in bytes.
+    """
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     for at in range(len(word)):
-        following: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, text) in states.items():
-            for letter, cost in _options(word, at):
-                if letter:
+        options = _options(word, at)
+        if spaced and not word[at].isalnum():
+            options.append((" ", REMOVED))
+        if run and at:
+            for (a, b), (score, link) in list(states.items()):
+                value = score + log_p(a, b, 0)
+                if b and ((0, 0) not in states or states[0, 0][0] < value):
+                    states[0, 0] = value, (link, " ")
+        following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (score, link) in states.items():
+            for letter, cost in options:
+                if letter == " ":
+                    if not b:
+                        continue
+                    to, value = (0, 0), score + cost + log_p(a, b, 0)
+                elif letter:
                     c = _letter(letter)
                     # per letter the model is a penalty; a bonus keeps short readings from winning by length alone
-                    to, value, out = (b, c), score + cost + model.log_p(a, b, c) + 2.5, text + letter
+                    to, value = (b, c), score + cost + log_p(a, b, c) + 2.5
                 else:
-                    to, value, out = (a, b), score + cost, text
+                    to, value = (a, b), score + cost
                 if to not in following or following[to][0] < value:
-                    following[to] = (value, out)
+                    following[to] = (value, (link, letter) if letter else link)
         states = following
-    best = max(states.items(), key=lambda s: (s[1][0] + model.log_p(*s[0], 0), s[1][1]))
-    return best[1][1]
+        if at % FLATTENED == FLATTENED - 1:
+            states = {k: (score, (None, _text(link))) for k, (score, link) in states.items()}
+    best = max(states.items(), key=lambda s: s[1][0] + (log_p(*s[0], 0) if s[0][1] else 0.0))
+    return _text(best[1][1]).strip(" ")
+
+
+def _text(link: tuple | None) -> str:
+    """The letters of a path, from its last step back."""
+    out = []
+    while link is not None:
+        link, letter = link
+        out.append(letter)
+    return "".join(reversed(out))
 
 
 class Restorer:
     """Restored forms of words, with a bounded memory."""
 
     def __init__(self, model: CharacterModel):
-        self.model, self.known = model, {}
+        self.model, self.known, self.costs = model, {}, {}
 
-    def __call__(self, word: str) -> str:
-        found = self.known.get(word)
+    def log_p(self, a: int, b: int, c: int) -> float:
+        key = (a, b, c)
+        found = self.costs.get(key)
         if found is None:
-            if len(self.known) > 200_000:
-                self.known.clear()
-            found = self.known[word] = decode(word, self.model)
+            if len(self.costs) > 200_000:
+                self.costs.clear()
+            found = self.costs[key] = self.model.log_p(a, b, c)
         return found
 
+    def __call__(self, word: str, run: bool = False) -> str:
+        """The readings of a word, or of a run of single letters: as one word, and as several where that is likelier."""
+        found = self.known.get((word, run))
+        if found is None:
+            found = decode(word, self.log_p)
+            if run or not word.isalnum():
+                parts = decode(word, self.log_p, spaced=not run, run=run)
+                found = f"{found} {parts}" if " " in parts else found
+            if len(word) <= KEPT_LENGTH:
+                if len(self.known) > 200_000:
+                    self.known.clear()
+                self.known[word, run] = found
+        return found
 
-def restored(words: Words, restore: Restorer) -> tuple[list[str], np.ndarray, list[tuple[int, str]]]:
-    """(forms, form of each vocabulary word, (text, form) of runs of single letters); words are lower case."""
+
+def restored(words: Words, restore: Restorer) -> tuple[list[str], list[tuple[int, list[str]]], list[tuple[int, str, str]]]:
+    """(form of each vocabulary word, (word, pieces) of words with separators, (text, form, letters) of runs of single letters);
+    words are lower case."""
     trimmed = pc.utf8_trim(words.vocabulary, characters=TRIM)
     whole = words.vocabulary.to_pylist()
     forms = trimmed.to_pylist()
@@ -177,31 +226,54 @@ def restored(words: Words, restore: Restorer) -> tuple[list[str], np.ndarray, li
     tripled = pc.match_substring_regex(trimmed, "aaa|bbb|ccc|ddd|eee|fff|ggg|hhh|iii|jjj|kkk|lll|mmm|nnn|ooo|ppp|qqq|rrr|sss|ttt|uuu|vvv|www|xxx|yyy|zzz")
     odd |= tripled.to_numpy(zero_copy_only=False)
     edged = pc.match_substring_regex(words.vocabulary, r"^[@$!|+(<][\p{L}]|[\p{L}][@$|+]$").to_numpy(zero_copy_only=False)
+    pieces = []
     for k in np.flatnonzero(odd | edged).tolist():
         word = forms[k] if odd[k] else whole[k]
-        if 3 <= len(word) <= MOST_DECODED and _SUSPICIOUS.search(word):
+        if 3 <= len(word) and _SUSPICIOUS.search(word):
             forms[k] = restore(word)
+            parts = [restore(p) if len(p) > 1 and not p.isalpha() else p for p in _SEPARATED.split(word) if p]
+            if len(parts) > 1:
+                pieces.append((k, parts))
     single = (pc.utf8_length(trimmed).to_numpy(zero_copy_only=False) == 1) & np.array([len(f) == 1 and (f.isalpha() or f in LOOKS_LIKE) for f in forms], bool)
     spaced = []
     if single.any():
         here = single[words.codes].astype(np.int8)
-        owners = words.owners
+        owners, ends = words.owners, words.ends
         edge = np.flatnonzero(np.diff(np.concatenate([[0], here, [0]])))
         for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
             while a < b:  # a run does not cross texts
-                e = min(b, int(words.ends[owners[a]]))
+                e = min(b, int(ends[owners[a]]))
                 if e - a >= 3:
                     run = "".join(forms[c] for c in words.codes[a:e].tolist())
-                    for at in range(0, len(run), MOST_DECODED):
-                        spaced.append((int(owners[a]), restore(run[at:at + MOST_DECODED])))
+                    spaced.append((int(owners[a]), restore(run, run=True), run))
                 a = e
-    return forms, np.arange(len(forms)), spaced
+    return forms, pieces, spaced
+
+
+def joined_features(pieces: list[str], least: int) -> list[int]:
+    """Distinct features of the words that neighbouring pieces make, from every piece on.
+
+    From a piece on, words end with the first of more than ``JOINED`` letters, so its beginnings are all there; a longer word
+    has these, and its whole form where the decoder reads it.
+    """
+    digest, out = xxhash.xxh3_64_intdigest, set()
+    for first in range(len(pieces)):
+        text = ""
+        for at in range(first, len(pieces)):
+            text += pieces[at]
+            if len(text) >= least:
+                out.add(digest(text) % BUCKETS)
+            if len(text) > JOINED:
+                break
+        out.update(digest(text[:size], size) % BUCKETS for size in STARTS if len(text) >= size)
+    return sorted(out)
 
 
 def feature_hashes(forms: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(feature, form index) of the words and their beginnings."""
-    array = pa.array(forms, pa.string())
-    keys, owners = [hashes(array)], [np.arange(len(forms))]
+    """(feature, form index) of the words and their beginnings; a form may be several words with blanks between them."""
+    several = [(k, w) for k, f in enumerate(forms) if " " in f for w in f.split(" ")]
+    array = pa.array(forms + [w for _, w in several], pa.string())
+    keys, owners = [hashes(array)], [np.arange(len(array))]
     length = pc.utf8_length(array).to_numpy(zero_copy_only=False)
     for size in STARTS:
         at = np.flatnonzero(length >= size)
@@ -210,21 +282,28 @@ def feature_hashes(forms: list[str]) -> tuple[np.ndarray, np.ndarray]:
         owners.append(at)
     key, owner = np.concatenate(keys), np.concatenate(owners)
     filled = length[owner] > 1
-    return (key[filled] % np.uint64(BUCKETS)).astype(np.int64), owner[filled]
+    of = np.concatenate([np.arange(len(forms)), np.array([k for k, _ in several], np.int64)])
+    return (key[filled] % np.uint64(BUCKETS)).astype(np.int64), of[owner[filled]]
 
 
 def text_features(text: pa.Array, restore: Restorer, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (text, feature) of an array of texts; of the features where ``wanted`` is set, if given."""
     words = words_of(text, lower=True)
-    forms, form_of, spaced = restored(words, restore)
+    forms, pieces, spaced = restored(words, restore)
     base = len(forms)
-    feature, form = feature_hashes(forms + [f for _, f in spaced])
+    feature, form = feature_hashes(forms + [f for _, f, _ in spaced])
+    more = [(k, joined_features(parts, 2)) for k, parts in pieces]
+    for k, (_, reading, run) in enumerate(spaced):
+        whole = reading.split(" ")[0]
+        more += [(base + k, joined_features(list(letters), STARTS[0])) for letters in {whole, run}]
+    feature = np.concatenate([feature, *[np.array(f, np.int64) for _, f in more]])
+    form = np.concatenate([form, *[np.full(len(f), k) for k, f in more]])
     if wanted is not None:
         keep = wanted[feature]
         feature, form = feature[keep], form[keep]
     # each distinct (text, word) once, then the features of the word
     pair = np.unique(np.concatenate([
-        words.owners * (base + len(spaced)) + words.codes, np.array([t * (base + len(spaced)) + base + k for k, (t, _) in enumerate(spaced)], np.int64),
+        words.owners * (base + len(spaced)) + words.codes, np.array([t * (base + len(spaced)) + base + k for k, (t, _, _) in enumerate(spaced)], np.int64),
     ]).astype(np.int64))
     owner, word = np.divmod(pair, max(base + len(spaced), 1))
     order = np.argsort(form, kind="stable")
@@ -307,8 +386,6 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column) -> ToxicityModel
 
 
 def hash_of(text: str | None) -> int:
-    import xxhash
-
     return xxhash.xxh3_64_intdigest(text or "") - (1 << 63)
 
 

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -227,6 +228,31 @@ def test_toxicity(spark, write):
     assert got[903].predicted == 1 and got[901].predicted == got[900].predicted == got[902].predicted == 0
 
 
+@pytest.fixture(scope="module")
+def readings():
+    """A function: the features of a text, those of a word that is not garbled, and whether the first hold one of the second."""
+    counts = Counter()
+    for w in "you are a person the idiot moron stupid disgusting or on in it is am rest paper water".split():
+        codes = [0, 0, *map(toxicity._letter, w), 0]
+        for k in range(2, len(codes)):
+            counts[(codes[k - 2] * 512 + codes[k - 1]) * 512 + codes[k]] += 5
+    pairs, letters = Counter(), np.zeros(512)
+    for gram, n in counts.items():
+        pairs[gram % 512**2] += n
+        letters[gram % 512] += n
+    restore = toxicity.Restorer(toxicity.CharacterModel(dict(counts), dict(pairs), letters, int(letters.sum())))
+    of = lambda text: set(toxicity.text_features(pa.array([text]), restore)[1].tolist())
+    return lambda text, word: of(word) <= of(text)
+
+
+@pytest.mark.parametrize("text, word", [
+    ("m o r o n", "moron"), ("you are a m o r o n", "moron"), ("y o u i d i o t", "idiot"),
+    ("so " + "x y " * 11 + "i d i o t " + "x y " * 20, "idiot"), ("y o u a r e a m o r o n", "moron"),
+])
+def test_words_in_runs_of_single_letters(readings, text, word):
+    assert readings(text, word) and not readings(text, "disgusting")
+
+
 def test_toxicity_without_labels(spark, documents):
     docs = documents([(1, "idiot"), (2, None)])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
