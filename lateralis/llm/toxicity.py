@@ -1,7 +1,7 @@
 """Toxicity scores of deobfuscated text.
 
 Noisy channel: what was written is a garbled form of intended letters. Suspicious words (digits or signs between
-letters, separators inside a word, long repetitions, runs of single letters) become a lattice of the letters each
+letters, separators inside a word, repeated letters, runs of single letters) become a lattice of the letters each
 character may stand for, weighted by the channel, and Viterbi decoding under a character trigram model picks the restored
 form. A run of single letters is read as one word and, with a boundary possible before every letter, as several; so is a
 word with signs inside, with a boundary possible at every sign. As short words make such boundaries doubtful, the words
@@ -55,6 +55,9 @@ LOOKS_LIKE = {
 SEPARATORS = set(".-_*~^'`,:;/\\·")
 TRIM = ",.;:!?#$%&*|()[]{}\"'`~^-_=+<>/\\@"
 STAND_FOR, REMOVED, REPEATED, KEPT = -1.0, -0.7, -0.7, -12.0
+#: Words that may hold a doubled letter of any script, and those that do.
+_DOUBLED = "|".join(c * 2 for c in "abcdefghijklmnopqrstuvwxyz") + r"|[^\x00-\x7F]"
+_TWICE = re.compile(r"([^\W\d_])\1")
 _SEPARATED = re.compile("[" + "".join(map(re.escape, sorted(SEPARATORS))) + "]+")
 _SUSPICIOUS = re.compile(r"[^\W\d_][\W\d_]+[^\W\d_]|([^\W\d_])\1\1|^[\d@$!|+(]+[^\W\d_]|[^\W\d_][\d@$!|+(]+$")
 
@@ -223,8 +226,7 @@ def restored(words: Words, restore: Restorer) -> tuple[list[str], list[tuple[int
     whole = words.vocabulary.to_pylist()
     forms = trimmed.to_pylist()
     odd = pc.invert(pc.or_(pc.utf8_is_alpha(trimmed), pc.equal(trimmed, ""))).to_numpy(zero_copy_only=False)
-    tripled = pc.match_substring_regex(trimmed, "aaa|bbb|ccc|ddd|eee|fff|ggg|hhh|iii|jjj|kkk|lll|mmm|nnn|ooo|ppp|qqq|rrr|sss|ttt|uuu|vvv|www|xxx|yyy|zzz")
-    odd |= tripled.to_numpy(zero_copy_only=False)
+    doubled = pc.match_substring_regex(trimmed, _DOUBLED).to_numpy(zero_copy_only=False) & ~odd
     edged = pc.match_substring_regex(words.vocabulary, r"^[@$!|+(<][\p{L}]|[\p{L}][@$|+]$").to_numpy(zero_copy_only=False)
     pieces = []
     for k in np.flatnonzero(odd | edged).tolist():
@@ -234,6 +236,11 @@ def restored(words: Words, restore: Restorer) -> tuple[list[str], list[tuple[int
             parts = [restore(p) if len(p) > 1 and not p.isalpha() else p for p in _SEPARATED.split(word) if p]
             if len(parts) > 1:
                 pieces.append((k, parts))
+    for k in np.flatnonzero(doubled & ~edged).tolist():
+        if len(forms[k]) >= 3 and _TWICE.search(forms[k]):
+            form = restore(forms[k])
+            if form != forms[k]:  # a doubled letter may be meant: both readings count
+                forms[k] = f"{forms[k]} {form}"
     single = (pc.utf8_length(trimmed).to_numpy(zero_copy_only=False) == 1) & np.array([len(f) == 1 and (f.isalpha() or f in LOOKS_LIKE) for f in forms], bool)
     spaced = []
     if single.any():

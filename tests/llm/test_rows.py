@@ -253,6 +253,14 @@ def test_words_in_runs_of_single_letters(readings, text, word):
     assert readings(text, word) and not readings(text, "disgusting")
 
 
+@pytest.mark.parametrize("text, word", [
+    ("iiiiiiiidddddiiiiiooooooootttt", "idiot"), ("d--i--s--g--u--s--t--i--n--g", "disgusting"), ("you_are_a_st.up.id_person", "stupid"),
+    ("iiddiioott", "idiot"), ("idddiot", "idiot"), ("id" + "ï" * 3 + "ot", "idïot"), ("x." * 3_000 + "m.o.r.o.n", "moron"),
+])
+def test_words_of_any_length_and_repetition(readings, text, word):
+    assert readings(text, word) and not readings(text, "water")
+
+
 def test_toxicity_without_labels(spark, documents):
     docs = documents([(1, "idiot"), (2, None)])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
