@@ -265,10 +265,10 @@ def build(rows: DataFrame, most_suffixes: int = MOST_SUFFIXES, most_bytes: int =
         return spark.read.parquet(path)
 
     root, none = F.lit(b""), F.lit(None)
-    active = written(suffixes(rows), "suffixes").select(
+    active = written(suffixes(rows).select(
         root.alias("key"), F.lit(0).cast("long").alias("depth"), none.cast("binary").alias("parent_key"),
         none.cast("long").alias("parent_conv"), "path", "n", "conv_id", "ends",
-    )
+    ), "suffixes")
     columns = active.columns
     small, bursts = [], []
     while True:
