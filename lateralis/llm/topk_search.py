@@ -7,26 +7,31 @@ left on either side; candidates that no query of the group can use are compacted
 are left, only surviving (query, candidate) pairs go on. Bounds and comparisons keep ties. Tasks return at most
 ``k`` rows a query; one window ranks them.
 
-Arithmetic is exact: components are integers held in doubles while all sums stay below 2**52; a query group
-with larger ones is computed in Python integers.
+Arithmetic is exact: components are integers held in doubles while all sums stay below 2**52, in 64-bit integers
+below 2**62, with the same bounds widened by their rounding; larger ones are added up in Python integers. A score
+beyond the range of a long counts as the nearest long, in ranking too.
 
 Defined results: vectors that are null or hold a null or non-finite component take no part, nor do rows
-without an id; vectors only compare with vectors of their own length; scores in equal rank order by smaller id.
+without an id; vectors only compare with vectors of their own length; equal scores rank by smaller id.
 A repeated candidate row takes a rank of its own; a query's own rows (same id) never count; exact repeats of a
 query row are asked once. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lateralis.llm.registry import query, table
+from lateralis.session import scratch_path
 
 CHUNK = 16_384  # queries broadcast at once
+CHUNK_BYTES = 32 << 20
 GROUP = 128  # queries that share a pass over a block
 BLOCK = 4_096  # candidates of a block
 STEP = 16  # dimensions a step
@@ -39,8 +44,18 @@ def _usable(vector: Column) -> Column:
 
 
 def _matrix(lists: pa.Array) -> np.ndarray:
-    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return np.floor(256 * flat).reshape(len(lists), -1)
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
+
+
+def _scaled(m: np.ndarray) -> np.ndarray:
+    """floor(256 * x); infinite where a double cannot hold it."""
+    with np.errstate(over="ignore"):
+        return np.floor(256 * m)
+
+
+#: floor(256 * x) of any finite double, as a Python integer.
+_whole = np.frompyfunc(lambda x: int(x) * 256 if abs(x) >= 2.0**53 else math.floor(256 * x), 1, 1)
+LEAST_LONG, MOST_LONG = -(1 << 63), (1 << 63) - 1
 
 
 def _by_length(ids: pa.Array, vectors: pa.Array):
@@ -54,38 +69,46 @@ def _by_length(ids: pa.Array, vectors: pa.Array):
 class _Group:
     """Some queries of one length, with the best found so far."""
 
-    def __init__(self, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int):
-        self.rows, self.ids, self.k = rows, ids, k
-        self.order = np.argsort(-(vectors**2).sum(axis=0), kind="stable")
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, raw: np.ndarray, k: int):
+        self.rows, self.ids, self.k, self.raw = rows, ids, k, raw
+        vectors = _scaled(raw)
+        with np.errstate(over="ignore"):
+            self.order = np.argsort(-(vectors**2).sum(axis=0), kind="stable")
         self.vectors = np.ascontiguousarray(vectors[:, self.order])
         self.steps = list(range(0, vectors.shape[1], STEP)) + [vectors.shape[1]]
         self.rest = self._rest(self.vectors)
         self.largest = np.abs(vectors).max(initial=0.0)
-        self.scores = np.empty((len(ids), 0))
+        self.scores = np.empty((len(ids), 0), np.int64)
         self.found = np.empty((len(ids), 0), np.int64)
 
     def _rest(self, m: np.ndarray) -> np.ndarray:
         """Norm of the dimensions after each step."""
-        left = np.cumsum((m**2)[:, ::-1], axis=1)[:, ::-1]
+        with np.errstate(over="ignore"):
+            left = np.cumsum((m**2)[:, ::-1], axis=1)[:, ::-1]
         left = np.concatenate([left, np.zeros((len(m), 1))], axis=1)
         return np.sqrt(left[:, self.steps[1:]]) * (1 + 1e-9) if len(self.steps) > 1 else np.zeros((len(m), 0))
 
-    def offer(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        if self.largest * np.abs(vectors).max(initial=0.0) * max(vectors.shape[1], 1) >= 2**52:
-            exact = (self.vectors.astype(object) @ vectors[:, self.order].astype(object).T).astype(object)
-            qi, ci = np.nonzero(self.ids[:, None] != ids[None, :])
-            self._keep(qi, ids[ci], exact[qi, ci])
-            return
-        columns = np.ascontiguousarray(vectors[:, self.order].T)  # vertical: a row per dimension
-        rest = self._rest(columns.T)
-        least = self.scores[:, -1] if self.scores.shape[1] == self.k else np.full(len(self.ids), -np.inf)
-        total = np.zeros((len(self.ids), len(ids)))
+    def offer(self, ids: np.ndarray, raw: np.ndarray) -> None:
+        vectors = _scaled(raw)
+        largest_sum = self.largest * np.abs(vectors).max(initial=0.0) * max(vectors.shape[1], 1)
         alive = self.ids[:, None] != ids[None, :]
+        if not largest_sum < 2**62:
+            qi, ci = np.nonzero(alive)
+            exact = _whole(self.raw) @ _whole(raw).T if raw.shape[1] else np.zeros(alive.shape, object)
+            self._keep(qi, ids[ci], np.clip(exact[qi, ci], LEAST_LONG, MOST_LONG).astype(np.int64))
+            return
+        kind, slack = (np.float64, 0.0) if largest_sum < 2**52 else (np.int64, largest_sum * 2.0**-50)
+        own = self.vectors.astype(kind, copy=False)
+        columns = np.ascontiguousarray(vectors[:, self.order].T.astype(kind, copy=False))  # vertical: a row per dimension
+        rest = self._rest(vectors[:, self.order])
+        full = self.found[:, -1:] > np.iinfo(np.int64).min if self.scores.shape[1] else np.zeros((len(self.ids), 1), bool)
+        least = np.where(full, self.scores[:, -1:] if self.scores.shape[1] else 0, -np.inf)[:, 0] - slack
+        total = np.zeros((len(self.ids), len(ids)), kind)
         kept = np.arange(len(ids))
         pairs = None
         for step, (a, b) in enumerate(zip(self.steps, self.steps[1:])):
             if pairs is None:
-                total += self.vectors[:, a:b] @ columns[a:b, kept]
+                total += own[:, a:b] @ columns[a:b, kept]
                 alive &= total + self.rest[:, step, None] * rest[None, kept, step] >= least[:, None]
                 stay = np.flatnonzero(alive.any(axis=0))
                 if len(stay) < 0.7 * len(kept):  # compact candidates that no query of the group can use
@@ -95,13 +118,13 @@ class _Group:
                     part = total[pairs]
             else:
                 qi, ci = pairs
-                part = part + np.einsum("ij,ij->i", self.vectors[qi, a:b], columns[a:b, kept[ci]].T)
+                part = part + np.einsum("ij,ij->i", own[qi, a:b], columns[a:b, kept[ci]].T)
                 stay = part + self.rest[qi, step] * rest[kept[ci], step] >= least[qi]
                 pairs, part = (qi[stay], ci[stay]), part[stay]
         if pairs is None:
             pairs = np.nonzero(alive)
             part = total[pairs]
-        self._keep(pairs[0], ids[kept[pairs[1]]], part)
+        self._keep(pairs[0], ids[kept[pairs[1]]], part.astype(np.int64))
 
     def _keep(self, qi: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
         if not len(qi):
@@ -111,18 +134,17 @@ class _Group:
         owner = np.concatenate([np.repeat(np.arange(len(self.ids)), have)[real], qi])
         score = np.concatenate([self.scores.ravel()[real], scores])
         found = np.concatenate([self.found.ravel()[real], ids])
-        order = np.lexsort((found, -score, owner))
+        order = np.lexsort((found, ~score, owner))  # the complement falls as the score rises, without overflow
         owner, score, found = owner[order], score[order], found[order]
         place = np.arange(len(owner)) - np.searchsorted(owner, owner, "left")
         top = place < self.k
-        self.scores = np.full((len(self.ids), self.k), -np.inf, score.dtype)
+        self.scores = np.full((len(self.ids), self.k), LEAST_LONG)
         self.found = np.full((len(self.ids), self.k), np.iinfo(np.int64).min)
         self.scores[owner[top], place[top]] = score[top]
         self.found[owner[top], place[top]] = found[top]
 
 
-def _search(vectors: DataFrame, chunk: pa.Table, k: int) -> DataFrame:
-    shared = vectors.sparkSession.sparkContext.broadcast(chunk)
+def _search(vectors: DataFrame, shared: Broadcast, k: int) -> DataFrame:
 
     def run(batches):
         asked = shared.value.combine_chunks()
@@ -149,7 +171,7 @@ def _search(vectors: DataFrame, chunk: pa.Table, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(g.rows[row], pa.int64()), pa.array(g.ids[row], pa.int64()), pa.array(g.found[row, place], pa.int64()),
-                        pa.array([int(s) for s in g.scores[row, place]], pa.int64()),
+                        pa.array(g.scores[row, place], pa.int64()),
                     ],
                     ["q", "query_id", "vec_id", "score"],
                 )
@@ -166,13 +188,19 @@ def top_k(embeddings: DataFrame, asked: Column, k: int = 5, chunk: int = CHUNK)
     queries = embeddings.where(asked).select(F.col("vec_id").cast("long").alias("vec_id"), vector).where(
         F.col("vec_id").isNotNull() & _usable(vector)
     ).distinct()
-    chunks = -(-queries.count() // chunk)  # queries are dealt to chunks by a hash: about ``chunk`` each
-    out = None
-    for c in range(max(chunks, 1)):
-        part = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(max(chunks, 1))) == c).sort("vec_id").toArrow()
+    size = queries.agg(F.count("*").alias("n"), F.sum(8 * F.size("embedding").cast("long")).alias("bytes")).first()
+    # queries are dealt to chunks by a hash: about ``chunk`` rows and ``CHUNK_BYTES`` each
+    chunks = max(1, -(-size.n // chunk), -(-(size.bytes or 0) // CHUNK_BYTES))
+    spark, path = embeddings.sparkSession, scratch_path(embeddings.sparkSession, "nearest")
+    for c in range(chunks):
+        part = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(chunks)) == c).sort("vec_id").toArrow()
         part = part.append_column("q", pa.array(np.arange(len(part)) + (c << 32), pa.int64()))
-        found = _search(usable, part, k)
-        out = found if out is None else out.unionByName(found)
+        shared = spark.sparkContext.broadcast(part)
+        found = _search(usable, shared, k)
+        if chunks > 1:  # one after the other, so that a single chunk is held at any time
+            found.write.mode("append").parquet(path)
+            shared.destroy()
+    out = spark.read.parquet(path) if chunks > 1 else found
     best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
     return out.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
