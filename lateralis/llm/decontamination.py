@@ -8,7 +8,9 @@ benchmark seeds there, so only hits leave the scan. A hit that continues the hit
 dropped; around the others the aligned tokens are compared and a window of 13 with at most 2 substitutions (all
 words of a shorter item) makes the document contaminated.
 
-The benchmark is broadcast in parts of at most ``SEEDS`` seeds, by a hash of the item; more parts are more scans.
+The benchmark is broadcast in parts of about ``SEEDS`` seeds, by a hash of the item; more parts are more scans. A seed
+carries its place and the number of its item; the tokens of each item are broadcast once beside them, so a part grows
+with the words of its items, at least one item, and no faster.
 
 Defined results: a null or empty text matches nothing, nor does an item without words; A-Z are folded; tokens are the
 runs of characters outside ``\\x20\\x09-\\x0D``; repeated rows and items each match; a document id that occurs more
@@ -48,6 +50,7 @@ def _seeds(rows: DataFrame, tokens: str, mask: tuple[int, ...], keep: list[str])
 def matches(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, substitutions: int = SUBSTITUTIONS) -> DataFrame:
     """(doc_id, item_id, matched): the most equal tokens of a qualifying alignment of each contaminated pair."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), token_hashes("text").alias("t")).where("size(t) > 0")
+    items = items.distinct().withColumn("item", F.xxhash64("item_id", "t"))
     sizes = items.select(F.size("t").alias("size"))
     short = [r[0] for r in sizes.where(F.col("size") < window).distinct().sort("size").collect()]  # below ``window`` values
     total = sizes.agg(F.sum("size")).first()[0] or 0
@@ -59,9 +62,9 @@ def matches(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, su
     for mask, own in masks:
         for part in range(parts):
             chosen = own.where(F.pmod(F.xxhash64("t"), F.lit(parts)) == part) if parts > 1 else own
-            seeds = _seeds(chosen, "t", mask, ["item_id", "t"]).select(F.col("seed").alias("s"), F.col("at").alias("place"), "item_id", "t")
+            seeds = _seeds(chosen, "t", mask, ["item", "t"]).select(F.col("seed").alias("s"), F.col("at").alias("place"), "item")
             hits = _seeds(rows, "h", mask, ["doc_id", "h"]).join(F.broadcast(seeds), F.col("seed") == F.col("s"))
-            found.append(_judged(hits, mask, window, substitutions))
+            found.append(_judged(hits.join(F.broadcast(chosen), "item"), mask, window, substitutions))
     return reduce(DataFrame.unionByName, found).groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"))
 
 
@@ -70,17 +73,17 @@ def _judged(hits: DataFrame, mask: tuple[int, ...], window: int, substitutions:
     # only the aligned parts leave the generated stage, which holds the hits of one document at a time
     low, width = "greatest(0, place - at)", f"least({window}, size(t))"
     n = f"(least(size(t), size(h) - at + place) - {low})"
-    aligned = hits.where(f"{n} >= {width}").select(
+    same = " AND ".join(f"get(h, at - 1 + {o}) = get(t, place - 1 + {o})" for o in mask)
+    aligned = hits.where(f"{n} >= {width}").where(f"NOT coalesce(place > 0 AND at > 0 AND {same}, false)").select(
         "doc_id", "item_id", F.expr(f"slice(h, {low} + at - place + 1, {n})").alias("h"), F.expr(f"slice(t, {low} + 1, {n})").alias("part"),
-        F.expr(f"place - {low}").alias("place"), F.expr(width).alias("width"), F.expr(f"IF(size(t) < {window}, 0, {substitutions})").alias("allowed"),
+        F.expr(width).alias("width"), F.expr(f"IF(size(t) < {window}, 0, {substitutions})").alias("allowed"),
     )
     # an explode of one array keeps the comparison out of the join's condition, which has to be compiled
     compared = aligned.select(
-        "doc_id", "item_id", "place", "width", "allowed", F.explode(F.expr("array(zip_with(h, part, (a, b) -> CAST(a = b AS INT)))")).alias("same")
+        "doc_id", "item_id", "width", "allowed", F.explode(F.expr("array(zip_with(h, part, (a, b) -> CAST(a = b AS INT)))")).alias("same")
     )
-    continued = " AND ".join(["place > 0", *(f"get(same, place - 1 + {o}) = 1" for o in mask)])
     good = "exists(sequence(1, size(same) - width + 1), s -> aggregate(slice(same, s, width), 0, (a, x) -> a + x) >= width - allowed)"
-    return compared.where(f"NOT ({continued})").where(good).select(
+    return compared.where(good).select(
         "doc_id", "item_id", F.expr("CAST(aggregate(same, 0, (a, x) -> a + x) AS LONG)").alias("matched")
     )
 
