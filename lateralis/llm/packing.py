@@ -33,7 +33,8 @@ from lateralis.session import scratch_path
 
 WINDOW = 2048
 END_ID = 1
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
+SLICE = 4 << 20
 #: Fixed set: punctuation that no contraction of the tokenizer starts with.
 TAIL = ",.;:!?#$%&*|)]}\""
 PIECES = (
@@ -118,7 +119,7 @@ def encode_documents(documents: DataFrame, tokenizer: str, key: str = "doc_id",
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = stage_cache(f"encoder {tokenizer}", lambda: WordEncoder(tokenizer))
         part, start = TaskContext.get().partitionId(), 0
-        for batch in sliced(batches, size=8 << 20):
+        for batch in sliced(batches, size=SLICE):
             words = words_of(batch.column("text"), lower=False)
             cores, core, tails, tail = _folded(words.vocabulary)
             ids = encoder.encode(cores) + encoder.encode(tails)
@@ -132,6 +133,7 @@ def encode_documents(documents: DataFrame, tokenizer: str, key: str = "doc_id",
             each = lengths[parts]
             source = np.arange(each.sum(), dtype=np.int32) + np.repeat(begins[parts] - (np.cumsum(each, dtype=np.int32) - each), each)
             stream = flat[source]
+            del core, tail, parts, each, source  # each as long as the slice's words or ids
             bounds = np.concatenate([[0], ends])[np.concatenate([[0], words.ends])]
             n = np.diff(bounds) + 1
             after, size = np.cumsum(n), encoder.kind.itemsize

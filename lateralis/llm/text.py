@@ -5,6 +5,7 @@ A word is a run of bytes outside ``\\x20\\x09-\\x0D``. A null text has no words.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
@@ -48,9 +49,19 @@ def stage_cache(name: str, make: Callable[[], object]) -> object:
     return held[1]
 
 
+_seen_stage = -1
+
+
 def _let_go() -> None:
-    for name in [n for n, (stage, _) in _kept.items() if stage != _stage()]:
+    """At a worker's first slice of a stage: drop what other stages kept, and give unused memory back."""
+    global _seen_stage
+    if _seen_stage == _stage():
+        return
+    _seen_stage = _stage()
+    for name in [n for n, (stage, _) in _kept.items() if stage != _seen_stage]:
         del _kept[name]
+    gc.collect()
+    pa.default_memory_pool().release_unused()
 
 
 def slices(text: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:

@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -40,6 +41,28 @@ def test_best_by_inner_product(spark, size, chunk):
     assert Counter(map(tuple, got.collect())) == best_by_force([(i, None if v is None else [None if x is None else np.float32(x) for x in v]) for i, v in rows], lambda i: i % 50 == 0, 5)
 
 
+@pytest.mark.parametrize("power", [24, 26, 29, 60, 1000])
+def test_best_by_sums_of_any_size(spark, power):
+    """Sums beyond 2**53 differ in their last bits only; beyond a long they count as the nearest long."""
+    rng = random.Random(power)
+    unit, step = 2.0**power, 2.0 ** (power - 22)
+    rows = [(i, [unit + step * rng.randrange(5), -unit - step * rng.randrange(5), float(rng.randrange(3)), 0.25 * rng.randrange(4)]) for i in range(300)]
+    rows += [(500 + i, rows[50][1]) for i in range(9)] + [(600, [1e300] * 4), (601, [-1e300] * 4), (650, [0.0] * 4), (651, [0.001, 0.0, 3.0, 1.0])]
+
+    def whole(x):
+        return int(x) * 256 if abs(x) >= 2.0**53 else math.floor(256 * x)
+
+    whole_rows = {i: [whole(x) for x in v] for i, v in rows}
+    want = Counter()
+    for i, q in whole_rows.items():
+        if i % 50 == 0:
+            scores = {j: max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(q, v)))) for j, v in whole_rows.items() if j != i}
+            for rank, j in enumerate(sorted(scores, key=lambda j: (-scores[j], j))[:5], 1):
+                want[i, rank, j, scores[j]] += 1
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    assert Counter(map(tuple, topk_search.top_k(table, F.col("vec_id") % 50 == 0, 5).collect())) == want
+
+
 def test_best_of_nothing(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk_search.top_k(empty, F.lit(True)).count() == 0
@@ -114,6 +137,12 @@ def test_contaminated(spark, documents):
     force = contaminated_by_force([r for r in rows if r[0] != 500], items) | {(500, 1, 30)}
     assert {tuple(r) for r in decontamination.matches(docs, bench).collect()} == force
     kept = decontamination.decontaminate(docs, bench)
+    long = " ".join(f"l{k}" for k in range(20_000))
+    more = spark.createDataFrame([(9, long), (9, "x y z"), (9, "x y z")], "item_id long, text string")
+    near = " ".join(f"l{k}" if k % 97 else "edit" for k in range(18_000))
+    held = {(1, 9, 20_000), (2, 9, 18_000 - len(range(0, 18_000, 97))), (4, 9, 3)}
+    long_docs = documents([(1, "pad " + long), (2, near), (3, "l1 l2 l3 " * 20), (4, "w x Y z")])
+    assert {tuple(r) for r in decontamination.matches(long_docs, more).collect()} == held
     assert kept.columns == docs.columns
     assert Counter(r.doc_id for r in kept.select("doc_id").collect()) == Counter(i for i, _ in rows if i not in {i for i, _, _ in force})
     assert decontamination.matches(documents([]), bench).count() == 0
@@ -364,3 +393,9 @@ def test_pipeline_of_nothing(spark, documents, write):
 def test_fold_of_null(spark):
     df = spark.createDataFrame([(None,), (12,)], "doc_id long")
     assert [r[0] for r in df.select(fold("doc_id", 7)).collect()] == [-1, zlib.crc32(b"12") % 7]
+
+
+def test_pipeline_without_labels(spark, documents):
+    docs = documents([(1, "the house"), (2, "123"), (3, None), (4, "")], lang=None)
+    kept = corpus_pipeline.keep_known_language(spark, docs, "")
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [1]
