@@ -1,8 +1,13 @@
 """Corpus pipeline: language ID, near-duplicate removal, benchmark decontamination, masking of secrets, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept. Stages but the last return the
-columns of ``documents``. ``run`` writes each stage's rows to the shared checkpoint folder and reads them again as the
-next one's input, which also cuts the lineage.
+columns of ``documents``, extra ones included. ``run`` writes each stage's rows to the shared checkpoint folder and reads
+them again as the next one's input, which also cuts the lineage.
+
+Defined results: an empty table stays empty in every stage. A null or empty text, or one without a letter, leaves at the
+language stage, which can name no language for it; where no document has a label to learn from, nothing else leaves
+there. Repeated rows with an id each are copies, of which the smallest id stays; rows without an id are never removed as
+copies or as contaminated. Very long texts pass every stage whole.
 """
 
 from __future__ import annotations
@@ -18,10 +23,16 @@ LEAST_CONFIDENCE = 0.5
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is found with a posterior of at least one half; the model learns from ``docs``."""
+    """Documents whose language is found with a posterior of at least one half; the model learns from ``docs``.
+
+    Without a label to learn from, all documents with a letter stay.
+    """
     ship(spark)
+    model = language_id.corpus_model(docs)
+    if not model.labels:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found = free_name(docs, "found_language")
-    judged = docs.withColumn(found, language_id.predict(spark, language_id.corpus_model(docs))(F.col("text")))
+    judged = docs.withColumn(found, language_id.predict(spark, model)(F.col("text")))
     kept = (F.col(f"{found}.lang") != language_id.UNDETERMINED) & (F.col(f"{found}.score") >= LEAST_CONFIDENCE)
     return judged.where(kept).select(*docs.columns)
 
