@@ -179,8 +179,10 @@ def _index(rows: DataFrame, size: int, percent: int, filters) -> DataFrame:
             at = np.flatnonzero(in_several)
             in_frequent[at] = frequent.value.contains(flat[at] & _SHORT, routed=flat[at])
             found, ends = [], np.cumsum(n)
-            for s, e, k in zip(task.sets, ends.tolist(), n.tolist()):
-                found.append(signatures(s, in_several[e - k:e], in_frequent[e - k:e], percent) if k else s)
+            first = np.zeros(len(n), bool)  # equal sets of a slice are indexed once
+            first[np.unique(task.keys, return_index=True)[1]] = True
+            for s, e, k, new in zip(task.sets, ends.tolist(), n.tolist(), first.tolist()):
+                found.append(signatures(s, in_several[e - k:e], in_frequent[e - k:e], percent) if k and new else s[:0])
             each = np.array([len(x) for x in found], np.int64)
             sig = np.concatenate(found) if found else np.zeros(0, np.uint64)
             packed = [
