@@ -28,12 +28,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lateralis.llm.registry import query, table
-from lateralis.llm.text import sliced, stage_cache, words_of
+from lateralis.llm.text import give_back, sliced, stage_cache, words_of
 from lateralis.session import scratch_path
 
 WINDOW = 2048
 END_ID = 1
-CACHED_WORDS = 200_000
+CACHED_WORDS = 120_000
 SLICE = 4 << 20
 #: Fixed set: punctuation that no contraction of the tokenizer starts with.
 TAIL = ",.;:!?#$%&*|)]}\""
@@ -147,6 +147,8 @@ def encode_documents(documents: DataFrame, tokenizer: str, key: str = "doc_id",
                 ["part", "local_start", "doc_id", "n", "width", "ids"],
             )
             start += int(n.sum())
+            del words, ids, flat, stream, raw, blobs
+            give_back()
 
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(encode, "part int, local_start long, doc_id long, n long, width int, ids binary")

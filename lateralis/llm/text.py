@@ -5,6 +5,7 @@ A word is a run of bytes outside ``\\x20\\x09-\\x0D``. A null text has no words.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
@@ -61,7 +62,15 @@ def _let_go() -> None:
     for name in [n for n, (stage, _) in _kept.items() if stage != _seen_stage]:
         del _kept[name]
     gc.collect()
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Arrow's pool and the C library keep it for the process otherwise."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library only
+    if trim is not None:
+        trim(0)
 
 
 def slices(text: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
