@@ -11,6 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lateralis.config import RunConfig, basin_config, check_reservoirs
 from lateralis.functions.columns import col
@@ -25,12 +26,22 @@ from lateralis.operators.models import FEATURES, LABEL, PREDICTION, Fitted, Sear
 from lateralis.operators.repair import FLAG, flag_cost_anomalies, impute_from_reference
 from lateralis.operators.split import SEED, Splits, split_rows
 from lateralis.plans.stages import fit_preprocessing, fit_target_scaler, package, slot_names
-from lateralis.session import checkpointed
-from lateralis.sources.tables import rename_costs, scan_completions, scan_reference_costs
+from lateralis.session import checkpointed, scratch_path
+from lateralis.sources.tables import (
+    COMPLETIONS_COLUMNS,
+    REFERENCE_COLUMNS,
+    read_snapshot,
+    rename_costs,
+    scan_completions,
+    scan_reference_costs,
+    write_snapshot,
+)
 
 RESERVOIR = "ReservoirGoldConsolidated"
 OPERATOR = "OperatorGold"
 KEY = "API14"
+BASIN_COLUMN = "BasinQuantum"
+PREDICATE_COLUMNS = ("CompletionDate", "HoleDirection", "TotalWellCost_ENV_USDMM", BASIN_COLUMN)
 LATERAL, PROPPANT, FLUID = "LateralLength_FT", "Proppant_LBSPerFT", "Fluid_BBLPerFT"
 
 
@@ -85,6 +96,7 @@ class Trained:
     model_name: str
     fitted: dict[str, Fitted]
     leaderboard: DataFrame
+    base_leaderboard: DataFrame
     splits: Splits
     features: list[str]
     categories: dict[str, list[str]]
@@ -117,6 +129,7 @@ def train_model(
     search_on: str = "train",
     search_method: str = "random",
     search_metric: str = "mape",
+    tune_best: int = 4,
     original_scale_errors: bool = True,
     seed: int = SEED,
     storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
@@ -125,8 +138,9 @@ def train_model(
 
     The splits with their feature vectors are the one persisted data set: every optimiser step,
     fold and report reads them. The packaged model reuses the fitted stages, so nothing is fitted twice.
+    Of the models with a grid the ``tune_best`` best base fits are tuned; the leaderboard has tuned and untuned
+    models, ``base_leaderboard`` all of them before. A failed run releases what it persisted.
     """
-    spark = frame.df.sparkSession
     splits = split_rows(frame.df, key, config.split, seed)
     preprocessing = fit_preprocessing(splits.train, frame.df, config)
     target_scaler = fit_target_scaler(splits.train) if config.scale_y else None
@@ -137,17 +151,37 @@ def train_model(
 
     sets = {"train": splits.train, "valid": splits.valid, "test": splits.test}
     sets = {name: ready(df).persist(storage) for name, df in sets.items() if df is not None}
+    try:
+        return _fit_and_package(
+            frame, config, key, splits, sets, preprocessing, target_scaler, bin_columns, cv_folds, importance_repeats, search_on,
+            search_method, search_metric, tune_best, original_scale_errors, seed,
+        )
+    except BaseException:
+        for df in sets.values():
+            df.unpersist()
+        raise
+
+
+def _fit_and_package(
+    frame, config, key, splits, sets, preprocessing, target_scaler, bin_columns, cv_folds, importance_repeats, search_on,
+    search_method, search_metric, tune_best, original_scale_errors, seed,
+) -> Trained:
+    spark = frame.df.sparkSession
     train, valid = sets["train"], sets["valid"]
     rows = train.count()
     fitted = fit_and_evaluate(
         train, valid, config.models, key=key, cv_folds=cv_folds, label_scaler=target_scaler, rows=rows
     )
+    base_board = leaderboard(spark, {name: f.performance for name, f in fitted.items()})
     searches: dict[str, Search] = {}
     if config.tuning:
-        searches, fitted = tune_models(
-            config.tuning, sets[search_on], train, valid, key,
+        chosen = best_models(base_board, tune_best)
+        grids = {name: grid for name, grid in config.tuning.items() if name in chosen or name not in fitted}
+        searches, tuned = tune_models(
+            grids, sets[search_on], train, valid, key,
             method=search_method, metric=search_metric, cv_folds=cv_folds, label_scaler=target_scaler, base=config.models, seed=seed,
         )
+        fitted = {**fitted, **tuned}  # a model that is not tuned stays with its base fit
     board = leaderboard(spark, {name: f.performance for name, f in fitted.items()})
     best = best_models(board, 1)[0]
     regressor = fitted[best].model
@@ -161,7 +195,8 @@ def train_model(
     bins, errors = _training_errors(splits.train, train, regressor, pipeline, config, bin_columns, original_scale_errors)
     residuals = {name: _residuals(df, fitted, names, name, target_scaler) for name, df in sets.items()}
     return Trained(
-        config=config, pipeline=pipeline, model_name=best, fitted=fitted, leaderboard=board, splits=splits,
+        config=config, pipeline=pipeline, model_name=best, fitted=fitted, leaderboard=board, base_leaderboard=base_board,
+        splits=splits,
         features=names, categories=trained_values(preprocessing.stages), operators=frame.operators,
         composites=frame.composites, bins=bins, error_table=errors, importance=importance, residuals=residuals,
         searches=searches, metadata=_metadata(config, names, rows), persisted=list(sets.values()),
@@ -248,12 +283,33 @@ def train_basins(
     completions: DataFrame,
     reference: DataFrame | None,
     basins: Mapping[str, RunConfig | None] | Sequence[str],
+    *,
+    one_scan: bool = True,
     **options,
 ) -> dict[str, Trained]:
-    """One packaged model per basin.
+    """One packaged model per basin, of any kind of model; linear ones alone are fitted together by ``grouped_models``.
 
-    Each basin reads only its own rows: the basin predicate reaches the scan, and prunes partitions
-    where the tables are partitioned by basin.
+    The tables are scanned once: the rows of all wanted basins are written with a folder per basin, and each basin
+    reads its own. ``one_scan=False`` leaves that out where the tables are partitioned by basin already. What a basin
+    persists is released when its package is built; its residual frames are computed again if asked for.
     """
-    configs = basins if isinstance(basins, Mapping) else {b: None for b in basins}
-    return {b: train_basin(completions, reference, b, config=c, **options) for b, c in configs.items()}
+    configs = {b.upper(): c for b, c in (basins.items() if isinstance(basins, Mapping) else ((b, None) for b in basins))}
+    if one_scan and len(configs) > 1:
+        completions = _snapshot_by_basin(completions, list(configs), (*COMPLETIONS_COLUMNS, *PREDICATE_COLUMNS))
+        reference = None if reference is None else _snapshot_by_basin(reference, list(configs), (*REFERENCE_COLUMNS, "CompletionDate", "HoleDirection", BASIN_COLUMN))
+    trained = {}
+    for basin, config in configs.items():
+        trained[basin] = train_basin(completions, reference, basin, config=config, **options)
+        trained[basin].release()
+    return trained
+
+
+def _snapshot_by_basin(table: DataFrame, basins: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The rows of the basins, in one scan, as a written table with a folder per basin."""
+    spark = table.sparkSession
+    path = scratch_path(spark, "basins")
+    kept = table.where(col(BASIN_COLUMN).isin(list(basins))).select(*[col(c) for c in dict.fromkeys(columns)])
+    write_snapshot(kept, path, [BASIN_COLUMN])
+    # the basin stays a string: as a partition column its type would be guessed
+    schema = T.StructType([f for f in kept.schema if f.name != BASIN_COLUMN] + [kept.schema[BASIN_COLUMN]])
+    return read_snapshot(spark, path, schema)
