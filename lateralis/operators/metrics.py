@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lateralis.functions.columns import col, ratio
-from lateralis.operators.quantiles import exceeds, group_quantiles, sorted_quantiles
+from lateralis.operators.quantiles import SORTED_ROWS, group_quantiles, largest_group, sorted_quantiles
 
 # Metric names of the leaderboard.
 R2 = "r2"
@@ -64,10 +64,11 @@ def regression_metrics(
         F.round(F.stddev_pop(r), 5).alias(RESIDUAL_STD),
     ]
     keys = [col(c) for c in by]
-    if not exceeds(pairs, by, **({"rows": options["builtin_rows"]} if "builtin_rows" in options else {})):
+    most = largest_group(pairs, by)
+    if most <= options.get("builtin_rows", SORTED_ROWS):
         rows = pairs.groupBy(*keys).agg(*sums, sorted_quantiles(r, probabilities).alias("_q"))
     else:
-        spread = group_quantiles(pairs, {"_r": probabilities}, by, **options).withColumnRenamed("_r", "_q")
+        spread = group_quantiles(pairs, {"_r": probabilities}, by, **{"rows_at_most": most, **options}).withColumnRenamed("_r", "_q")
         totals = pairs.groupBy(*keys).agg(*sums)
         if by:
             same = reduce(and_, [F.col(f"s.`{c}`").eqNullSafe(F.col(f"q.`{c}`")) for c in by])
@@ -118,11 +119,11 @@ def describe(df: DataFrame, columns: Sequence[str], **options) -> DataFrame:
         for i, c in enumerate(columns)
         for n, f in (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))
     ]
-    limit = {"rows": options["builtin_rows"]} if "builtin_rows" in options else {}
-    if not exceeds(df, **limit):
+    rows = largest_group(df)
+    if rows <= options.get("builtin_rows", SORTED_ROWS):
         row = df.agg(*moments, *[sorted_quantiles(col(c), probabilities).alias(f"q{i}") for i, c in enumerate(columns)])
     else:
-        found = group_quantiles(df, {c: probabilities for c in columns}, **options).head()
+        found = group_quantiles(df, {c: probabilities for c in columns}, **{"rows_at_most": rows, **options}).head()
         row = df.agg(*moments).withColumns(
             {f"q{i}": F.array(*[F.lit(v) for v in found[c]]) for i, c in enumerate(columns) if found[c]}
         )
