@@ -26,6 +26,7 @@ from lateralis.llm.registry import fold, query, table
 from lateralis.llm.text import Words, slices, sliced, words_of
 
 UNDETERMINED = "und"
+SLICE = 1 << 20  # the letters of a slice's words stand in several arrays of eight bytes a letter
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3)
 
@@ -78,7 +79,7 @@ def fit(
 
     def count(batches):
         totals: dict[str, np.ndarray] = {}
-        for batch in sliced(batches):
+        for batch in sliced(batches, size=SLICE):
             words = words_of(batch.column("text"), lower=False)
             grams = list(word_grams(words.vocabulary, buckets, orders))
             names = batch.column("label").dictionary_encode()
@@ -133,7 +134,7 @@ def predict(spark: SparkSession, model: LanguageModel, orders: tuple[int, ...] =
     def score(text: pa.Array) -> pa.Array:
         model = shared.value
         names, scores = [], []
-        for start, stop in slices(text):
+        for start, stop in slices(text, SLICE):
             words = words_of(text.slice(start, stop - start), lower=False)
             known = np.zeros(stop - start, bool)
             if len(words.vocabulary) and model.labels:
