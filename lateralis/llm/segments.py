@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from lateralis.llm.text import mix
+from lateralis.llm.text import give_back, mix
 
 MOST_BYTES = 128 << 20
 _EVEN = np.uint64(0x9E3779B97F4A7C15)
@@ -84,6 +84,9 @@ def per_segment(rows: DataFrame, reduce: Callable[[int, dict[str, list]], Iterab
                 yield _batch(out, arrow)
                 out = []
         yield _batch(out, arrow)
+        held.clear()
+        out = []
+        give_back()
 
     return rows.repartition("segment").mapInArrow(run, schema)
 

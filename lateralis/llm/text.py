@@ -89,6 +89,7 @@ def sliced(batches: Iterable[pa.RecordBatch], column: str = "text", size: int =
     for batch in batches:
         for start, stop in slices(batch.column(column), size):
             yield batch.slice(start, stop - start)
+    give_back()  # the worker may stand idle through later stages
 
 
 def words_of(text: pa.Array, lower: bool) -> Words:
