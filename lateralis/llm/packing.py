@@ -33,8 +33,8 @@ from lateralis.session import scratch_path
 
 WINDOW = 2048
 END_ID = 1
-CACHED_WORDS = 120_000
-SLICE = 4 << 20
+CACHED_WORDS = 80_000
+SLICE = 3 << 20
 #: Fixed set: punctuation that no contraction of the tokenizer starts with.
 TAIL = ",.;:!?#$%&*|)]}\""
 PIECES = (
