@@ -33,8 +33,8 @@ from lateralis.session import scratch_path
 
 WINDOW = 2048
 END_ID = 1
-CACHED_WORDS = 80_000
-SLICE = 3 << 20
+CACHED_WORDS = 300_000
+SLICE = 8 << 20
 #: Fixed set: punctuation that no contraction of the tokenizer starts with.
 TAIL = ",.;:!?#$%&*|)]}\""
 PIECES = (
@@ -45,11 +45,12 @@ PIECES = (
 class WordEncoder:
     """Ids of words by a tokenizer, as bytes, with two generations of cached words."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHED_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self.cached = cached
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -70,7 +71,7 @@ class WordEncoder:
                 out[k] = ids = packed(code, found.ids).tobytes()
                 if len(words[k]) < 64:
                     young[words[k]] = ids
-        if len(young) > CACHED_WORDS:
+        if len(young) > self.cached:
             self.old, self.young = young, {}
         return out
 
@@ -110,16 +111,22 @@ def _folded(vocabulary: pa.Array) -> tuple[list[str], np.ndarray, list[str], np.
     return cores.dictionary.to_pylist(), cores.indices.to_numpy(), tails, of_word
 
 
-def encode_documents(documents: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = END_ID) -> DataFrame:
-    """(part, local_start, doc_id, n, width, ids): the ids of each document with the end id, and its offset in its partition."""
+def encode_documents(
+    documents: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = END_ID,
+    slice_bytes: int = SLICE, cached_words: int = CACHED_WORDS,
+) -> DataFrame:
+    """(part, local_start, doc_id, n, width, ids): the ids of each document with the end id, and its offset in its partition.
+
+    Smaller slices and caches take less memory and more time, and give the same ids.
+    """
 
     def encode(batches):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = stage_cache(f"encoder {tokenizer}", lambda: WordEncoder(tokenizer))
+        encoder = stage_cache(f"encoder {tokenizer}", lambda: WordEncoder(tokenizer, cached_words))
         part, start = TaskContext.get().partitionId(), 0
-        for batch in sliced(batches, size=SLICE):
+        for batch in sliced(batches, size=slice_bytes):
             words = words_of(batch.column("text"), lower=False)
             cores, core, tails, tail = _folded(words.vocabulary)
             ids = encoder.encode(cores) + encoder.encode(tails)
@@ -187,11 +194,14 @@ def cut(encoded: DataFrame, window: int = WINDOW) -> DataFrame:
     return encoded.join(bases, "part").select("base", "local_start", "doc_id", "width", "ids").mapInArrow(pieces, PIECES)
 
 
-def pack(documents: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
-    """Pieces of all ``documents`` in sequences of ``window`` ids; only the last sequence needs padding."""
+def pack(documents: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, **memory: int) -> DataFrame:
+    """Pieces of all ``documents`` in sequences of ``window`` ids; only the last sequence needs padding.
+
+    ``memory``: ``slice_bytes`` and ``cached_words`` of :func:`encode_documents`.
+    """
     spark = documents.sparkSession
     path = scratch_path(spark, "encoded")
-    encode_documents(documents, tokenizer, end_id=end_id).write.parquet(path)
+    encode_documents(documents, tokenizer, end_id=end_id, **memory).write.parquet(path)
     return cut(spark.read.parquet(path), window)
 
 
