@@ -58,7 +58,8 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 2048 ids."""
     ship(spark)
-    return packing.pack(docs, packing.vocabulary_path())
+    # the stages before leave an executor little memory
+    return packing.pack(docs, packing.vocabulary_path(), slice_bytes=2 << 20, cached_words=60_000)
 
 
 STAGES = [
