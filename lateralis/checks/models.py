@@ -10,7 +10,7 @@ from lateralis.checks.registry import check, table
 from lateralis.config import FilterConfig, RunConfig
 from lateralis.operators.importance import permutation_importance, ranked_features, tree_importance
 from lateralis.operators.metrics import best_models, leaderboard
-from lateralis.operators.models import FEATURES, LABEL, build_regressor, cross_validated_rmse, fit_and_evaluate, search_parameters
+from lateralis.operators.models import FEATURES, LABEL, build_regressor, cross_validated_ridge, cross_validated_rmse, fit_and_evaluate, search_parameters
 from lateralis.operators.split import split_rows
 from lateralis.plans.score import score_from_coefficients
 from lateralis.plans.train import Trained, modelling_frame, train_model
@@ -151,6 +151,24 @@ def parameter_search_scores(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(scores, "fit_intercept boolean, rmse_score double, mape_score double")
 
 
+_PENALTIES = [0, 1_000, 1_000_000, 100_000_000]
+
+
+@check(f"""
+WITH r AS (SELECT l_quantity AS x, {CLEAN_SQL} AS y, ('0x' || substr(md5('43|' || {KEY_SQL}), 1, 8))::BIGINT % 5 AS fold FROM lineitem),
+p AS (SELECT unnest({_PENALTIES})::BIGINT AS penalty), folds AS (SELECT DISTINCT fold AS k FROM r),
+s AS (SELECT k, count(*) * covar_pop(y, x) AS xy, count(*) * var_pop(x) AS xx, avg(x) AS mx, avg(y) AS my FROM r JOIN folds ON fold <> k GROUP BY k),
+fits AS (SELECT k, penalty, xy / (xx + penalty) AS b, my - mx * xy / (xx + penalty) AS a FROM s CROSS JOIN p),
+errors AS (SELECT k, penalty, sqrt(avg((y - a - b * x) * (y - a - b * x))) AS rmse FROM r JOIN fits ON fold = k GROUP BY k, penalty)
+SELECT penalty, round(-avg(rmse), 4) AS score FROM errors GROUP BY penalty""")
+def ridge_candidates_by_fold(spark: SparkSession, folder: str) -> DataFrame:
+    """The five-fold score of every penalty, all from one set of fold sums."""
+    rows = assembled(planted_rows(spark, folder, outliers=False), ["l_quantity"])
+    found = cross_validated_ridge(rows, "row_key", _PENALTIES)
+    rows.unpersist()
+    return spark.createDataFrame([(p, round(score, 4)) for p, score in found], "penalty long, score double")
+
+
 _RANKS = [("l_quantity", 1), ("l_discount", 2), ("l_tax", 3)]
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lateralis.functions.columns import col
+from lateralis.operators.fold_models import MOST_WIDTH, LinearCandidate, fold_scores
 from lateralis.operators.metrics import CV_RMSE, mape, mse, r2_score, regression_metrics
 from lateralis.operators.split import SEED, fold_number
 
@@ -182,6 +183,55 @@ def _center_and_scale(label_scaler: Any | None) -> tuple[float, float]:
     return center, scale
 
 
+def _least_squares_candidate(estimator: Estimator) -> LinearCandidate | None:
+    """What ``estimator`` is as a plain least-squares fit; None for any other model."""
+    if not isinstance(estimator, LinearRegression) or estimator.getLoss() != "squaredError":
+        return None
+    if estimator.getRegParam() or estimator.isDefined("weightCol"):
+        return None
+    return LinearCandidate(estimator.getFitIntercept())
+
+
+def _width(df: DataFrame, features: str) -> int:
+    row = df.select(col(features)).head()
+    return 0 if row is None else row[0].size
+
+
+def _scores_from_sums(
+    candidates: Sequence[LinearCandidate], estimator: LinearRegression, evaluator: LabelEvaluator, folded: DataFrame, folds: int
+) -> list[float]:
+    measure, sign = SEARCH_METRICS[evaluator.metric]
+    found = fold_scores(
+        folded, "_fold", folds, candidates, estimator.getFeaturesCol(), estimator.getLabelCol(), measure, evaluator.center, evaluator.scale
+    )
+    folded.unpersist()
+    return [sum(float("-inf") if v is None else sign * v for v in scores) / folds for scores in found]
+
+
+def cross_validated_ridge(
+    df: DataFrame,
+    key: str,
+    penalties: Sequence[float],
+    folds: int = 5,
+    *,
+    features: str = FEATURES,
+    label: str = LABEL,
+    seed: int = SEED,
+    metric: str = "rmse",
+) -> list[tuple[float, float]]:
+    """(penalty, mean score over the folds) of a ridge fit by each penalty; the folds are read once for all of them."""
+    estimator = LinearRegression(featuresCol=features, labelCol=label)
+    evaluator = LabelEvaluator(label=label, metric=metric)
+    folded = df.withColumn("_fold", fold_number(col(key), folds, seed)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if _width(folded, features) > MOST_WIDTH:
+            raise ValueError(f"more than {MOST_WIDTH} feature slots")
+        candidates = [LinearCandidate(ridge=float(p)) for p in penalties]
+        return list(zip(penalties, _scores_from_sums(candidates, estimator, evaluator, folded, folds)))
+    finally:
+        folded.unpersist()
+
+
 def _fold_scores(
     estimators: Sequence[Estimator],
     evaluator: Evaluator,
@@ -193,10 +243,19 @@ def _fold_scores(
 ) -> list[float]:
     """Mean score over the folds per estimator, each fitted on the other folds.
 
-    Folds are predicates on one persisted frame; ``parallelism`` fits run at a time. No model is
-    refitted on all rows, as only the scores are wanted.
+    Least-squares fits come from sums that are added up once per fold (:mod:`fold_models`). Of other models, folds are
+    predicates on one persisted frame; ``parallelism`` fits run at a time. No model is refitted on all rows, as
+    only the scores are wanted.
     """
     folded = df.withColumn("_fold", fold_number(col(key), folds, seed)).persist(StorageLevel.MEMORY_AND_DISK)
+    candidates = [_least_squares_candidate(e) for e in estimators]
+    if None not in candidates and isinstance(evaluator, LabelEvaluator):
+        try:
+            if _width(folded, estimators[0].getFeaturesCol()) <= MOST_WIDTH:
+                return _scores_from_sums(candidates, estimators[0], evaluator, folded, folds)
+        except BaseException:
+            folded.unpersist()
+            raise
 
     def score(task: tuple[Estimator, int]) -> float:
         estimator, fold = task
