@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lateralis.checks.registry import LINES_WITH_PARTS, check, lines_with_parts, table
 from lateralis.operators.categories import distinct_values, group_rare, group_rare_joined, retained_values
-from lateralis.operators.errorbins import absolute_percentage_error, bin_spec, edge_lists, error_table, expected_error, nested_bins, step_bins
+from lateralis.operators.errorbins import absolute_percentage_error, bin_spec, edge_table, error_table, expected_error, nested_bins, occupied_edges, step_bins
 from lateralis.operators.metrics import RMSE, describe, leaderboard, regression_metrics, residual_frame, validation_metrics
 from lateralis.operators.quantiles import group_quantiles
 from lateralis.operators.spatial import drop_duplicate_rows
@@ -311,6 +311,21 @@ def _edges_sql(name: str, column: str, step: str) -> str:
     _edges_sql("error_bins_fluid", "l_quantity", "greatest(floor((max(l_quantity) - min(l_quantity)) / 10), 1)"),
 ]))
 def bin_edge_lists(spark: SparkSession, folder: str) -> DataFrame:
-    lists = edge_lists(bin_spec(binned_input(spark, folder), *BIN_COLUMNS))
-    rows = [(name, float(e)) for name, values in lists.items() for e in values]
-    return spark.createDataFrame(rows, "property string, edge double")
+    return edge_table(spark, bin_spec(binned_input(spark, folder), *BIN_COLUMNS))
+
+
+_OCCUPIED = [
+    ("error_bins_lateral_length", "lateral_length", "1000"),
+    ("error_bins_proppant", "p_retailprice", "(SELECT greatest(10 * floor((max(p_retailprice) - min(p_retailprice)) / 200), 1) FROM i)"),
+    ("error_bins_fluid", "l_quantity", "(SELECT greatest(floor((max(l_quantity) - min(l_quantity)) / 10), 1) FROM i)"),
+]
+
+
+@check(f"""
+WITH i AS MATERIALIZED {_BIN_INPUT}, cells AS ({" UNION ".join(
+    f"SELECT '{name}' AS property, {step} AS step, ceil({column} / {step}) - 1 AS n, floor((SELECT min({column}) FROM i) / {step}) AS lowest FROM i"
+    for name, column, step in _OCCUPIED)})
+SELECT DISTINCT property, CAST((n + above) * step AS DOUBLE) AS edge FROM cells, (VALUES (0), (1)) AS v(above) WHERE n >= lowest""")
+def occupied_bin_edges(spark: SparkSession, folder: str) -> DataFrame:
+    lines = binned_input(spark, folder)
+    return occupied_edges(lines, bin_spec(lines, *BIN_COLUMNS))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 from math import floor
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lateralis.functions.columns import bin_floor, bin_label, bin_lower, col, ratio
@@ -23,15 +24,19 @@ EXPORT_BINS = 100_000
 
 @dataclass(frozen=True)
 class BinSpec:
-    """The three binned properties with their steps and global edge lists, and the rows they were taken from."""
+    """The three binned properties with their steps and global edges, and the rows they were taken from.
+
+    The edges are ranges of whole numbers, so that an outlier makes them long but not large.
+    """
 
     columns: tuple[str, str, str]
     steps: tuple[float, float, float]
-    edges: tuple[list[float], list[float], list[float]]
+    edges: tuple[range, range, range]
     rows: int | None = None
 
 
 BIN_COLUMNS = ("bin_ll", "bin_prop", "bin_fluid")
+EDGE_NAMES = ("error_bins_lateral_length", "error_bins_proppant", "error_bins_fluid")
 
 
 def edges(minimum: float, maximum: float, step: float) -> list[float]:
@@ -40,6 +45,12 @@ def edges(minimum: float, maximum: float, step: float) -> list[float]:
     return [step * k for k in range(first, last + 1)]
 
 
+def edge_range(minimum: float, maximum: float, step: int) -> range:
+    """:func:`edges` of a whole step, without making the list."""
+    first, last = floor(minimum / step), floor(maximum / step) + 1
+    return range(step * first, step * last + 1, step)
+
+
 def step_bins(df: DataFrame, column: str, step: float, name: str) -> DataFrame:
     """Right-closed bins of width ``step``; a minimum that is itself an edge falls in no bin."""
     lowest = df.agg(F.min(col(column))).head()[0]
@@ -64,8 +75,9 @@ def bin_spec(df: DataFrame, lateral: str, proppant: str, fluid: str) -> BinSpec
     lows, highs = [row[f"lo{i}"] for i in range(3)], [row[f"hi{i}"] for i in range(3)]
     proppant_step = max(PROPPANT_UNIT * floor((highs[1] - lows[1]) / PROPPANT_RANGE), 1)
     fluid_step = max(floor((highs[2] - lows[2]) / FLUID_RANGE), 1)
-    steps = (float(LATERAL_STEP), float(proppant_step), float(fluid_step))
-    return BinSpec(columns, steps, tuple(edges(lo, hi, s) for lo, hi, s in zip(lows, highs, steps)), row["rows"])
+    steps = (LATERAL_STEP, proppant_step, fluid_step)
+    spans = tuple(edge_range(lo, hi, s) for lo, hi, s in zip(lows, highs, steps))
+    return BinSpec(columns, tuple(float(s) for s in steps), spans, row["rows"])
 
 
 def nested_bins(df: DataFrame, spec: BinSpec) -> DataFrame:
@@ -105,8 +117,35 @@ def error_table(df: DataFrame, spec: BinSpec, error: str, **options) -> DataFram
     )
 
 
-def edge_lists(spec: BinSpec) -> dict[str, list[float]]:
-    return dict(zip(("error_bins_lateral_length", "error_bins_proppant", "error_bins_fluid"), spec.edges))
+def edge_lists(spec: BinSpec) -> dict[str, range]:
+    return dict(zip(EDGE_NAMES, spec.edges))
+
+
+def edge_table(spark: SparkSession, spec: BinSpec) -> DataFrame:
+    """``property, edge``: every edge of the three properties, counted out by the tasks."""
+    parts = [
+        spark.range(r.start, r.stop, r.step).select(F.lit(name).alias("property"), F.col("id").cast("double").alias("edge"))
+        for name, r in edge_lists(spec).items()
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def occupied_edges(df: DataFrame, spec: BinSpec) -> DataFrame:
+    """``property, edge``: the two edges of every bin that holds a row, so at most two a row and property.
+
+    The part of :func:`edge_table` that tells rows apart: a single far outlier adds two edges, not all those before
+    it. A value that is itself the lowest edge lies in no bin; missing and NaN values lie in none either.
+    """
+    cells = [
+        F.struct(F.lit(name).alias("property"), F.ceil(col(c).cast("double") / F.lit(step)).alias("n"), F.lit(r.start).alias("lowest"), F.lit(step).alias("step"))
+        for name, c, step, r in zip(EDGE_NAMES, spec.columns, spec.steps, spec.edges)
+    ]
+    numbers = [F.nanvl(col(c).cast("double"), F.lit(None)).alias(c) for c in dict.fromkeys(spec.columns)]
+    held = df.select(*numbers).select(F.inline(F.array(*cells))).where("n IS NOT NULL").distinct()
+    both = held.where(F.col("step") * (F.col("n") - 1) >= F.col("lowest")).select(
+        "property", F.explode(F.array(F.col("step") * (F.col("n") - 1), F.col("step") * F.col("n"))).alias("edge")
+    )
+    return both.distinct()
 
 
 def expected_error(

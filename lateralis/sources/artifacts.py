@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lateralis.functions.columns import col
+from lateralis.operators.errorbins import edge_table
 from lateralis.plans.score import Package
 from lateralis.plans.train import Trained
 
@@ -97,10 +98,7 @@ def performance_bundle(trained: Trained) -> dict[str, DataFrame]:
         "error_table": trained.error_table,
     }
     if trained.bins is not None:
-        spark = trained.leaderboard.sparkSession
-        names = ("error_bins_lateral_length", "error_bins_proppant", "error_bins_fluid")
-        rows = [(n, float(e)) for n, values in zip(names, trained.bins.edges) for e in values]
-        parts["error_bin_edges"] = spark.createDataFrame(rows, "property string, edge double")
+        parts["error_bin_edges"] = edge_table(trained.leaderboard.sparkSession, trained.bins)
     return {name: df for name, df in parts.items() if df is not None}
 
 

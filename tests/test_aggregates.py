@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from lateralis.operators.categories import (
     add_dummies, collect_values, fit_encoders, group_rare, group_rare_joined, trained_values,
 )
-from lateralis.operators.errorbins import bin_spec, edges, error_table, expected_error, nested_bins, nested_error_map, step_bins
+from lateralis.operators.errorbins import bin_spec, edge_lists, edge_table, edges, error_table, expected_error, nested_bins, nested_error_map, occupied_edges, step_bins
 from lateralis.operators.metrics import CV_RMSE, MAPE, R2, best_models, describe, leaderboard, regression_metrics, validation_metrics
 from lateralis.operators.scaling import AffineScalerModel, RobustColumnScaler, StandardColumnScaler
 
@@ -127,3 +127,21 @@ def test_error_table_and_lookup(spark):
     with pytest.raises(ValueError):
         nested_error_map(table, limit=1)
     assert bin_spec(df.where("l < 0"), "l", "p", "f") is None
+
+
+def test_edges_of_an_outlier(spark):
+    """One lateral of 1e12 feet makes the edges long, but nobody lists them."""
+    rows = [(1000.0, 10.0, 5.0, "x"), (1500.0, 10.0, 6.0, "y"), (2000.0, 20.0, 7.5, "x"), (1e12, 30.0, 30.0, "y"), (1e12, 30.0, 30.0, "y")]
+    df = spark.createDataFrame(rows, "l double, p double, f double, property string")
+    spec = bin_spec(df, "l", "p", "f")
+    assert len(spec.edges[0]) == 10**9 + 1 and spec.edges[0][0] == 1000 and spec.edges[0][-1] == 10**12 + 1000
+    assert list(spec.edges[2]) == edges(5.0, 30.0, 2) == [4, 6, 8, 10, 12, 14, 16, 18, 20, 22, 24, 26, 28, 30, 32]
+    assert edge_table(spark, spec).where("property = 'error_bins_fluid'").count() == len(edge_lists(spec)["error_bins_fluid"])
+    found = {(r["property"], r["edge"]) for r in occupied_edges(df, spec).collect()}
+    assert {e for p, e in found if p == "error_bins_lateral_length"} == {1000, 2000, 1e12 - 1000, 1e12}
+    assert {e for p, e in found if p == "error_bins_fluid"} == {4, 6, 8, 28, 30}
+    gaps = df.unionByName(spark.createDataFrame([(None, float("nan"), None, None)], df.schema))
+    assert {tuple(r) for r in occupied_edges(gaps, spec).collect()} == found
+    assert occupied_edges(df.where("l < 0"), spec).count() == 0
+    labels = {r["bin_ll"] for r in nested_bins(df, spec).collect()}
+    assert labels <= {"1000 - 2000", "999999999000 - 1000000000000"}
