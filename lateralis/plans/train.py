@@ -139,7 +139,8 @@ def train_model(
     The splits with their feature vectors are the one persisted data set: every optimiser step,
     fold and report reads them. The packaged model reuses the fitted stages, so nothing is fitted twice.
     Of the models with a grid the ``tune_best`` best base fits are tuned; the leaderboard has tuned and untuned
-    models, ``base_leaderboard`` all of them before. A failed run releases what it persisted.
+    models, ``base_leaderboard`` all of them before. Where models were tuned, the best of those is packaged.
+    A failed run releases what it persisted.
     """
     splits = split_rows(frame.df, key, config.split, seed)
     preprocessing = fit_preprocessing(splits.train, frame.df, config)
@@ -174,6 +175,7 @@ def _fit_and_package(
     )
     base_board = leaderboard(spark, {name: f.performance for name, f in fitted.items()})
     searches: dict[str, Search] = {}
+    tuned: dict[str, Fitted] = {}
     if config.tuning:
         chosen = best_models(base_board, tune_best)
         grids = {name: grid for name, grid in config.tuning.items() if name in chosen or name not in fitted}
@@ -183,7 +185,7 @@ def _fit_and_package(
         )
         fitted = {**fitted, **tuned}  # a model that is not tuned stays with its base fit
     board = leaderboard(spark, {name: f.performance for name, f in fitted.items()})
-    best = best_models(board, 1)[0]
+    best = best_models(board.where(F.col("models").isin(*tuned)) if tuned else board, 1)[0]
     regressor = fitted[best].model
     names = slot_names(preprocessing, config.features, config.categories)
     importance = (
