@@ -16,18 +16,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lateralis.llm import decontamination, jaccard_join, language_id, packing, secret_scan
-from lateralis.llm.registry import free_name, ship, table
+from lateralis.llm.registry import free_name, ship, shrink_heaps, table
 from lateralis.session import scratch_path
 
 LEAST_CONFIDENCE = 0.5
 
 
+def begin(spark: SparkSession) -> None:
+    """Make the session ready for a stage: the package on the executors, and their heaps free of the stage before."""
+    ship(spark)
+    shrink_heaps(spark)
+
+
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is found with a posterior of at least one half; the model learns from ``docs``.
 
     Without a label to learn from, all documents with a letter stay.
     """
-    ship(spark)
+    begin(spark)
     model = language_id.corpus_model(docs)
     if not model.labels:
         return docs.where(F.col("text").rlike(r"\p{L}"))
@@ -39,25 +45,25 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of the n-gram Jaccard join, the document with the smallest id."""
-    ship(spark)
+    begin(spark)
     return jaccard_join.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no passage with the benchmark."""
-    ship(spark)
+    begin(spark)
     return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the secrets that the forest confirms replaced by a mark."""
-    ship(spark)
+    begin(spark)
     return secret_scan.mask_secrets(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 2048 ids."""
-    ship(spark)
+    begin(spark)
     # the stages before leave an executor little memory
     return packing.pack(docs, packing.vocabulary_path(), slice_bytes=2 << 20, cached_words=60_000)
 

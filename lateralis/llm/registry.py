@@ -56,6 +56,16 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def shrink_heaps(spark: SparkSession) -> None:
+    """Have the executors collect garbage, which also gives back the heap that earlier jobs needed and no longer use.
+
+    A job of one short task a core. It is a request only: nothing depends on where its tasks run.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    collected = F.java_method(F.lit("java.lang.System"), F.lit("gc"))
+    spark.range(cores, numPartitions=cores).select(collected.alias("collected")).write.format("noop").mode("overwrite").save()
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
