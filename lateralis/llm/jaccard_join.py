@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lateralis.llm import segments as seg
-from lateralis.llm.registry import free_name, query, table
+from lateralis.llm.registry import free_name, free_shuffles, query, table
 from lateralis.llm.text import Words, hashes, joined_hash, mix, sliced, words_of
 from lateralis.session import scratch_path
 
@@ -472,6 +472,8 @@ def components(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     def stored(df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(spark, name)
         df.write.parquet(path)
+        del df
+        free_shuffles(spark)
         return spark.read.parquet(path)
 
     def full(held: DataFrame) -> DataFrame:
