@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
 import zipfile
@@ -67,12 +66,6 @@ def shrink_heaps(spark: SparkSession) -> None:
     spark.range(cores, numPartitions=cores).select(collected.alias("collected")).write.format("noop").mode("overwrite").save()
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of jobs whose frames are gone now, not when the driver next collects garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.java.lang.System.gc()
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
