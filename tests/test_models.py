@@ -125,6 +125,44 @@ def test_importance_depends_on_no_partitioning(spark):
             assert abs(found[0][0][1] - 2 * model.coefficients[0] ** 2 * variance["a"] / variance["y"]) < 0.1
 
 
+def test_importance_sorts_once_however_many_repeats(spark, monkeypatch):
+    """No window and one sort, whatever the repeats; copies of a row and rows without a key give what plain sorting gives."""
+    key = F.when(F.col("id") % 5 == 0, None).otherwise((F.col("id") % 170).cast("string"))
+    rows = spark.range(0, 600).select(key.alias("k"), F.round(F.rand(1), 1).alias("a"), F.rand(2).alias("b"), F.randn(3).alias("e"))
+    rows = rows.union(rows.limit(1).crossJoin(spark.range(11_000)).drop("id")).withColumn("label", 5 * F.col("a") + F.col("b") + F.col("e"))
+    ready = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows).persist()
+    model = build_regressor("LinearRegression", rows=11_600).fit(ready)
+    plans, collect = [], type(ready).collect
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return collect(df)
+
+    monkeypatch.setattr(type(ready), "collect", noted)
+    table = permutation_importance(model, ready, ["a", "b"], key="k", repeats=4, seed=7, bucket_rows=4_000)
+    monkeypatch.undo()
+    sorts = [p.count(" Sort [") // max(p.count("== Initial Plan =="), 1) for p in plans]
+    assert max(sorts) == 1 and not any("Window" in p for p in plans)
+    found = {r["feature"]: r["importance_mean"] for r in table.collect()}
+
+    base = model.transform(ready).select(
+        "label", "prediction", F.array("a", "b").alias("x"), F.xxhash64("k").alias("id")
+    ).withColumn("bucket", F.pmod(F.xxhash64(F.lit(7), "id", "label", "x"), F.lit(3)))
+    plain = base.select("*", F.array(*[F.xxhash64(F.lit(7), F.lit(r), F.col("id")) for r in range(4)]).alias("order")).collect()
+    mean = sum(r["label"] for r in plain) / len(plain)
+    total = sum((r["label"] - mean) ** 2 for r in plain)
+    error = sum((r["label"] - r["prediction"]) ** 2 for r in plain)
+    for i, name in enumerate(["a", "b"]):
+        moved = 0.0
+        for repeat in range(4):
+            for bucket in range(3):
+                held = sorted((r for r in plain if r["bucket"] == bucket), key=lambda r: (r["order"][repeat], r["label"], r["x"]))
+                for r, following in zip(held, held[1:] + held[:1]):
+                    moved += (r["label"] - r["prediction"] - model.coefficients[i] * (following["x"][i] - r["x"][i])) ** 2
+        assert found[name] == pytest.approx((moved / 4 - error) / total, rel=1e-9, abs=1e-12)
+    ready.unpersist()
+
+
 def test_search_metric(spark):
     rows = spark.range(0, 400).select(F.col("id").cast("string").alias("k"), (F.rand(1) + 1).alias("a")).withColumn("label", 3 * F.col("a"))
     ready = VectorAssembler(inputCols=["a"], outputCol="features").transform(rows).persist()
