@@ -6,12 +6,13 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lateralis.functions.columns import col, ratio
-from lateralis.operators.quantiles import SORTED_ROWS, group_quantiles, largest_group, sorted_quantiles
+from lateralis.operators.quantiles import SORTED_ROWS, group_quantiles, largest_group, quantiles, sorted_quantiles
 
 # Metric names of the leaderboard.
 R2 = "r2"
@@ -68,13 +69,18 @@ def regression_metrics(
     if most <= options.get("builtin_rows", SORTED_ROWS):
         rows = pairs.groupBy(*keys).agg(*sums, sorted_quantiles(r, probabilities).alias("_q"))
     else:
-        spread = group_quantiles(pairs, {"_r": probabilities}, by, **{"rows_at_most": most, **options}).withColumnRenamed("_r", "_q")
         totals = pairs.groupBy(*keys).agg(*sums)
         if by:
+            spread = group_quantiles(pairs, {"_r": probabilities}, by, **{"rows_at_most": most, **options}).withColumnRenamed("_r", "_q")
             same = reduce(and_, [F.col(f"s.`{c}`").eqNullSafe(F.col(f"q.`{c}`")) for c in by])
             rows = totals.alias("s").join(spread.alias("q"), same).select("s.*", "q._q")
         else:
-            rows = totals.withColumn("_q", F.array(*[F.lit(v) for v in spread.head()["_q"]]))
+            residuals = pairs.select("_r").persist(StorageLevel.MEMORY_AND_DISK)
+            try:  # one copy for all aggregates: no prediction is made again for each bound that it is compared with
+                found = quantiles(residuals, {"_r": probabilities}, **{"rows_at_most": most, **options})["_r"]
+            finally:
+                residuals.unpersist()
+            rows = totals.withColumn("_q", F.array(*[F.lit(v) for v in found]))
     q10, q25, q75, q90 = (F.col("_q")[i] for i in range(4))
     return rows.select(
         *keys,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols
@@ -73,7 +73,11 @@ class RobustColumnScaler(_ScalerEstimator):
     """Median and interquartile range, exact; a zero range scales by 1."""
 
     def _statistics(self, dataset, columns):
-        found = quantiles(dataset, {c: [0.25, 0.5, 0.75] for c in columns})
+        rows = dataset.select(*[col(c) for c in dict.fromkeys(columns)]).persist(StorageLevel.MEMORY_AND_DISK)
+        try:  # the aggregates of the quantiles read these few columns once
+            found = quantiles(rows, {c: [0.25, 0.5, 0.75] for c in columns})
+        finally:
+            rows.unpersist()
         return [(q[1], None if q[1] is None else q[2] - q[0]) for q in (found[c] for c in columns)]
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -14,11 +15,17 @@ SEED = 42
 BUCKETS = 10_000
 
 
+SPLIT = "_split"
+
+
 @dataclass(frozen=True)
 class Splits:
+    """Three frames, and ``labelled`` with all rows and the name of each one's split in ``SPLIT``, for one pass over all."""
+
     train: DataFrame
     valid: DataFrame
     test: DataFrame | None
+    labelled: DataFrame
 
 
 def split_label(key: Column, settings: SplitConfig = SplitConfig(), seed: int = SEED) -> Column:
@@ -26,19 +33,31 @@ def split_label(key: Column, settings: SplitConfig = SplitConfig(), seed: int =
 
     A narrow expression: no shuffle, and the same rows whatever the partitioning.
     """
-    test = round(BUCKETS * settings.test_ratio) if settings.test else 0
-    valid = round((BUCKETS - test) * settings.valid_ratio)
+    test, rest = _cuts(settings)
     bucket = hash_bucket(key, seed, BUCKETS)
-    return F.when(bucket < test, "test").when(bucket < test + valid, "valid").otherwise("train")
+    return F.when(bucket < test, "test").when(bucket < rest, "valid").otherwise("train")
 
 
-def split_rows(df: DataFrame, key: str, settings: SplitConfig = SplitConfig(), seed: int = SEED) -> Splits:
-    labelled = df.withColumn("_split", split_label(col(key), settings, seed))
+def _cuts(settings: SplitConfig) -> tuple[int, int]:
+    """The first bucket after the test rows and the first one after the valid rows."""
+    test = round(BUCKETS * settings.test_ratio) if settings.test else 0
+    return test, test + round((BUCKETS - test) * settings.valid_ratio)
 
-    def part(name: str) -> DataFrame:
-        return labelled.where(F.col("_split") == name).drop("_split")
 
-    return Splits(part("train"), part("valid"), part("test") if settings.test else None)
+def split_rows(df: DataFrame, key: str, settings: SplitConfig = SplitConfig(), seed: int = SEED) -> Splits:
+    """The parts are ranges of buckets, so that a filter hashes a key once for most rows; without a key a row is for training."""
+    test, rest = _cuts(settings)
+    bucket = F.coalesce(hash_bucket(col(key), seed, BUCKETS), F.lit(BUCKETS))
+    labelled = df.withColumn(SPLIT, split_label(col(key), settings, seed))
+    df = labelled.drop(SPLIT)
+    return Splits(
+        df.where(bucket >= rest), df.where((bucket < rest) & (bucket >= test)), df.where(bucket < test) if settings.test else None, labelled
+    )
+
+
+def split_parts(labelled: DataFrame, names: Sequence[str]) -> dict[str, DataFrame]:
+    """The rows of each named split of a frame with ``SPLIT``."""
+    return {name: labelled.where(F.col(SPLIT) == name).drop(SPLIT) for name in names}
 
 
 def fold_number(key: Column, folds: int, seed: int = SEED) -> Column:

@@ -24,7 +24,7 @@ from lateralis.operators.importance import permutation_importance
 from lateralis.operators.metrics import best_models, leaderboard, residual_frame
 from lateralis.operators.models import FEATURES, LABEL, PREDICTION, Fitted, Search, fit_and_evaluate, tune_models
 from lateralis.operators.repair import FLAG, flag_cost_anomalies, impute_from_reference
-from lateralis.operators.split import SEED, Splits, split_rows
+from lateralis.operators.split import SEED, SPLIT, Splits, split_parts, split_rows
 from lateralis.plans.stages import fit_preprocessing, fit_target_scaler, package, slot_names
 from lateralis.session import checkpointed, scratch_path
 from lateralis.sources.tables import (
@@ -136,8 +136,9 @@ def train_model(
 ) -> Trained:
     """Split, preprocess, fit every configured model, pick the best and package it.
 
-    The splits with their feature vectors are the one persisted data set: every optimiser step,
-    fold and report reads them. The packaged model reuses the fitted stages, so nothing is fitted twice.
+    All rows with their split and feature vector, and what reports need beside it, are the one persisted data set: one pass
+    makes it, and every optimiser step, fold and report reads it. The packaged model reuses the fitted stages, so
+    nothing is fitted twice. The persisted rows of the filters are released as soon as that set is made.
     Of the models with a grid the ``tune_best`` best base fits are tuned; the leaderboard has tuned and untuned
     models, ``base_leaderboard`` all of them before. Where models were tuned, the best of those is packaged.
     A failed run releases what it persisted.
@@ -150,25 +151,28 @@ def train_model(
         assembled = preprocessing.transform(df)
         return target_scaler.transform(assembled) if target_scaler is not None else assembled
 
-    sets = {"train": splits.train, "valid": splits.valid, "test": splits.test}
-    sets = {name: ready(df).persist(storage) for name, df in sets.items() if df is not None}
+    keyed = [key] if cv_folds or importance_repeats or config.tuning else []  # folds and permutations go by it
+    read = [c for c in dict.fromkeys((*keyed, config.target, *bin_columns)) if c in frame.df.columns and c not in (LABEL, FEATURES)]
+    everything = ready(splits.labelled).select(*[col(c) for c in (*read, LABEL, FEATURES, SPLIT)]).persist(storage)
+    sets = split_parts(everything, ("train", "valid", "test") if splits.test is not None else ("train", "valid"))
     try:
         return _fit_and_package(
-            frame, config, key, splits, sets, preprocessing, target_scaler, bin_columns, cv_folds, importance_repeats, search_on,
-            search_method, search_metric, tune_best, original_scale_errors, seed,
+            frame, config, key, splits, sets, everything, preprocessing, target_scaler, bin_columns, cv_folds, importance_repeats,
+            search_on, search_method, search_metric, tune_best, original_scale_errors, seed, storage,
         )
     except BaseException:
-        for df in sets.values():
-            df.unpersist()
+        everything.unpersist()
         raise
 
 
 def _fit_and_package(
-    frame, config, key, splits, sets, preprocessing, target_scaler, bin_columns, cv_folds, importance_repeats, search_on,
-    search_method, search_metric, tune_best, original_scale_errors, seed,
+    frame, config, key, splits, sets, everything, preprocessing, target_scaler, bin_columns, cv_folds, importance_repeats,
+    search_on, search_method, search_metric, tune_best, original_scale_errors, seed, storage,
 ) -> Trained:
     spark = frame.df.sparkSession
     train, valid = sets["train"], sets["valid"]
+    everything.count()
+    frame.filtered.release()  # not read any more
     rows = train.count()
     fitted = fit_and_evaluate(
         train, valid, config.models, key=key, cv_folds=cv_folds, label_scaler=target_scaler, rows=rows
@@ -194,34 +198,38 @@ def _fit_and_package(
         else None
     )
     pipeline = package(preprocessing, regressor, config, target_scaler)
-    bins, errors = _training_errors(splits.train, train, regressor, pipeline, config, bin_columns, original_scale_errors)
+    prediction = PipelineModel(pipeline.stages[len(preprocessing.stages) :])  # of rows that have their features
+    bins, errors = _training_errors(train, regressor, prediction, config, bin_columns, original_scale_errors, storage)
     residuals = {name: _residuals(df, fitted, names, name, target_scaler) for name, df in sets.items()}
     return Trained(
         config=config, pipeline=pipeline, model_name=best, fitted=fitted, leaderboard=board, base_leaderboard=base_board,
         splits=splits,
         features=names, categories=trained_values(preprocessing.stages), operators=frame.operators,
         composites=frame.composites, bins=bins, error_table=errors, importance=importance, residuals=residuals,
-        searches=searches, metadata=_metadata(config, names, rows), persisted=list(sets.values()),
+        searches=searches, metadata=_metadata(config, names, rows), persisted=[everything],
     )
 
 
-def _training_errors(raw, ready, regressor, pipeline, config, columns, original_scale):
+def _training_errors(ready, regressor, prediction, config, columns, original_scale, storage):
     """The error table of the training rows, on the raw target scale unless told otherwise.
 
-    It is written once: scoring must not replay the training.
+    Its aggregates read the errors and the three binned columns, persisted meanwhile. It is written once: scoring
+    must not replay the training.
     """
-    if not set(columns) <= set(raw.columns):
-        return None, None
-    spec = bin_spec(raw, *columns)
-    if spec is None:
+    if not set(columns) <= set(ready.columns):
         return None, None
     if original_scale:
-        scored = pipeline.transform(raw)
+        scored = prediction.transform(ready)
         error = absolute_percentage_error(col(config.target), col(PREDICTION))
     else:
         scored = regressor.transform(ready)
         error = absolute_percentage_error(col(LABEL), col(PREDICTION), signed=True)
-    return spec, checkpointed(error_table(scored.withColumn("_error", error), spec, "_error"))
+    errors = scored.select(*[col(c) for c in dict.fromkeys(columns)], error.alias("_error")).persist(storage)
+    try:
+        spec = bin_spec(errors, *columns)
+        return spec, None if spec is None else checkpointed(error_table(errors, spec, "_error"))
+    finally:
+        errors.unpersist()
 
 
 def _residuals(df, fitted, names, split, target_scaler):

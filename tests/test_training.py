@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from lateralis.config import SplitConfig, StatisticalFilter, basin_config
 from lateralis.functions.columns import col
 from lateralis.operators.derive import add_midpoints
+from lateralis.operators.errorbins import absolute_percentage_error, error_table
 from lateralis.operators.importance import ranked_features
+from lateralis.operators.split import split_rows
 from lateralis.plans.score import (
     Package,
     locate_wells,
@@ -77,6 +79,30 @@ def test_coefficient_scoring_equals_pipeline(trained):
     assert worst < 1e-6
 
 
+def test_training_persists_one_narrow_set(tables):
+    """All rows once with their split; the error table made from it is that of the packaged model on the raw rows."""
+    trained = train_basin(*tables, W.BASIN, config=replace(basin_config(W.BASIN), models={"LinearRegression": {}}), cv_folds=None, importance_repeats=0)
+    (held,) = trained.persisted
+    assert held.columns == ["cost/ft_Lateral", *trained.bins.columns, "label", "features", "_split"] and held.storageLevel.useMemory
+    sizes = {r["_split"]: r["count"] for r in held.groupBy("_split").count().collect()}
+    splits = trained.splits
+    assert sizes == {"train": splits.train.count(), "valid": splits.valid.count(), "test": splits.test.count()}
+    raw = trained.pipeline.transform(splits.train)
+    error = absolute_percentage_error(col(trained.config.target), col("prediction"))
+    expected = error_table(raw.withColumn("_error", error), trained.bins, "_error")
+    assert trained.error_table.exceptAll(expected).count() == 0 == expected.exceptAll(trained.error_table).count()
+    trained.release()
+
+
+def test_splits_are_the_labelled_rows(spark):
+    rows = spark.range(0, 500).select("id", F.when(F.col("id") % 9 > 0, F.col("id").cast("string")).alias("k"))
+    splits = split_rows(rows, "k")
+    for name, part in (("train", splits.train), ("valid", splits.valid), ("test", splits.test)):
+        assert part.columns == ["id", "k"]
+        assert sorted(r["id"] for r in part.collect()) == sorted(r["id"] for r in splits.labelled.where(f"_split = '{name}'").collect())
+    assert splits.train.where("k IS NULL").count() == 56
+
+
 def test_unknown_categories(trained):
     package = Package.of(trained)
     base = trained.splits.valid.limit(3)
