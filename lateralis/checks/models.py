@@ -11,7 +11,7 @@ from lateralis.config import FilterConfig, RunConfig
 from lateralis.operators.importance import permutation_importance, ranked_features, tree_importance
 from lateralis.operators.metrics import best_models, leaderboard
 from lateralis.operators.models import FEATURES, LABEL, build_regressor, cross_validated_ridge, cross_validated_rmse, fit_and_evaluate, search_parameters
-from lateralis.operators.split import split_rows
+from lateralis.operators.split import SPLIT, split_rows
 from lateralis.plans.score import score_from_coefficients
 from lateralis.plans.train import Trained, modelling_frame, train_model
 from lateralis.session import scratch_path, spread
@@ -255,12 +255,15 @@ def packaged_model_equals_equation(spark: SparkSession, folder: str) -> DataFram
     features = ["l_quantity__transformed", "l_discount", "l_tax"]
     equation = F.exp(score_from_coefficients(trained.pipeline, features, trained.categories))
     close = F.abs(equation - F.col("prediction")) <= 1e-9 * F.abs(equation)
-    counts = [
-        trained.pipeline.transform(df).agg(F.lit(name).alias("split"), F.count(F.lit(1)).alias("rows"), F.count_if(close).alias("equal"))
-        for name, df in (("train", trained.splits.train), ("valid", trained.splits.valid), ("test", trained.splits.test))
-    ]
+    names = ("train", "valid", "test")
+    inside = {name: F.col(SPLIT) == name for name in names}
+    counts = trained.pipeline.transform(trained.splits.labelled).agg(
+        *[F.count_if(rows).alias(f"rows_{name}") for name, rows in inside.items()],
+        *[F.count_if(rows & close).alias(f"equal_{name}") for name, rows in inside.items()],
+    )
     trained.release()
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    found = [F.struct(F.lit(n).alias("split"), F.col(f"rows_{n}").alias("rows"), F.col(f"equal_{n}").alias("equal")) for n in names]
+    return counts.select(F.inline(F.array(*found)))
 
 
 @check("SELECT count(*) AS rows, count(*) AS equal FROM lineitem")
