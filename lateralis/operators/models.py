@@ -197,6 +197,14 @@ def _width(df: DataFrame, features: str) -> int:
     return 0 if row is None else row[0].size
 
 
+def _folded(df: DataFrame, key: str, folds: int, seed: int, estimators: Sequence[Estimator]) -> DataFrame:
+    """The columns that the estimators read and the fold of each row, persisted."""
+    read = [c for e in estimators for c in (e.getFeaturesCol(), e.getLabelCol())]
+    read += [e.getWeightCol() for e in estimators if e.hasParam("weightCol") and e.isDefined("weightCol")]
+    number = fold_number(col(key), folds, seed).alias("_fold")
+    return df.select(*[col(c) for c in dict.fromkeys(read)], number).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _scores_from_sums(
     candidates: Sequence[LinearCandidate], estimator: LinearRegression, evaluator: LabelEvaluator, folded: DataFrame, folds: int
 ) -> list[float]:
@@ -222,7 +230,7 @@ def cross_validated_ridge(
     """(penalty, mean score over the folds) of a ridge fit by each penalty; the folds are read once for all of them."""
     estimator = LinearRegression(featuresCol=features, labelCol=label)
     evaluator = LabelEvaluator(label=label, metric=metric)
-    folded = df.withColumn("_fold", fold_number(col(key), folds, seed)).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = _folded(df, key, folds, seed, [estimator])
     try:
         if _width(folded, features) > MOST_WIDTH:
             raise ValueError(f"more than {MOST_WIDTH} feature slots")
@@ -247,7 +255,7 @@ def _fold_scores(
     predicates on one persisted frame; ``parallelism`` fits run at a time. No model is refitted on all rows, as
     only the scores are wanted.
     """
-    folded = df.withColumn("_fold", fold_number(col(key), folds, seed)).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = _folded(df, key, folds, seed, estimators)
     candidates = [_least_squares_candidate(e) for e in estimators]
     if None not in candidates and isinstance(evaluator, LabelEvaluator):
         try:
