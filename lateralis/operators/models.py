@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lateralis.functions.columns import col
+from lateralis.operators import fold_forests
 from lateralis.operators.fold_models import MOST_WIDTH, LinearCandidate, fold_scores
 from lateralis.operators.metrics import CV_RMSE, mape, mse, r2_score, regression_metrics
 from lateralis.operators.split import SEED, fold_number
@@ -192,6 +193,23 @@ def _least_squares_candidate(estimator: Estimator) -> LinearCandidate | None:
     return LinearCandidate(estimator.getFitIntercept())
 
 
+def _forest_candidate(estimator: Estimator, df: DataFrame) -> fold_forests.ForestCandidate | None:
+    """What ``estimator`` is as a forest that :mod:`fold_forests` grows; None for any other model."""
+    if not isinstance(estimator, RandomForestRegressor) or estimator.getFeatureSubsetStrategy() != "all":
+        return None
+    if estimator.isDefined("weightCol") and estimator.getWeightCol() or estimator.getSubsamplingRate() != 1.0:
+        return None
+    if estimator.getMinInfoGain() or estimator.getMinWeightFractionPerNode() or estimator.getImpurity() != "variance":
+        return None
+    attributes = df.schema[estimator.getFeaturesCol()].metadata.get("ml_attr", {}).get("attrs", {})
+    if attributes.get("nominal"):  # split by subsets, not by thresholds
+        return None
+    return fold_forests.ForestCandidate(
+        estimator.getNumTrees(), estimator.getMaxDepth(), estimator.getMinInstancesPerNode(), estimator.getMaxBins(),
+        estimator.getSeed(), estimator.getBootstrap(),
+    )
+
+
 def _width(df: DataFrame, features: str) -> int:
     row = df.select(col(features)).head()
     return 0 if row is None else row[0].size
@@ -213,7 +231,30 @@ def _scores_from_sums(
         folded, "_fold", folds, candidates, estimator.getFeaturesCol(), estimator.getLabelCol(), measure, evaluator.center, evaluator.scale
     )
     folded.unpersist()
-    return [sum(float("-inf") if v is None else sign * v for v in scores) / folds for scores in found]
+    return [_mean_score(scores, sign) for scores in found]
+
+
+def _scores_from_cells(
+    candidates: Sequence[fold_forests.ForestCandidate], estimator: RandomForestRegressor, evaluator: LabelEvaluator, df: DataFrame, key: str,
+    folds: int, seed: int,
+) -> list[float] | None:
+    """None for an empty frame and for forests with too many cells."""
+    measure, sign = SEARCH_METRICS[evaluator.metric]
+    rows = fold_forests.numbered(df, key, fold_number(col(key), folds, seed), estimator.getFeaturesCol(), estimator.getLabelCol())
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK_DESER)
+    try:
+        first = rows.head()
+        width = 0 if first is None else len(first["x"])
+        if not width or width > MOST_WIDTH:
+            return None
+        found = fold_forests.fold_scores(rows, folds, candidates, width, measure, evaluator.center, evaluator.scale)
+    finally:
+        rows.unpersist()
+    return None if found is None else [_mean_score(scores, sign) for scores in found]
+
+
+def _mean_score(scores: Sequence[float | None], sign: float) -> float:
+    return sum(float("-inf") if v is None else sign * v for v in scores) / len(scores)
 
 
 def cross_validated_ridge(
@@ -251,10 +292,15 @@ def _fold_scores(
 ) -> list[float]:
     """Mean score over the folds per estimator, each fitted on the other folds.
 
-    Least-squares fits come from sums that are added up once per fold (:mod:`fold_models`). Of other models, folds are
-    predicates on one persisted frame; ``parallelism`` fits run at a time. No model is refitted on all rows, as
+    Least-squares fits come from sums that are added up once per fold (:mod:`fold_models`), forests of few features
+    from sums by cell (:mod:`fold_forests`). Of other models, folds are predicates on one persisted frame; ``parallelism`` fits run at a time. No model is refitted on all rows, as
     only the scores are wanted.
     """
+    forests = [_forest_candidate(e, df) for e in estimators]
+    if None not in forests and isinstance(evaluator, LabelEvaluator):
+        scores = _scores_from_cells(forests, estimators[0], evaluator, df, key, folds, seed)
+        if scores is not None:
+            return scores
     folded = _folded(df, key, folds, seed, estimators)
     candidates = [_least_squares_candidate(e) for e in estimators]
     if None not in candidates and isinstance(evaluator, LabelEvaluator):
