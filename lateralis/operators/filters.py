@@ -17,7 +17,7 @@ from lateralis.config import FilterConfig, StatisticalFilter
 from lateralis.functions.columns import col, ratio
 from lateralis.operators.derive import keep_columns, require_columns
 from lateralis.operators.quantiles import group_quantiles, medians, quantiles
-from lateralis.session import broadcast_if_small, checkpointed
+from lateralis.session import broadcast_if_small, checkpointed, persisted
 
 
 @dataclass(frozen=True)
@@ -107,7 +107,7 @@ def threshold_chain(
     rows = first = None
     if percentile and thresholds:
         # the aggregates of all steps read these few columns once
-        rows = df.select(*[col(c) for c in dict.fromkeys(thresholds)]).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = persisted(df.select(*[col(c) for c in dict.fromkeys(thresholds)]))
         first = rows
         if not accuracy and "rows_at_most" not in options:
             options["rows_at_most"] = rows.count()  # later steps have fewer rows: one count serves them all
@@ -174,7 +174,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def mad_conditions(df: DataFrame, columns: Sequence[str], threshold: float = 3.0, **options) -> dict[str, Column]:
     """Per column: ``|x - median| <= threshold * MAD``, with the unscaled median absolute deviation."""
-    rows = df.select(*[col(c) for c in columns]).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = persisted(df.select(*[col(c) for c in columns]))
     try:
         options.setdefault("rows_at_most", rows.count())
         centre = medians(rows, columns, **options)
@@ -257,7 +257,7 @@ def apply_filters(
     if settings.keep:
         complete = keep_columns(complete, list(dict.fromkeys([*carry, *settings.keep])))
     if storage is not None:
-        complete = complete.persist(storage)
+        complete = persisted(complete, storage)
     masked = complete
     first = [Step("complete", "*", None, None, reduce(and_, [col(c).isNotNull() & ~_is_nan(df, c) for c in df.columns]))]
     if settings.statistical:

@@ -6,13 +6,13 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lateralis.functions.columns import col, ratio
 from lateralis.operators.quantiles import SORTED_ROWS, group_quantiles, largest_group, quantiles, sorted_quantiles
+from lateralis.session import persisted
 
 # Metric names of the leaderboard.
 R2 = "r2"
@@ -75,7 +75,7 @@ def regression_metrics(
             same = reduce(and_, [F.col(f"s.`{c}`").eqNullSafe(F.col(f"q.`{c}`")) for c in by])
             rows = totals.alias("s").join(spread.alias("q"), same).select("s.*", "q._q")
         else:
-            residuals = pairs.select("_r").persist(StorageLevel.MEMORY_AND_DISK)
+            residuals = persisted(pairs.select("_r"))
             try:  # one copy for all aggregates: no prediction is made again for each bound that it is compared with
                 found = quantiles(residuals, {"_r": probabilities}, **{"rows_at_most": most, **options})["_r"]
             finally:

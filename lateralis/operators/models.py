@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol
@@ -22,6 +22,7 @@ from lateralis.operators import fold_forests
 from lateralis.operators.fold_models import MOST_WIDTH, LinearCandidate, fold_scores
 from lateralis.operators.metrics import CV_RMSE, mape, mse, r2_score, regression_metrics
 from lateralis.operators.split import SEED, fold_number
+from lateralis.session import persisted
 
 FEATURES = "features"
 LABEL = "label"
@@ -220,7 +221,7 @@ def _folded(df: DataFrame, key: str, folds: int, seed: int, estimators: Sequence
     read = [c for e in estimators for c in (e.getFeaturesCol(), e.getLabelCol())]
     read += [e.getWeightCol() for e in estimators if e.hasParam("weightCol") and e.isDefined("weightCol")]
     number = fold_number(col(key), folds, seed).alias("_fold")
-    return df.select(*[col(c) for c in dict.fromkeys(read)], number).persist(StorageLevel.MEMORY_AND_DISK)
+    return persisted(df.select(*[col(c) for c in dict.fromkeys(read)], number))
 
 
 def _scores_from_sums(
@@ -241,7 +242,7 @@ def _scores_from_cells(
     """None for an empty frame and for forests with too many cells."""
     measure, sign = SEARCH_METRICS[evaluator.metric]
     rows = fold_forests.numbered(df, key, fold_number(col(key), folds, seed), estimator.getFeaturesCol(), estimator.getLabelCol())
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK_DESER)
+    rows = persisted(rows)
     try:
         first = rows.head()
         width = 0 if first is None else len(first["x"])

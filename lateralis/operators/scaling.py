@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel, keyword_only
+from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from lateralis.functions.columns import col
 from lateralis.operators.quantiles import quantiles
+from lateralis.session import persisted
 
 
 class AffineScalerModel(Model, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):
@@ -73,7 +74,7 @@ class RobustColumnScaler(_ScalerEstimator):
     """Median and interquartile range, exact; a zero range scales by 1."""
 
     def _statistics(self, dataset, columns):
-        rows = dataset.select(*[col(c) for c in dict.fromkeys(columns)]).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = persisted(dataset.select(*[col(c) for c in dict.fromkeys(columns)]))
         try:  # the aggregates of the quantiles read these few columns once
             found = quantiles(rows, {c: [0.25, 0.5, 0.75] for c in columns})
         finally:

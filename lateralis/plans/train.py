@@ -26,7 +26,7 @@ from lateralis.operators.models import FEATURES, LABEL, PREDICTION, Fitted, Sear
 from lateralis.operators.repair import FLAG, flag_cost_anomalies, impute_from_reference
 from lateralis.operators.split import SEED, SPLIT, Splits, split_parts, split_rows
 from lateralis.plans.stages import fit_preprocessing, fit_target_scaler, package, slot_names
-from lateralis.session import checkpointed, scratch_path
+from lateralis.session import checkpointed, persisted, scratch_path
 from lateralis.sources.tables import (
     COMPLETIONS_COLUMNS,
     REFERENCE_COLUMNS,
@@ -72,7 +72,7 @@ def modelling_frame(
     *,
     operator: str = OPERATOR,
     reservoir: str = RESERVOIR,
-    storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
+    storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK_DESER,
 ) -> ModellingFrame:
     """Filters, rare operators, composite operator key and the label; rows without a label go."""
     filtered = apply_filters(derived, config.filtering, carry=[key], storage=storage)
@@ -132,7 +132,7 @@ def train_model(
     tune_best: int = 4,
     original_scale_errors: bool = True,
     seed: int = SEED,
-    storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+    storage: StorageLevel = StorageLevel.MEMORY_AND_DISK_DESER,
 ) -> Trained:
     """Split, preprocess, fit every configured model, pick the best and package it.
 
@@ -153,7 +153,7 @@ def train_model(
 
     keyed = [key] if cv_folds or importance_repeats or config.tuning else []  # folds and permutations go by it
     read = [c for c in dict.fromkeys((*keyed, config.target, *bin_columns)) if c in frame.df.columns and c not in (LABEL, FEATURES)]
-    everything = ready(splits.labelled).select(*[col(c) for c in (*read, LABEL, FEATURES, SPLIT)]).persist(storage)
+    everything = persisted(ready(splits.labelled).select(*[col(c) for c in (*read, LABEL, FEATURES, SPLIT)]), storage)
     sets = split_parts(everything, ("train", "valid", "test") if splits.test is not None else ("train", "valid"))
     try:
         return _fit_and_package(
@@ -224,7 +224,7 @@ def _training_errors(ready, regressor, prediction, config, columns, original_sca
     else:
         scored = regressor.transform(ready)
         error = absolute_percentage_error(col(LABEL), col(PREDICTION), signed=True)
-    errors = scored.select(*[col(c) for c in dict.fromkeys(columns)], error.alias("_error")).persist(storage)
+    errors = persisted(scored.select(*[col(c) for c in dict.fromkeys(columns)], error.alias("_error")), storage)
     try:
         spec = bin_spec(errors, *columns)
         return spec, None if spec is None else checkpointed(error_table(errors, spec, "_error"))

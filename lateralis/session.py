@@ -5,11 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 20_000
 
+CACHED_ROWS = 1_000
+_CACHED_ROWS = "spark.sql.inMemoryColumnarStorage.batchSize"
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "lateralis") -> SparkSession:
     """A single-machine session for tests and benchmarks; a cluster brings its own."""
@@ -49,6 +53,23 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def persisted(df: DataFrame, storage: StorageLevel = StorageLevel.MEMORY_AND_DISK_DESER) -> DataFrame:
+    """``df.persist(storage)`` in batches of at most ``CACHED_ROWS`` rows.
+
+    A stream of persisted batches to or from disk keeps up to a hundred of them on the heap, beside the memory that Spark
+    accounts for: of the usual 10 000 rows each that is a whole partition a task. Kept as objects, they are
+    not copied into chunks of 1 MB either, which take two regions of a small heap each. Spark reads the setting when
+    it registers the frame, so the session has its own again afterwards.
+    """
+    settings = df.sparkSession.conf
+    rows = settings.get(_CACHED_ROWS)
+    settings.set(_CACHED_ROWS, str(min(int(rows), CACHED_ROWS)))
+    try:
+        return df.persist(storage)
+    finally:
+        settings.set(_CACHED_ROWS, rows)
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` as a broadcast table of known size, or unhinted when it has more than ``limit`` rows.
 
