@@ -9,8 +9,8 @@ none, or ends at ``min_samples_leaf`` or ``max_depth``. A tree of a lower depth
 scores every candidate on the fold that its trees have not seen.
 
 A row's draws are Poisson numbers by a hash of its key, the seed and the tree, so they are the same under any
-partitioning. The cells of a fit are at most ``MOST_CELLS``: forests of more features than that allows are refitted by
-MLlib. Of trees whose sums are more than ``MOST_SUMS`` some are grown at a time, each time in a pass of its own.
+partitioning. The cells of a fit are at most ``MOST_CELLS``: forests of more features than that allows (three with 32 bins
+each always fit, more of few values do) are refitted by MLlib. Of trees whose sums are more than ``MOST_SUMS`` some are grown at a time, each time in a pass of its own.
 
 A missing or NaN label, or a feature that is not finite, is an error, as it is to MLlib; a fold without rows scores minus
 infinity, no rows outside of a fold are an error. Rows without a fold are not read.
@@ -33,8 +33,10 @@ from lateralis.functions.columns import col
 
 MOST_CELLS = 50_000
 MOST_SUMS = 1_000_000
-SUMMARY_ROWS = 1_000_000
-SUMMARY_VALUES = 256  # of one feature among so many rows: exact up to here, blocks of equally many rows beyond
+MOST_WIDTH = 15  # more features that vary make more than MOST_CELLS cells with two bins each
+SUMMARY_NUMBERS = 3_000_000
+SUMMARY_VALUES = 256  # of one feature among so many numbers: exact up to here, blocks of equally many rows beyond
+MERGED_VALUES = 4_096  # of one feature and fold on the driver
 TASKS_A_CORE = 4
 
 # Chance of at most 0, 1, 2 ... draws.
@@ -133,6 +135,27 @@ def _summary(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[(ends[:-1] + ends[1:]) // 2], np.diff(ends)
 
 
+def _merged(table: pa.Table) -> pa.Table:
+    """The summaries of one feature and fold as one."""
+    v, n = table.column("v").to_numpy(), table.column("n").to_numpy()
+    if table.column("i")[0].as_py() < 0:  # means
+        v, n = np.array([v @ n / n.sum()]), np.array([n.sum()])
+    else:
+        v, place = np.unique(v, return_inverse=True)
+        n = np.bincount(place, n).astype(int)
+        if len(v) > MERGED_VALUES:
+            through = n.cumsum()
+            last = np.unique(np.searchsorted(through, np.linspace(0, through[-1], MERGED_VALUES + 1)[1:]).clip(max=len(v) - 1))
+            rows = np.diff(through[last], prepend=0)
+            v, n = v[np.searchsorted(through, through[last] - rows / 2)], rows
+    return _summary_columns(pa.Table, table.column("k")[0].as_py(), table.column("i")[0].as_py(), v, n)
+
+
+def _summary_columns(kind, k: int, i: int, v: np.ndarray, n: np.ndarray):
+    columns = ((np.full(len(v), k), pa.int32()), (np.full(len(v), i), pa.int32()), (v, pa.float64()), (n, pa.int64()))
+    return kind.from_arrays([pa.array(c, t) for c, t in columns], names=["k", "i", "v", "n"])
+
+
 def _thresholds(rows: DataFrame, folds: int, width: int, bins: Sequence[int]) -> tuple[dict[int, list[list[np.ndarray]]], list[float]]:
     """By number of bins, the split points of every feature in each fold's fit; and the mean label of each fit."""
 
@@ -145,21 +168,20 @@ def _thresholds(rows: DataFrame, folds: int, width: int, bins: Sequence[int]) ->
                 own = number == k
                 for i in range(-1, width):
                     v, n = (np.array([y[own].mean()]), np.array([own.sum()])) if i < 0 else _summary(x[own, i])
-                    columns = [np.full(len(v), k), np.full(len(v), i), v, n]
-                    kinds = (pa.int32(), pa.int32(), pa.float64(), pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["k", "i", "v", "n"])
+                    yield _summary_columns(pa.RecordBatch, k, i, v, n)
 
         for batch in batches:
             number, _, x, y = _numbers(batch, width)
             held.append((number, x, y))
-            size += len(y)
-            if size >= SUMMARY_ROWS:
+            size += x.size
+            if size >= SUMMARY_NUMBERS:
                 yield from summary()
                 held, size = [], 0
         if size:
             yield from summary()
 
-    found = rows.mapInArrow(summaries, "k int, i int, v double, n long").groupBy("k", "i", "v").agg(F.sum("n").alias("n")).toArrow()
+    schema = "k int, i int, v double, n long"
+    found = rows.mapInArrow(summaries, schema).groupBy("k", "i").applyInArrow(_merged, schema).toArrow()
     k, i, v, n = (found.column(c).to_numpy() for c in ("k", "i", "v", "n"))
     points: dict[int, list[list[np.ndarray]]] = {b: [] for b in bins}
     means = []

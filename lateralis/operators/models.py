@@ -246,7 +246,7 @@ def _scores_from_cells(
     try:
         first = rows.head()
         width = 0 if first is None else len(first["x"])
-        if not width or width > MOST_WIDTH:
+        if not width or width > fold_forests.MOST_WIDTH:
             return None
         found = fold_forests.fold_scores(rows, folds, candidates, width, measure, evaluator.center, evaluator.scale)
     finally:
@@ -294,8 +294,8 @@ def _fold_scores(
     """Mean score over the folds per estimator, each fitted on the other folds.
 
     Least-squares fits come from sums that are added up once per fold (:mod:`fold_models`), forests of few features
-    from sums by cell (:mod:`fold_forests`). Of other models, folds are predicates on one persisted frame; ``parallelism`` fits run at a time. No model is refitted on all rows, as
-    only the scores are wanted.
+    from sums by cell (:mod:`fold_forests`). Of other models, folds are predicates on one persisted frame; ``parallelism``
+    fits run at a time. No model is refitted on all rows, as only the scores are wanted.
     """
     forests = [_forest_candidate(e, df) for e in estimators]
     if None not in forests and isinstance(evaluator, LabelEvaluator):

@@ -80,6 +80,22 @@ def test_many_values_get_bins_of_equally_many_rows(spark):
     assert len(points) == 31 and np.allclose(points, np.arange(1, 32) * 3125, atol=400)
 
 
+def test_summaries_of_many_parts_keep_the_ranks(spark, monkeypatch):
+    values = np.random.default_rng(1).normal(size=60_000)
+    parts = [fold_forests._summary(p) for p in np.split(values, 30)]
+    v, n = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    merged = fold_forests._merged(fold_forests._summary_columns(fold_forests.pa.Table, 0, 0, v, n))
+    found, counts = (merged.column(c).to_numpy() for c in "vn")
+    assert len(found) <= fold_forests.MERGED_VALUES and counts.sum() == len(values)
+    points = fold_forests.split_points(found, counts, 32)
+    assert np.allclose([(values <= p).mean() for p in points], np.arange(1, 32) / 32, atol=0.004)
+    # in many parts as in one
+    df, candidates = frame(spark, 600), [fold_forests.ForestCandidate(2, 3)]
+    whole = by_cells(df, candidates)
+    monkeypatch.setattr(fold_forests, "SUMMARY_NUMBERS", 1)
+    assert by_cells(df.repartition(5), candidates)[0] == pytest.approx(whole[0], rel=1e-9)
+
+
 def test_draws_have_the_mean_and_variance_of_one():
     ids = np.arange(200_000, dtype=np.int64) - 100_000
     a, b = (fold_forests.draws(ids, SEED, t) for t in (0, 1))
